@@ -22,7 +22,7 @@ def _positions(sorted_ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray,
 
 def best_in_tile(left: pa.Table, right: pa.Table, n: int) -> pa.Table:
     """Each user's ``n`` best unseen items of one tile; equal scores go to the smaller id."""
-    is_user = pc.is_valid(left["u"])
+    is_user = pc.is_null(left["movieId"])
     users, history = left.filter(is_user), left.filter(pc.invert(is_user))
     users, items = users.sort_by("userId"), right.sort_by("movieId")
     user_ids, item_ids = users["userId"].to_numpy(), items["movieId"].to_numpy()

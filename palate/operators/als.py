@@ -10,10 +10,11 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.operators.evaluate import rmse
-from palate.session import shared_dir
+from palate.session import scratch_path, shared_dir
+from palate.sources.models import load_model, save_model
 
 # Fixed values of the published search.
 SEED = 12345
@@ -21,6 +22,7 @@ RANKS = (2, 4, 8, 12, 16, 20, 24)
 REG_PARAMS = (0.01, 0.05, 0.1, 0.15, 0.2, 0.3)
 
 MIN_BLOCKS = 10
+CHECKPOINT_INTERVAL = 5
 
 
 @contextmanager
@@ -40,19 +42,42 @@ def estimator(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, max_it
     """An explicit-feedback estimator with one block per core.
 
     The checkpoint folder is registered first, so ALS cuts the lineage of its
-    factors every tenth iteration and a lost executor replays few of them.
+    factors every few iterations and a lost executor replays no more than those.
     """
     spark = ratings.sparkSession
     shared_dir(spark)
     blocks = blocks or max(MIN_BLOCKS, spark.sparkContext.defaultParallelism)
     return ALS(userCol="userId", itemCol="movieId", ratingCol="rating", rank=rank, regParam=reg_param,
-               maxIter=max_iter, numUserBlocks=blocks, numItemBlocks=blocks, seed=seed)
+               maxIter=max_iter, numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
+               checkpointInterval=CHECKPOINT_INTERVAL)
 
 
-def fit(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, **options) -> ALSModel:
-    """Train on the three columns the solver needs; ids must be 32-bit and not null."""
-    rows = ratings.select("userId", "movieId", "rating").dropna()
-    return estimator(ratings, rank, reg_param, **options).fit(rows)
+def fit(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, durable: bool = True,
+        **options) -> ALSModel:
+    """Train on the three columns the solver needs; ids must be 32-bit and not null.
+
+    ``ALS.fit`` evaluates its input more than once, so rows that are not cached
+    yet are kept for the length of the fit. A durable model is written to the
+    shared folder and read back: its factors no longer depend on the training
+    lineage or on any executor, and joins with them are planned by their size.
+    """
+    columns = ("userId", "movieId", "rating")
+    rows = ratings.select(*columns)
+    for column in columns:
+        rows = rows.filter(F.col(column).isNotNull())
+    solver = estimator(ratings, rank, reg_param, **options)
+    if ratings.is_cached:
+        model = solver.fit(rows)
+    else:
+        with persisted(rows):
+            model = solver.fit(rows)
+    return make_durable(model, ratings.sparkSession) if durable else model
+
+
+def make_durable(model: ALSModel, spark: SparkSession) -> ALSModel:
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    return load_model(path)
 
 
 @dataclass(frozen=True)
@@ -82,7 +107,7 @@ def grid_search(train: DataFrame, validation: DataFrame, ranks: Iterable[int] =
 
     def attempt(candidate: tuple[float, int]) -> tuple[int, float, ALSModel]:
         reg, rank = candidate
-        model = fit(train, rank, reg, **options)
+        model = fit(train, rank, reg, durable=False, **options)
         n_scored, error = rmse(model.transform(validation)).first()
         return n_scored, math.nan if error is None else error, model
 
@@ -99,16 +124,17 @@ def grid_search(train: DataFrame, validation: DataFrame, ranks: Iterable[int] =
     error, chosen, model = best
     marked = [(*row, row[0] == chosen) for row in rows]
     metrics = train.sparkSession.createDataFrame(marked, METRICS)
+    model = make_durable(model, train.sparkSession)
     return Search(model, candidates[chosen][1], candidates[chosen][0], error, metrics)
 
 
-def refit(search: Search, train: DataFrame, validation: DataFrame, everything: DataFrame | None = None,
-          **options) -> ALSModel:
-    """Train the winning parameters again.
+def refit(train: DataFrame, validation: DataFrame, rank: int, reg_param: float,
+          everything: DataFrame | None = None, **options) -> ALSModel:
+    """Train chosen parameters again.
 
     By default on train + validation, which keeps the test part unseen. Pass
     ``everything`` to train on all ratings instead; the test error of that
     model is then optimistic, because its test rows were trained on.
     """
     rows = everything if everything is not None else train.unionByName(validation)
-    return fit(rows, search.rank, search.reg_param, **options)
+    return fit(rows, rank, reg_param, **options)

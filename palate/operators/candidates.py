@@ -48,5 +48,6 @@ def genre_is(token: str, column: str = "genres") -> Column:
 
 def orphan_ratings(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """One row: ratings whose item is missing from the items table, which ``watched`` leaves out."""
-    lost = ratings.join(items.select("movieId"), "movieId", "left_anti")
-    return lost.agg(F.count("*").alias("n_orphans"))
+    per_item = ratings.groupBy("movieId").agg(F.count("*").alias("n"))
+    lost = per_item.join(items.select("movieId"), "movieId", "left_anti")
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orphans"))

@@ -16,10 +16,14 @@ def drop_cold(predictions: DataFrame) -> DataFrame:
 
 
 def rmse(predictions: DataFrame, label: str = "rating", prediction: str = "prediction") -> DataFrame:
-    """One row ``(n_scored, rmse)`` over the scored rows; a single partial + final aggregate."""
-    gap = F.col(label).cast("double") - F.col(prediction).cast("double")
-    return predictions.filter(is_scored(prediction)).agg(
-        F.count("*").alias("n_scored"), F.sqrt(F.avg(gap * gap)).alias("rmse"))
+    """One row ``(n_scored, rmse)`` over the scored rows; a single partial + final aggregate.
+
+    NaN becomes null, which the aggregates skip, so no filter makes Spark
+    evaluate the prediction a second time.
+    """
+    guess = F.nanvl(F.col(prediction).cast("double"), F.lit(None).cast("double"))
+    gap = F.col(label).cast("double") - guess
+    return predictions.agg(F.count(gap).alias("n_scored"), F.sqrt(F.avg(gap * gap)).alias("rmse"))
 
 
 def cold_start_audit(predictions: DataFrame, train: DataFrame) -> DataFrame:
@@ -40,27 +44,36 @@ def predict_item_mean(train: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.join(means, "movieId", "left").fillna(float("nan"), subset=["prediction"])
 
 
-def damped_mean_errors(train: DataFrame, rows: DataFrame, dampings: list[float]) -> DataFrame:
-    """RMSE on ``rows`` of the damped item mean ``(sum + k*mu) / (n + k)`` for each ``k``.
+def damped_mean_errors(ratings: DataFrame, in_train: Column, held_out: Column,
+                       dampings: list[float]) -> DataFrame:
+    """Held-out RMSE of the damped item mean ``(s + k*mu) / (n + k)`` for each damping ``k``.
 
-    The error of a constant prediction per item follows from the item's count,
-    sum and sum of squares. So the ratings are aggregated once, map-side
-    combined, and the grid multiplies only the per-item totals; a popular item
-    costs no more than any other.
+    ``s`` and ``n`` are an item's training sum and count, ``mu`` the mean over
+    all training ratings. The guess is ``a + mu*b`` with ``a = s/(n+k)`` and
+    ``b = k/(n+k)``, so its squared error over an item's held-out count ``m``,
+    sum ``t`` and sum of squares ``q`` is a polynomial in ``mu`` whose
+    coefficients add up over items. One map-side combined pass over the ratings
+    serves the whole grid, ``mu`` included, and a popular item costs no more
+    than any other.
     """
     value = F.col("rating").cast("double")
-    known = train.groupBy("movieId").agg(F.count("*").alias("n"), F.sum(value).alias("s"))
-    held = rows.groupBy("movieId").agg(F.count("*").alias("m"), F.sum(value).alias("t"),
-                                       F.sum(value * value).alias("q"))
-    mu = known.agg((F.sum("s") / F.sum("n")).alias("mu")).scalar()
+    totals = (ratings.groupBy("movieId")
+              .agg(F.count_if(in_train).alias("n"), F.sum(F.when(in_train, value)).alias("s"),
+                   F.count_if(held_out).alias("m"),
+                   F.coalesce(F.sum(F.when(held_out, value)), F.lit(0.0)).alias("t"),
+                   F.coalesce(F.sum(F.when(held_out, value * value)), F.lit(0.0)).alias("q"))
+              .filter(F.col("n") > 0))
     grid = F.posexplode(F.array(*[F.lit(float(k)) for k in dampings])).alias("grid_pos", "damping")
-    guess = (F.col("s") + F.col("damping") * F.col("mu")) / (F.col("n") + F.col("damping"))
-    return (known.join(held, "movieId").withColumn("mu", mu)
-            .select("*", grid).withColumn("g", guess)
-            .groupBy("grid_pos", "damping")
-            .agg(F.sum("m").alias("n_scored"),
-                 F.sqrt(F.sum(F.col("q") - 2 * F.col("g") * F.col("t") + F.col("m") * F.col("g") * F.col("g"))
-                        / F.sum("m")).alias("rmse")))
+    k, n, m, t, q = (F.col(c) for c in ("damping", "n", "m", "t", "q"))
+    a, b = F.col("s") / (n + k), k / (n + k)
+    per_damping = (totals.select("*", grid).groupBy("grid_pos", "damping")
+                   .agg((F.sum("s") / F.sum("n")).alias("mu"), F.sum("m").alias("n_scored"),
+                        F.sum(q - 2 * a * t + m * a * a).alias("c0"),
+                        F.sum(2 * b * (m * a - t)).alias("c1"),
+                        F.sum(m * b * b).alias("c2")))
+    squared = F.col("c0") + F.col("mu") * (F.col("c1") + F.col("mu") * F.col("c2"))
+    return per_damping.select("grid_pos", "damping", "n_scored",
+                              F.sqrt(squared / F.col("n_scored")).alias("rmse"))
 
 
 def arg_min(metrics: DataFrame) -> DataFrame:

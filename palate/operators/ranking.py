@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palate.functions import tiles
 from palate.functions.vectors import dot
-from palate.operators.evaluate import drop_cold
+from palate.operators.evaluate import is_scored
 
 TILE_USERS = 65536
 TILE_ITEMS = 65536
+TASKS_PER_CORE = 32
 
 # Workers receive the tile code itself, so the package need not be installed on them.
 cloudpickle.register_pickle_by_value(tiles)
@@ -28,15 +29,28 @@ def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFra
             .drop("_u", "_v"))
 
 
-def score_pool(model: ALSModel, pool: DataFrame) -> DataFrame:
-    """Predict a candidate pool and leave out what the model cannot score."""
-    return drop_cold(model.transform(pool))
+def score_pool(model: ALSModel, pool: DataFrame, user_id: int) -> DataFrame:
+    """Predict one user's candidate pool, leaving out items the model cannot score.
+
+    The pool meets the item factors in an equi-join on the key the pool is
+    already partitioned by. The user's own factors are a single row and enter
+    as a scalar subquery, so nothing is shuffled on the one user id.
+    """
+    items = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("_v"))
+    own = model.userFactors.filter(F.col("id") == user_id).select("features").scalar()
+    known = pool.join(items, "movieId").withColumn("_u", own).filter(F.col("_u").isNotNull())
+    return known.withColumn("prediction", dot(F.col("_u"), F.col("_v")).cast("float")).drop("_u", "_v")
 
 
 def top_n(scored: DataFrame, n: int = 25, where: Column | None = None) -> DataFrame:
-    """The ``n`` highest predictions, optionally within a filter such as a genre."""
+    """The ``n`` highest predictions, optionally within a filter such as a genre.
+
+    NaN would sort above every number, so it is ordered last and removed after
+    the cut; filtering first would make Spark compute each prediction twice.
+    """
     rows = scored if where is None else scored.filter(where)
-    return rows.orderBy(F.desc("prediction"), "movieId").limit(n)
+    best_first = F.nanvl("prediction", F.lit(None).cast("float")).desc_nulls_last()
+    return rows.orderBy(best_first, "movieId").limit(n).filter(is_scored())
 
 
 def rank_per_user(scored: DataFrame, n: int) -> DataFrame:
@@ -73,14 +87,20 @@ def top_n_per_user(user_factors: DataFrame, item_factors: DataFrame, seen: DataF
     every_item_block = F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib")
     every_user_block = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))).alias("ub")
 
+    # Users and seen pairs travel together; a user row has no item, a seen pair an
+    # empty vector (null vectors are several times slower to hand to Python).
     users = (user_factors.select(F.col("id").alias("userId"), F.col("features").alias("u"))
              .select(user_block, every_item_block, "userId", F.lit(None).cast("int").alias("movieId"), "u"))
-    history = (seen.select("userId", "movieId").dropna().distinct()
-               .select(user_block, item_block, "userId", "movieId", F.lit(None).cast("array<float>").alias("u")))
+    history = (seen.select("userId", "movieId").distinct()
+               .filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
+               .select(user_block, item_block, "userId", "movieId", F.array().cast("array<float>").alias("u")))
     items = (item_factors.select(F.col("id").alias("movieId"), F.col("features").alias("v"))
              .select(every_user_block, item_block, "movieId", "v"))
 
-    pairs_of_blocks = users.unionByName(history).groupBy("ub", "ib").cogroup(items.groupBy("ub", "ib"))
-    best = pairs_of_blocks.applyInArrow(lambda left, right: tiles.best_in_tile(left, right, n),
-                                        "userId int, movieId int, prediction float")
+    # Tiles weigh by their work, not their bytes, so their number fixes the partitions.
+    partitions = min(user_blocks * item_blocks, TASKS_PER_CORE * parallelism)
+    left = users.unionByName(history).repartition(partitions, "ub", "ib").groupBy("ub", "ib")
+    right = items.repartition(partitions, "ub", "ib").groupBy("ub", "ib")
+    best = left.cogroup(right).applyInArrow(lambda users, items: tiles.best_in_tile(users, items, n),
+                                            "userId int, movieId int, prediction float")
     return rank_per_user(best, n).select("userId", "rank", "movieId", "prediction")

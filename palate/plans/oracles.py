@@ -130,6 +130,12 @@ ORACLES = {
         SELECT m."movieId", title, genres, rating FROM movies m
         LEFT JOIN (SELECT "movieId", rating FROM ratings WHERE "userId" = {USER}) r ON r."movieId" = m."movieId"
         WHERE m."movieId" IS NOT NULL AND title IS NOT NULL AND genres IS NOT NULL AND rating IS NOT NULL"""),
+    "dense_user_index": """
+        SELECT o_custkey, CAST(ROW_NUMBER() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS "index"
+        FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL)""",
+    "dense_purchases": """
+        SELECT o_orderkey, CAST(DENSE_RANK() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS o_custkey
+        FROM orders WHERE o_custkey IS NOT NULL""",
     "random_split_check": _with(RATINGS, select="""
         SELECT COUNT(*) AS n_pairs, CAST(1 AS BIGINT) AS max_parts_per_pair FROM ratings"""),
     "hash_split_counts": _with(RATINGS, SPLIT, select="""

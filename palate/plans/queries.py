@@ -8,7 +8,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.functions.buckets import BUCKETS, ITEM_FACTOR, USER_FACTOR, id_bucket, split_name
-from palate.operators import als, candidates, evaluate, profile, ranking, split
+from palate.operators import als, candidates, evaluate, ids, profile, ranking, split
 from palate.session import scratch_path
 from palate.sources import csv_files, models, schemas, tables
 
@@ -187,6 +187,19 @@ def dropna_any(spark, folder):
     return tables.items(spark, folder).join(own, "movieId", "left").dropna(how="any")
 
 
+@query
+def dense_user_index(spark, folder):
+    """Wide buyer keys numbered densely in key order, as the solver's 32-bit ids require."""
+    return ids.dense_index(tables.table(spark, folder, "orders"), "o_custkey")
+
+
+@query
+def dense_purchases(spark, folder):
+    """Every order with its buyer's dense index in place of the wide key."""
+    orders = tables.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return ids.with_index(orders, ids.dense_index(orders, "o_custkey"), "o_custkey")
+
+
 # Splits and evaluation
 
 @query
@@ -217,8 +230,9 @@ def item_mean_rmse(spark, folder):
 
 
 def _damping_grid(spark, folder) -> DataFrame:
-    train, validation, _ = split.hash_split(tables.ratings(spark, folder))
-    errors = evaluate.damped_mean_errors(train, validation, DAMPINGS)
+    part = split_name()
+    errors = evaluate.damped_mean_errors(tables.ratings(spark, folder), part == "train",
+                                         part == "validation", DAMPINGS)
     return errors.withColumn("rmse", F.round("rmse", 6))
 
 
@@ -292,9 +306,8 @@ def als_final_rmse(spark, folder):
     """Test error after the refit, without and with the test rows among the training rows."""
     ratings = tables.ratings(spark, folder)
     train, validation, test = split.hash_split(ratings)
-    search = als.Search(None, RANK, REG_PARAM, 0.0, None)
-    held_out = als.refit(search, train, validation)
-    leaky = als.refit(search, train, validation, everything=ratings)
+    held_out = als.refit(train, validation, RANK, REG_PARAM)
+    leaky = als.refit(train, validation, RANK, REG_PARAM, everything=ratings)
     frames = [evaluate.rmse(model.transform(test)).withColumn("mode", F.lit(mode))
               for mode, model in (("train+validation", held_out), ("all ratings", leaky))]
     return frames[0].unionByName(frames[1]).select("mode", "n_scored", "rmse")
@@ -335,7 +348,7 @@ def _one_user(spark, folder, popular: bool, genre: str | None) -> DataFrame:
     if genre:
         pool = pool.filter(candidates.genre_like(genre))
     model = _model(tables.ratings(spark, folder))
-    return ranking.top_n(ranking.score_pool(model, pool), TOP)
+    return ranking.top_n(ranking.score_pool(model, pool, USER), TOP)
 
 
 @query
@@ -371,7 +384,7 @@ def als_topn_user_checks(spark, folder):
     in_genre = candidates.genre_like(GENRE)
     lists = {"all": (pool, None), "genre": (pool, in_genre),
              "popular": (popular, None), "popular_genre": (popular, in_genre)}
-    frames = [ranking.top_n(ranking.score_pool(model, rows), TOP, where).withColumn("list", F.lit(name))
+    frames = [ranking.top_n(ranking.score_pool(model, rows, USER), TOP, where).withColumn("list", F.lit(name))
               for name, (rows, where) in lists.items()]
     entries = frames[0]
     for frame in frames[1:]:
@@ -415,7 +428,7 @@ def als_topn_all_users_popular_genre(spark, folder):
 def als_save_load_roundtrip(spark, folder):
     """Predictions of the test part before saving and after loading, compared row by row."""
     train, _, test = split.hash_split(tables.ratings(spark, folder))
-    model = _model(train)
+    model = als.fit(train, RANK, REG_PARAM, durable=False)
     path = scratch_path(spark, "model")
     models.save_model(model, path)
     before = evaluate.drop_cold(model.transform(test)).select("userId", "movieId", "prediction")

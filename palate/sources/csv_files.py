@@ -40,8 +40,10 @@ def load_csv(spark: SparkSession, path: str, schema: StructType,
     """
     rows = _reader(spark, schema, "DROPMALFORMED").load(_checked(path))
     rows = rows.filter(_every_column_read(rows.columns))
-    keys = [c for c in rows.columns if c in ids]
-    return rows.dropna(subset=keys) if keys else rows
+    for key in ids:
+        if key in rows.columns:
+            rows = rows.filter(F.col(key).isNotNull())
+    return rows
 
 
 def audit_csv(spark: SparkSession, path: str, schema: StructType, id_col: str) -> DataFrame:

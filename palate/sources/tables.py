@@ -16,19 +16,21 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
 
     Ids must fit 32 bits (ANSI casts fail loudly otherwise); see ``operators.ids``.
     """
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    days = F.datediff(F.max("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
-    return (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-            .dropna(subset=["o_custkey", "l_partkey"])
-            .groupBy(F.col("o_custkey").cast("int").alias("userId"),
-                     F.col("l_partkey").cast("int").alias("movieId"))
-            .agg((F.ceil(F.max("l_quantity") / 5) * F.lit(0.5)).cast("float").alias("rating"),
-                 (days.cast("long") * SECONDS_PER_DAY).cast("string").alias("timestamp")))
+    lines = table(spark, folder, "lineitem").filter(F.col("l_partkey").isNotNull())
+    orders = table(spark, folder, "orders").filter(F.col("o_custkey").isNotNull())
+    per_pair = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                .groupBy("o_custkey", "l_partkey")
+                .agg(F.max("l_quantity").alias("quantity"), F.max("l_shipdate").alias("day")))
+    days = F.datediff(F.col("day").cast("date"), F.lit("1970-01-01").cast("date"))
+    return per_pair.select(
+        F.col("o_custkey").cast("int").alias("userId"),
+        F.col("l_partkey").cast("int").alias("movieId"),
+        (F.ceil(F.col("quantity") / 5) * F.lit(0.5)).cast("float").alias("rating"),
+        (days.cast("long") * SECONDS_PER_DAY).cast("string").alias("timestamp"))
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
-    return (table(spark, folder, "part").dropna(subset=["p_partkey"])
+    return (table(spark, folder, "part").filter(F.col("p_partkey").isNotNull())
             .select(F.col("p_partkey").cast("int").alias("movieId"),
                     F.col("p_name").alias("title"),
                     F.concat("p_type", F.lit("|"), "p_brand").alias("genres")))
