@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from palate.operators.joins import lookup
+
 
 def watched(ratings: DataFrame, items: DataFrame, user_id: int) -> DataFrame:
     """Rated items of one user, with titles. The user filter reaches the ratings scan."""
@@ -25,7 +27,7 @@ def unwatched(ratings: DataFrame, items: DataFrame, user_id: int) -> DataFrame:
 def unwatched_counts(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """Size of every user's candidate pool, without forming a single user-item pair."""
     known = items.select("movieId").distinct().withColumn("known", F.lit(1))
-    seen = ratings.select("userId", "movieId").distinct().join(known, "movieId", "left")
+    seen = lookup(ratings.select("userId", "movieId").distinct(), known, "movieId")
     n_items = known.agg(F.count("*").alias("n")).scalar()
     return (seen.groupBy("userId").agg(F.count("known").alias("n_seen"))
             .select("userId", (n_items - F.col("n_seen")).alias("n_unwatched")))

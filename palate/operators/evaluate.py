@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from palate.operators.joins import lookup
+
 
 def is_scored(column: str = "prediction") -> Column:
     """A prediction that exists. NaN marks a cold row and sorts above every number."""
@@ -30,7 +32,7 @@ def cold_start_audit(predictions: DataFrame, train: DataFrame) -> DataFrame:
     """Scored and unscored rows by whether the user and the item occur in ``train``."""
     users = train.select("userId").distinct().withColumn("warm_user", F.lit(True))
     items = train.select("movieId").distinct().withColumn("warm_item", F.lit(True))
-    return (predictions.join(users, "userId", "left").join(items, "movieId", "left")
+    return (lookup(lookup(predictions, users, "userId"), items, "movieId")
             .groupBy(F.coalesce("warm_user", F.lit(False)).alias("warm_user"),
                      F.coalesce("warm_item", F.lit(False)).alias("warm_item"))
             .agg(F.count("*").alias("n_rows"),
@@ -41,7 +43,7 @@ def cold_start_audit(predictions: DataFrame, train: DataFrame) -> DataFrame:
 def predict_item_mean(train: DataFrame, rows: DataFrame) -> DataFrame:
     """Predict every row by its item's training mean; items unseen in training stay NaN."""
     means = train.groupBy("movieId").agg(F.avg(F.col("rating").cast("double")).alias("prediction"))
-    return rows.join(means, "movieId", "left").fillna(float("nan"), subset=["prediction"])
+    return lookup(rows, means, "movieId").fillna(float("nan"), subset=["prediction"])
 
 
 def damped_mean_errors(ratings: DataFrame, in_train: Column, held_out: Column,

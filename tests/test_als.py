@@ -1,0 +1,123 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from palate.functions.vectors import dot
+from palate.operators import als, candidates, evaluate, ranking
+from palate.sources import models
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Ratings that are an exact rank-2 product, 30% observed."""
+    rng = np.random.default_rng(42)
+    users, items = rng.uniform(0.5, 1.5, (300, 2)), rng.uniform(0.5, 1.5, (200, 2))
+    kept = np.argwhere(rng.random((300, 200)) < 0.3)
+    rows = [(int(u), int(i), float(users[u] @ items[i])) for u, i in kept]
+    return spark.createDataFrame(rows, "userId int, movieId int, rating float").cache()
+
+
+@pytest.fixture(scope="module")
+def planted_parts(planted):
+    return planted.randomSplit([0.8, 0.2], seed=1)
+
+
+@pytest.fixture(scope="module")
+def model(planted_parts):
+    return als.fit(planted_parts[0], rank=2, reg_param=0.01)
+
+
+def test_planted_structure_is_recovered(model, planted_parts):
+    assert evaluate.rmse(model.transform(planted_parts[1])).first().rmse < 0.10
+
+
+def test_prediction_is_the_product_of_factors(model, planted_parts):
+    scored = model.transform(planted_parts[1])
+    ours = ranking.score_pairs(planted_parts[1], model.userFactors, model.itemFactors)
+    both = scored.join(ours.select("userId", "movieId", F.col("prediction").alias("own")), ["userId", "movieId"])
+    assert both.count() == planted_parts[1].count()
+    assert both.agg(F.max(F.abs(F.col("prediction") - F.col("own")))).first()[0] < 1e-5
+
+
+def test_model_is_backed_by_written_factors(model):
+    plan = model.itemFactors._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan.lower()
+
+
+def test_same_seed_same_error(planted_parts):
+    train, held = planted_parts
+    errors = [evaluate.rmse(als.fit(train, 2, 0.05, max_iter=3).transform(held)).first().rmse for _ in range(2)]
+    assert math.isclose(*errors, rel_tol=1e-6)
+
+
+def test_save_and_load_keep_every_prediction(model, planted_parts, tmp_path):
+    path = str(tmp_path / "model")
+    models.save_model(model, path)
+    models.save_model(model, path)
+    before = {tuple(r) for r in model.transform(planted_parts[1]).collect()}
+    after = {tuple(r) for r in models.load_model(path).transform(planted_parts[1]).collect()}
+    assert before == after
+
+
+def test_null_ids_do_not_reach_the_solver(planted, spark):
+    extra = spark.createDataFrame([(None, 1, 3.0), (1, None, 3.0), (1, 1, None)], planted.schema)
+    als.fit(planted.unionByName(extra), rank=2, max_iter=1)
+
+
+def test_cold_rows_are_nan_and_never_listed(model, spark):
+    pool = spark.createDataFrame([(0, "a", None, 5), (9999, "b", "x", 5)],
+                                 "movieId int, title string, genres string, userId int")
+    assert {r.movieId: math.isnan(r.prediction) for r in model.transform(pool).collect()} == {0: False, 9999: True}
+    assert [r.movieId for r in ranking.top_n(ranking.score_pool(model, pool, 5)).collect()] == [0]
+    assert ranking.score_pool(model, pool, 123456).count() == 0
+
+
+def test_one_user_scores_equal_the_model_transform(model, planted, spark):
+    items = planted.select("movieId").distinct().withColumns({"title": F.lit("t"), "genres": F.lit("g")})
+    pool = candidates.unwatched(planted, items, 5)
+    expected = {r.movieId: r.prediction for r in model.transform(pool).collect()}
+    got = {r.movieId: r.prediction for r in ranking.score_pool(model, pool, 5).collect()}
+    assert got.keys() == expected.keys()
+    assert all(math.isclose(got[m], expected[m], rel_tol=1e-5) for m in got)
+
+
+def test_grid_search_numbers_marks_and_returns_the_best(planted_parts):
+    train, held = planted_parts
+    search = als.grid_search(train, held, ranks=(1, 2), reg_params=(0.01, 1.0), parallelism=2, max_iter=5)
+    rows = search.metrics.orderBy("grid_pos").collect()
+    assert [(r.grid_pos, r.reg_param, r["rank"]) for r in rows] == [
+        (0, 0.01, 1), (1, 0.01, 2), (2, 1.0, 1), (3, 1.0, 2)]
+    best = min(rows, key=lambda r: (r.rmse, r.grid_pos))
+    assert [r.is_best for r in rows] == [r.grid_pos == best.grid_pos for r in rows]
+    assert (search.rank, search.reg_param, search.rmse) == (best["rank"], best.reg_param, best.rmse)
+    again = evaluate.rmse(search.model.transform(held)).first().rmse
+    assert math.isclose(again, search.rmse, rel_tol=1e-6)
+    assert not train.is_cached
+
+
+def test_search_order_does_not_depend_on_parallelism(planted_parts):
+    train, held = planted_parts
+    results = [als.grid_search(train, held, (1, 2), (0.1,), parallelism=p, max_iter=2).metrics.collect()
+               for p in (1, 3)]
+    for a, b in zip(*results):
+        assert a[:4] == b[:4] and math.isclose(a.rmse, b.rmse, rel_tol=1e-6)
+
+
+def test_search_without_a_scored_row_fails_clearly(planted_parts, frame):
+    with pytest.raises(ValueError, match="finite"):
+        als.grid_search(planted_parts[0], frame([(99999, 99999, 1.0)]), (1,), (0.1,), max_iter=1)
+
+
+def test_refit_modes_train_on_different_rows(planted, planted_parts):
+    train, held = planted_parts
+    lone = train.filter("userId < 100")
+    partial = als.refit(lone, lone, 2, 0.1, max_iter=1)
+    full = als.refit(lone, lone, 2, 0.1, everything=planted, max_iter=1)
+    assert partial.userFactors.count() <= 100 < full.userFactors.count()
+
+
+def test_dot_is_null_for_a_missing_vector(spark):
+    df = spark.sql("SELECT array(1f, 2f) AS a, array(3f, 4f) AS b, CAST(NULL AS array<float>) AS c")
+    assert df.select(dot(F.col("a"), F.col("b")), dot(F.col("a"), F.col("c"))).first() == (11.0, None)

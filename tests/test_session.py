@@ -1,0 +1,32 @@
+from types import SimpleNamespace
+
+import pytest
+
+from palate import session
+
+
+def fake(configured, current, master):
+    state = {"dir": current}
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: state["dir"],
+                              setCheckpointDir=lambda d: state.update(dir=d))
+    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: configured)), state
+
+
+def test_the_named_folder_is_used():
+    spark, state = fake("hdfs://shared/ck/", None, "yarn")
+    assert session.shared_dir(spark) == "hdfs://shared/ck" and state["dir"] == "hdfs://shared/ck/"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    spark, _ = fake(None, None, "yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(spark)
+
+
+def test_a_local_session_gets_its_own_folder():
+    spark, state = fake(None, None, "local[2]")
+    assert session.shared_dir(spark) == state["dir"]
+
+
+def test_scratch_paths_are_never_reused(spark):
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
