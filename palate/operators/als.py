@@ -21,7 +21,6 @@ SEED = 12345
 RANKS = (2, 4, 8, 12, 16, 20, 24)
 REG_PARAMS = (0.01, 0.05, 0.1, 0.15, 0.2, 0.3)
 
-MIN_BLOCKS = 10
 CHECKPOINT_INTERVAL = 5
 
 
@@ -46,7 +45,7 @@ def estimator(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, max_it
     """
     spark = ratings.sparkSession
     shared_dir(spark)
-    blocks = blocks or max(MIN_BLOCKS, spark.sparkContext.defaultParallelism)
+    blocks = blocks or spark.sparkContext.defaultParallelism
     return ALS(userCol="userId", itemCol="movieId", ratingCol="rating", rank=rank, regParam=reg_param,
                maxIter=max_iter, numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
                checkpointInterval=CHECKPOINT_INTERVAL)

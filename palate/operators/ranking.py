@@ -73,8 +73,8 @@ def top_n_per_user(user_factors: DataFrame, item_factors: DataFrame, seen: DataF
     one copy of each user per item block, one copy of each item per user block,
     the seen pairs once, and ``n`` rows per user and item block at the end.
     Tiles have a fixed size, and a user or item with a huge history is spread
-    over all its tiles. Restrict ``user_factors`` / ``item_factors`` beforehand
-    to serve some users or recommend from some items.
+    over all its tiles. To serve some users or recommend from some items only,
+    restrict ``user_factors`` / ``item_factors`` (and ``seen`` likewise) beforehand.
     """
     parallelism = user_factors.sparkSession.sparkContext.defaultParallelism
     n_users, n_items = user_factors.count(), item_factors.count()

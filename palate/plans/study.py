@@ -68,6 +68,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--genres", nargs="*", default=list(GENRES))
     parser.add_argument("--ranks", nargs="*", type=int, default=list(als.RANKS))
     parser.add_argument("--reg-params", nargs="*", type=float, default=list(als.REG_PARAMS))
+    parser.add_argument("--all-users", help="also write every user's list here, as Parquet")
     parser.add_argument("--parallelism", type=int, default=1, help="candidates fitted at a time")
     args = parser.parse_args(argv)
 
@@ -77,6 +78,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     full = small if not args.full_ratings else csv_files.convert_csv(
         spark, args.full_ratings, schemas.RATINGS, f"{args.work}/full-ratings")
 
+    for df, keys in ((small, ("userId", "movieId")), (items, ("movieId",))):
+        df.printSchema()
+        profile.head(df, 5, *keys).show(truncate=False)
     show = {f"small {k}": v for k, v in profiles(small, items).items()}
     search, test_error, test = tune(small, args.ranks, args.reg_params, args.parallelism)
     show |= {"search": search.metrics, "test error": test_error}
@@ -84,12 +88,16 @@ def main(argv: Sequence[str] | None = None) -> None:
         show |= {f"full {k}": v for k, v in profiles(full, items).items()}
 
     model = als.fit(full, search.rank, search.reg_param)
+    # The final model has seen the test rows whenever both files share ratings.
     show["final error"] = evaluate.rmse(model.transform(test))
     show |= recommendations(model, full, items, args.user, floor=args.floor, genres=args.genres)
     for name, df in show.items():
         print(name)
         df.show(100, truncate=False)
     models.save_model(model, args.model)
+    if args.all_users:
+        lists = ranking.top_n_per_user(model.userFactors, model.itemFactors, full)
+        lists.write.mode("overwrite").parquet(args.all_users)
 
 
 if __name__ == "__main__":

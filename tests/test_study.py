@@ -13,16 +13,18 @@ def csv_files_on_disk(tmp_path_factory, ratings, items):
     return base
 
 
-def test_the_whole_study_runs_from_csv(csv_files_on_disk, capsys):
+def test_the_whole_study_runs_from_csv(spark, csv_files_on_disk, capsys, ratings):
     base = csv_files_on_disk
     study.main(["--ratings", str(base / "ratings.csv"), "--items", str(base / "items.csv"),
                 "--full-ratings", str(base / "ratings.csv"), "--model", str(base / "model"),
                 "--work", str(base / "work"), "--user", "42", "--floor", "30", "--genres", "ECONOMY",
-                "--ranks", "2", "--reg-params", "0.1"])
+                "--ranks", "2", "--reg-params", "0.1", "--all-users", str(base / "lists")])
     printed = capsys.readouterr().out
     for section in ("small summary", "search", "test error", "final error", "popular_top_ECONOMY"):
         assert section in printed
     assert models.load_model(str(base / "model")).rank == 2
+    lists = spark.read.parquet(str(base / "lists"))
+    assert lists.select("userId").distinct().count() == ratings.select("userId").distinct().count()
 
 
 def test_lists_obey_their_rules(ratings, items):
