@@ -26,16 +26,25 @@ CHECKPOINT_INTERVAL = 5
 
 @contextmanager
 def persisted(*frames: DataFrame) -> Iterator[None]:
-    """Keep frames in memory, spilling to disk, for the length of a ``with`` block."""
-    for df in frames:
+    """Keep frames in memory, spilling to disk, for the length of a ``with`` block.
+
+    Frames the caller has cached already are left as they are.
+    """
+    own = [df for df in frames if not _is_stored(df)]
+    for df in own:
         df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield
     finally:
-        for df in frames:
+        for df in own:
             df.unpersist()
 
 
+def _is_stored(df: DataFrame) -> bool:
+    level = df.storageLevel
+    return level.useMemory or level.useDisk
+
+
 def estimator(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, max_iter: int = 10,
               blocks: int | None = None, seed: int = SEED) -> ALS:
     """An explicit-feedback estimator with one block per core.
@@ -65,7 +74,7 @@ def fit(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, durable: boo
     for column in columns:
         rows = rows.filter(F.col(column).isNotNull())
     solver = estimator(ratings, rank, reg_param, **options)
-    if ratings.is_cached:
+    if _is_stored(ratings):
         model = solver.fit(rows)
     else:
         with persisted(rows):

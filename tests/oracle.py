@@ -26,7 +26,7 @@ def _types(table: pa.Table) -> dict[str, str]:
 
 def difference(spark_df, con, sql) -> str | None:
     """None where rows, names and types agree, else a short account of the gap."""
-    got, want = spark_df.toArrow(), con.execute(sql).to_arrow_table()
+    got, want = spark_df.toArrow(), con.sql(sql).to_arrow_table()
     if _types(got) != _types(want):
         return f"types: {_types(got)} != {_types(want)}"
     left, right = _rows(got), _rows(want)

@@ -97,6 +97,17 @@ def test_grid_search_numbers_marks_and_returns_the_best(planted_parts):
     assert not train.is_cached
 
 
+def test_a_callers_cache_survives(planted, planted_parts):
+    held = planted_parts[1].select("*").cache()
+    with als.persisted(planted, held):
+        pass
+    assert planted.storageLevel.useMemory and held.storageLevel.useMemory
+    with als.persisted(planted_parts[0]):
+        assert planted_parts[0].storageLevel.useMemory
+    assert not planted_parts[0].storageLevel.useMemory
+    held.unpersist()
+
+
 def test_search_order_does_not_depend_on_parallelism(planted_parts):
     train, held = planted_parts
     results = [als.grid_search(train, held, (1, 2), (0.1,), parallelism=p, max_iter=2).metrics.collect()
