@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
 
+# Column names and types of the input files.
 RATINGS = StructType([
     StructField("userId", IntegerType()),
     StructField("movieId", IntegerType()),
