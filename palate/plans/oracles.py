@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from palate.functions.buckets import BUCKETS, ITEM_FACTOR, USER_FACTOR
-from palate.plans.queries import DAMPINGS, FLOOR, GENRE, TOP, USER
+from palate.plans.queries import DAMPINGS, FLOOR, GENRE, RANK, TOP, USER
 
 RATINGS = """
 ratings AS (
@@ -190,6 +190,26 @@ ORACLES = {
         SELECT "userId", LEAST({TOP}, (SELECT COUNT(DISTINCT "movieId") FROM ratings) - COUNT(*)) AS n_recs
         FROM ratings GROUP BY "userId"
         HAVING (SELECT COUNT(DISTINCT "movieId") FROM ratings) > COUNT(*)"""),
+    "als_topn_all_users_checks": _with(RATINGS, f"""
+        lists AS (
+          SELECT LEAST({TOP}, (SELECT COUNT(DISTINCT "movieId") FROM ratings) - COUNT(*)) AS n
+          FROM ratings GROUP BY "userId")""", select="""
+        SELECT COUNT(*) FILTER (n > 0) AS n_lists, CAST(SUM(n) AS BIGINT) AS n_entries,
+               CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_unscored,
+               CAST(0 AS BIGINT) AS n_out_of_order, CAST(0 AS BIGINT) AS n_gaps
+        FROM lists"""),
+    "als_topn_all_users_popular_genre_counts": _with(RATINGS, MOVIES, COUNTS, f"""
+        allowed AS (
+          SELECT "movieId" FROM movies JOIN counts USING ("movieId") WHERE {IN_GENRE} AND "count" >= {FLOOR})""",
+        select=f"""
+        SELECT "userId", LEAST({TOP}, (SELECT COUNT(*) FROM allowed) - COUNT(a."movieId")) AS n_recs
+        FROM ratings LEFT JOIN allowed a USING ("movieId") GROUP BY "userId"
+        HAVING (SELECT COUNT(*) FROM allowed) > COUNT(a."movieId")"""),
+    "als_factor_counts": _with(RATINGS, select=f"""
+        SELECT 'user' AS side, COUNT(DISTINCT "userId") AS n_ids, CAST({RANK} AS INTEGER) AS min_rank,
+               CAST({RANK} AS INTEGER) AS max_rank FROM ratings
+        UNION ALL
+        SELECT 'item', COUNT(DISTINCT "movieId"), CAST({RANK} AS INTEGER), CAST({RANK} AS INTEGER) FROM ratings"""),
     "als_save_load_roundtrip": _with(RATINGS, SPLIT, WARM, select="""
         SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM warm_test"""),
 }

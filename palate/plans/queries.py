@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from palate.functions.buckets import BUCKETS, ITEM_FACTOR, USER_FACTOR, id_bucket, split_name
 from palate.operators import als, candidates, evaluate, ids, profile, ranking, split
@@ -415,8 +415,23 @@ def als_topn_all_users_counts(spark, folder):
 
 
 @query
-def als_topn_all_users_popular_genre(spark, folder):
-    """All users' lists from the items over the floor and in the genre only."""
+def als_topn_all_users_checks(spark, folder):
+    """One row over all lists: seen items, unscored entries, broken orders and gaps in the ranks."""
+    lists = _all_users(spark, folder)
+    seen = tables.ratings(spark, folder).select("userId", "movieId", F.lit(1).alias("seen"))
+    by_rank = Window.partitionBy("userId").orderBy("rank")
+    before = F.lag("prediction").over(by_rank)
+    return (lists.join(seen, ["userId", "movieId"], "left")
+            .withColumns({"before": before, "place": F.row_number().over(by_rank)})
+            .agg(F.count_if(F.col("rank") == 1).alias("n_lists"),
+                 F.count("*").alias("n_entries"),
+                 F.count("seen").alias("n_seen"),
+                 F.count_if(~evaluate.is_scored()).alias("n_unscored"),
+                 F.count_if(F.col("before") < F.col("prediction")).alias("n_out_of_order"),
+                 F.count_if(F.col("rank") != F.col("place")).alias("n_gaps")))
+
+
+def _all_users_popular_genre(spark, folder) -> DataFrame:
     ratings, items = tables.ratings(spark, folder), tables.items(spark, folder)
     model = _model(ratings)
     allowed = candidates.without_items(items.filter(candidates.genre_like(GENRE)), low_count_items(spark, folder))
@@ -424,6 +439,28 @@ def als_topn_all_users_popular_genre(spark, folder):
     return ranking.top_n_per_user(model.userFactors, item_factors, ratings, TOP)
 
 
+@query
+def als_topn_all_users_popular_genre(spark, folder):
+    """All users' lists from the items over the floor and in the genre only."""
+    return _all_users_popular_genre(spark, folder)
+
+
+@query
+def als_topn_all_users_popular_genre_counts(spark, folder):
+    lists = _all_users_popular_genre(spark, folder)
+    return lists.groupBy("userId").agg(F.count("*").alias("n_recs"))
+
+
+@query
+def als_factor_counts(spark, folder):
+    """Every rated user and item has factors of the requested rank."""
+    model = _model(tables.ratings(spark, folder))
+    sides = [factors.agg(F.lit(side).alias("side"), F.count("*").alias("n_ids"),
+                         F.min(F.size("features")).alias("min_rank"), F.max(F.size("features")).alias("max_rank"))
+             for side, factors in (("user", model.userFactors), ("item", model.itemFactors))]
+    return sides[0].unionByName(sides[1])
+
+
 @query
 def als_save_load_roundtrip(spark, folder):
     """Predictions of the test part before saving and after loading, compared row by row."""
