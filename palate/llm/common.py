@@ -26,14 +26,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def folded(text: bytes | None) -> bytes:
+    """A UTF-8 text with A-Z folded and all but words blanked; every byte keeps its place."""
+    return text.translate(_PLAIN) if text else b""
+
+
 def plain_words(text: bytes | None) -> list[bytes]:
     """The folded words of a UTF-8 text; ``bytes.split`` cuts at ASCII white space only."""
-    return text.translate(_PLAIN).split() if text else []
+    return folded(text).split()
 
 
 def plain_offsets(text: bytes) -> list[tuple[int, int]]:
     """Where each of ``plain_words`` lies in the text, in bytes."""
-    return [m.span() for m in _PLAIN_WORD.finditer(text.translate(_PLAIN))]
+    return [m.span() for m in _PLAIN_WORD.finditer(folded(text))]
 
 
 def quoted(name: str) -> Column:

@@ -26,29 +26,29 @@ An empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import math
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.llm.common import quoted, table
-from palate.llm.hashing import WordHashes, distinct, fold
+from palate.llm.hashing import distinct, fold, word_hashes
 
 WINDOW = 13
 DEPTH = 2
 #: Cells of a sketch row for each byte of text; a window takes some six bytes.
 CELLS_PER_BYTE = 1.0
 SEGMENT_BITS = 24
-GROUPS_PER_PARTITION = 4
+GROUPS_PER_PARTITION = 2
+#: Buckets of the exact grouping for each shuffle partition; a group sends each of them one row at most.
+BUCKETS_PER_PARTITION = 0.25
 LAST = np.iinfo(np.int64).max
 _RANDOM = np.random.default_rng(13)
 _FACTORS = _RANDOM.integers(1, 2**63, (2, WINDOW), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ROW_FACTORS = _RANDOM.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_WORDS = WordHashes()
-
-
 class Group:
     """The windows of a group's documents, in ascending order of document id."""
 
@@ -56,22 +56,26 @@ class Group:
         ids = [LAST if i is None else i for i in rows.column("id").to_pylist()]
         texts = rows.column("text").to_pylist()
         self.order = sorted(range(len(ids)), key=ids.__getitem__)
-        self.words = [(texts[i] or b"").split() for i in self.order]
+        self.texts = [texts[i] or b"" for i in self.order]
         self.ids = np.array([ids[i] for i in self.order], np.int64)
-        sizes = np.array([len(w) for w in self.words], np.int64)
-        self.first_word = np.cumsum(sizes) - sizes
-        hashes = _WORDS.of([w for words in self.words for w in words])
+        self.hashes, self.sizes = word_hashes(self.texts)
+        self.first_word = np.cumsum(self.sizes) - self.sizes
         # Windows over the joined texts, less those that run across an end.
-        starts = np.ones(len(hashes), bool)
-        for first, size in zip(self.first_word.tolist(), sizes.tolist()):
-            starts[max(first, first + size - WINDOW + 1):first + size] = False
-        self.starts = np.flatnonzero(starts)
-        if len(self.starts):
-            self.prints = fold(hashes, _FACTORS[0])[self.starts]
-            self.second = fold(hashes, _FACTORS[1])[self.starts]
-        else:
-            self.prints = self.second = np.empty(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(sizes)), np.maximum(sizes - WINDOW + 1, 0))
+        counts = np.maximum(self.sizes - WINDOW + 1, 0)
+        self.doc = np.repeat(np.arange(len(counts)), counts)
+        self.starts = np.arange(len(self.doc)) + np.repeat(self.first_word - (np.cumsum(counts) - counts), counts)
+
+    def _fingerprints(self, factors: np.ndarray) -> np.ndarray:
+        return fold(self.hashes, factors)[self.starts] if len(self.starts) else np.empty(0, np.uint64)
+
+    @cached_property
+    def prints(self) -> np.ndarray:
+        return self._fingerprints(_FACTORS[0])
+
+    @cached_property
+    def second(self) -> np.ndarray:
+        """Independent fingerprints, for the cells and the choice of the bucket."""
+        return self._fingerprints(_FACTORS[1])
 
     def cells(self, row: int, bits: int) -> np.ndarray:
         """The cell of each window in one row of the sketch."""
@@ -131,9 +135,9 @@ def merge_sketches(rows: pa.Table) -> pa.Table:
 
 
 def estimated_repeated(group: Group, masks: pa.Table, bits: int, depth: int) -> np.ndarray:
-    """Which windows have only repeated cells, by the answers of all segments."""
+    """The windows that have only repeated cells, by the answers of all segments."""
     told = dict(zip(masks.column("segment").to_pylist(), masks.column("repeated").to_pylist()))
-    out = np.ones(len(group.prints), bool)
+    passed = np.arange(len(group.second))
     for row in range(depth):
         cells = group.cells(row, bits)
         own = distinct(cells)
@@ -141,10 +145,10 @@ def estimated_repeated(group: Group, masks: pa.Table, bits: int, depth: int) ->
                  for high, a, z in slices(own, SEGMENT_BITS)]
         repeated = own[np.concatenate(flags).astype(bool)] if flags else own
         if not len(repeated):
-            return np.zeros(len(group.prints), bool)
-        at = np.minimum(np.searchsorted(repeated, cells), len(repeated) - 1)
-        out &= repeated[at] == cells
-    return out
+            return passed[:0]
+        left = cells[passed]
+        passed = passed[repeated[np.minimum(np.searchsorted(repeated, left), len(repeated) - 1)] == left]
+    return passed
 
 
 def smallest(prints: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +165,7 @@ def candidate_rows(rows: pa.Table, masks: pa.Table, bits: int, depth: int, bucke
     if rows.num_rows:
         group = Group(rows)
         passed = estimated_repeated(group, masks, bits, depth)
-        bucket = (group.second[passed] >> np.uint64(64 - bucket_bits)) if bucket_bits else np.zeros(passed.sum(), np.uint64)
+        bucket = (group.second[passed] >> np.uint64(64 - bucket_bits)) if bucket_bits else np.zeros(len(passed), np.uint64)
         prints, ids = group.prints[passed], group.ids[group.doc[passed]]
         order = np.argsort(bucket, kind="stable")
         for high, a, z in slices(bucket[order], 0):
@@ -195,18 +199,18 @@ def remove(rows: pa.Table, answers: pa.Table) -> pa.Table:
         gone[spots] = least[np.searchsorted(known, group.prints[spots])] < group.ids[group.doc[spots]]
     if len(later):  # in other groups
         gone |= later[np.minimum(np.searchsorted(later, group.prints), len(later) - 1)] == group.prints
-    edges = np.zeros(sum(map(len, group.words)) + 1, np.int64)
-    np.add.at(edges, group.starts[gone], 1)
-    np.add.at(edges, group.starts[gone] + WINDOW, -1)
+    edges = np.zeros(len(group.hashes) + 1, np.int64)
+    edges[group.starts[gone]] += 1  # starts are distinct, and so are the places after them
+    edges[group.starts[gone] + WINDOW] -= 1
     covered = np.cumsum(edges) > 0
     kept, removed = [], []
-    for first, words in zip(group.first_word.tolist(), group.words):
-        under = covered[first:first + len(words)]
+    for first, size, text in zip(group.first_word.tolist(), group.sizes.tolist(), group.texts):
+        under, words = covered[first:first + size], text.split()
         removed.append(int(under.sum()))
         kept.append(b" ".join(words if not removed[-1] else [w for w, u in zip(words, under.tolist()) if not u]).decode())
     ids = rows.column("id").to_pylist()
     return pa.table({"doc_id": pa.array([ids[i] for i in group.order], pa.int64()),
-                     "n_words": pa.array([len(w) for w in group.words], pa.int64()),
+                     "n_words": pa.array(group.sizes, pa.int64()),
                      "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept, pa.string())})
 
 
@@ -219,8 +223,9 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length(quoted(text))), F.lit(0))).first()[0]
     bits = max(SEGMENT_BITS, math.ceil(math.log2(max(1, size * CELLS_PER_BYTE))))
-    groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bucket_bits = max(0, math.ceil(math.log2(groups)))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = GROUPS_PER_PARTITION * partitions
+    bucket_bits = max(0, math.ceil(math.log2(BUCKETS_PER_PARTITION * partitions)))
     keyed = docs.select(F.pmod(F.xxhash64(quoted(doc_id), quoted(text)), F.lit(groups)).alias("grp"),
                         quoted(doc_id).cast("bigint").alias("id"), quoted(text).cast("binary").alias("text"))
     sketches = keyed.groupBy("grp").applyInArrow(
