@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
 
 _RANDOM = np.random.default_rng(64)
@@ -48,26 +47,6 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return mixed(out), np.diff(np.searchsorted(starts, edges))
 
 
-class WordHashes:
-    """64-bit hashes of words; up to ``most`` of them are remembered between calls."""
-
-    def __init__(self, most: int = 1 << 20):
-        self.most = most
-        self.known: dict[bytes, int] = {}
-        self.hashes = np.empty(1 << 12, np.uint64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = [w for w in set(words) if w not in self.known]
-        first = len(self.known)
-        while len(self.hashes) < first + len(new):
-            self.hashes = np.concatenate((self.hashes, np.empty_like(self.hashes)))
-        self.hashes[first:first + len(new)] = [xxhash.xxh3_64_intdigest(w) for w in new]
-        self.known.update(zip(new, range(first, first + len(new))))
-        return self.hashes[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
-
-
 def fold(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
     """One fingerprint for each run of ``len(factors)`` hashes."""
     n = len(hashes) - len(factors) + 1

@@ -29,11 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from palate.llm.common import fresh, plain_words, quoted, table
-from palate.llm.hashing import WordHashes, fold, mixed
+from palate.llm.common import folded, fresh, quoted, table
+from palate.llm.hashing import fold, mixed, word_hashes
 from palate.operators.joins import lookup
 from palate.session import materialize
 
@@ -49,13 +48,10 @@ MAX_SENT = 64 << 20
 _RANDOM = np.random.default_rng(10)
 _FACTORS = _RANDOM.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_FACTORS = _RANDOM.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WORDS = WordHashes()
 
 
-def weighted_shingles(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, shingle, count) of all texts, by document, then by shingle."""
-    hashes = _WORDS.of([w for words in texts for w in words])
-    sizes = np.array([len(w) for w in texts], np.int64)
+def weighted_shingles(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, shingle, count), by document, then by shingle, from the hashes of all words."""
     ends = np.cumsum(sizes)
     starts = np.ones(len(hashes), bool)
     short = []
@@ -148,14 +144,23 @@ def similarity(a: bytes, b: bytes) -> float:
     return float((1.0 / (x_from / xs + y_to / ys)).sum())
 
 
-def node_of(words: list[bytes]) -> int | None:
-    """The node of a word sequence; none without words."""
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63) if words else None
+def nodes_of(hashes: np.ndarray, sizes: np.ndarray) -> list[int | None]:
+    """The node of each word sequence: its words' hashes, each mixed with its place, added up."""
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(hashes)) - np.repeat(starts, sizes)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(hashes + mixed(place.astype(np.uint64))))))
+    nodes = mixed(sums[starts + sizes] - sums[starts]).view(np.int64).tolist()
+    return [node if size else None for node, size in zip(nodes, sizes.tolist())]
+
+
+def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return word_hashes([folded(t.as_py()) for t in texts])
 
 
 def _nodes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield pa.array([node_of(plain_words(t.as_py())) for t in texts], pa.int64())
+        found = [n for at in range(0, len(texts), 512) for n in nodes_of(*_hashed(texts[at:at + 512]))]
+        yield pa.array(found, pa.int64())
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,12 +168,12 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             piece = batch.slice(at, 512)
-            texts = [plain_words(t.as_py()) for t in piece.column("text")]
-            docs, prints, counts = weighted_shingles(texts)
-            keys = band_keys(signatures(docs, prints, counts.astype(float), len(texts))).view(np.int64)
+            hashes, sizes = _hashed(piece.column("text"))
+            docs, prints, counts = weighted_shingles(hashes, sizes)
+            keys = band_keys(signatures(docs, prints, counts.astype(float), len(sizes))).view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "id": piece.column("id"), "node": pa.array([node_of(t) for t in texts], pa.int64()),
-                "bands": pa.array([k.tolist() if t else [] for k, t in zip(keys, texts)], pa.list_(pa.int64()))})
+                "id": piece.column("id"), "node": pa.array(nodes_of(hashes, sizes), pa.int64()),
+                "bands": pa.array([k.tolist() if n else [] for k, n in zip(keys, sizes)], pa.list_(pa.int64()))})
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +181,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             piece = batch.slice(at, 512)
-            docs, prints, counts = weighted_shingles([plain_words(t.as_py()) for t in piece.column("text")])
+            docs, prints, counts = weighted_shingles(*_hashed(piece.column("text")))
             edges = np.searchsorted(docs, np.arange(piece.num_rows + 1))
             yield pa.RecordBatch.from_pydict({
                 "node": piece.column("node"),
@@ -209,25 +214,27 @@ def _similarities(a: pa.Array, b: pa.Array) -> pa.Array:
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the edges ``(a, b)``; the root is the smallest node.
 
-    Alternates two steps until nothing changes: every node's larger neighbours are tied
-    to its smallest one, then all its smaller ones are. Only minima are gathered for a
+    Alternates two steps until every tie leads to a root: every node's larger neighbours
+    are tied to its smallest one, then its smaller ones are. Only minima are gathered for a
     node, combined map-side, and a hub's edges are split by adaptive execution.
     """
     ties = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    ties, before = materialize(ties), None
     while True:
+        ties = materialize(ties)
+        ends = ties.select(F.col("u").alias("node"), F.lit(1).alias("up")).union(ties.select("v", F.lit(0)))
+        loose = (ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+                 .filter("ups > 1 OR (ups = 1 AND n > 1)"))
+        if loose.isEmpty():  # every node has one tie upwards or only ties from below
+            break
         both = ties.union(ties.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (lookup(both.filter("v > u"), least, "u", "inner")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = lookup(large, least, "u", "inner")
-        ties = materialize(small.select("u", F.col("m").alias("v"))
-                           .union(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
-        now = ties.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        small = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        # A node with one tie keeps it; of several, the other ends are tied to the smallest.
+        ties = (small.select(F.explode(F.when(F.col("v") == F.col("m"), F.array(F.struct("u", F.col("m").alias("v"))))
+                                       .otherwise(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).alias("t"))
+                .select("t.u", "t.v").distinct())
     return ties.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         ties.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -257,42 +264,48 @@ def _rooted(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
 
 
-def near_links(described: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(a, b, similarity)``: links between nodes, enough of them to join all that belong together."""
-    nodes = described.filter("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
-    exploded = nodes.select(F.explode("bands").alias("bucket"), "node")
-    buckets = materialize(lookup(exploded, _several(exploded), "bucket", "inner").select("bucket", "node"))
-    stars = materialize(_stars(buckets))
-    wanted = buckets.select("node").distinct()
-    few = wanted.count() * 8 <= MAX_SENT
+def _candidate_sets(stars: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``(node, shingles)`` of every node that is a candidate, from one of its texts."""
+    wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    few = stars.count() * 16 <= MAX_SENT
     of_text = F.arrow_udf(_nodes, "bigint").asNondeterministic()
     texts = (docs.select(of_text(quoted(text).cast("binary")).alias("node"), quoted(text).cast("binary").alias("text"))
              .join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
              .groupBy("node").agg(F.first("text").alias("text")))
-    sets = materialize(texts.mapInArrow(_packed, "node bigint, shingles binary"))
+    return materialize(texts.mapInArrow(_packed, "node bigint, shingles binary"))
+
 
-    links, tested = _verified(stars, sets), stars
+def near_roots(described: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(node, root)`` of every node that is linked to another."""
+    nodes = described.filter("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
+    exploded = nodes.select(F.explode("bands").alias("bucket"), "node")
+    buckets = materialize(lookup(exploded, _several(exploded), "bucket", "inner").select("bucket", "node"))
+    stars = materialize(_stars(buckets))
+    sets = _candidate_sets(stars, docs, text)
+    roots, tested = components(_verified(stars, sets)), stars
+    ties = lambda: roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
     for level in range(1, LEVELS + 1):
-        roots = components(links)
-        mixed_roots = _several(_rooted(buckets, roots), "root").select("bucket", "n")
-        open_ = materialize(lookup(_rooted(buckets, roots), mixed_roots, "bucket", "inner"))
-        if open_.isEmpty():
-            break
+        rooted = _rooted(buckets, roots)
+        open_ = materialize(lookup(rooted, _several(rooted, "root").select("bucket", "n"), "bucket", "inner"))
         small = open_ if level == LEVELS else open_.filter(F.col("n") <= SMALL_BUCKET)
         one = small.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
         other = small.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
         pairs = (one.join(other, "bucket").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
                  .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        links = materialize(links.union(_verified(pairs, sets)))
+        found = _verified(pairs, sets).select("a", "b")
         large = open_.filter(F.col("n") > SMALL_BUCKET)
-        if level == LEVELS or large.isEmpty():
+        more = level < LEVELS and not large.isEmpty()
+        if more:
+            again = large.select("bucket", "node").join(sets, "node").select("bucket", "node", "shingles")
+            buckets = materialize(again.mapInArrow(_cut_again(level), "bucket bigint, node bigint"))
+            stars = materialize(_stars(buckets).join(tested, ["a", "b"], "left_anti"))
+            found = found.union(_verified(stars, sets).select("a", "b"))
+            tested = tested.union(stars)
+        if not found.isEmpty():
+            roots = components(ties().union(found))
+        if not more:
             break
-        again = large.select("bucket", "node").join(sets, "node").select("bucket", "node", "shingles")
-        buckets = materialize(again.mapInArrow(_cut_again(level), "bucket bigint, node bigint"))
-        stars = materialize(_stars(buckets).join(tested, ["a", "b"], "left_anti"))
-        links = materialize(links.union(_verified(stars, sets)))
-        tested = tested.union(stars)
-    return links
+    return roots
 
 
 def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,7 +318,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """``(node, class_id, n_docs, keeper)`` of every node: its class is named by the smallest id in it,
     and ``keeper`` is the node that this id stands at."""
     described = describe(docs, doc_id, text)
-    roots = components(near_links(described, docs, text))
+    roots = near_roots(described, docs, text)
     nodes = (described.filter("node IS NOT NULL").groupBy("node")
              .agg(F.min("id").alias("least"), F.count("*").alias("n")))
     rooted = nodes.join(roots, "node", "left").select("node", "least", "n", F.coalesce("root", "node").alias("root"))
