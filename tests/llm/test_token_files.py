@@ -1,0 +1,77 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from palate.llm import token_files as tf
+from palate.session import scratch_path
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+VOCABULARY = Tokenizer.from_file(PATH)
+ENCODER = tf.Encoder(PATH, most=50)
+
+
+def library_ids(text):
+    return VOCABULARY.encode(text or "", add_special_tokens=False).ids
+
+
+@given(st.lists(st.text(st.characters(codec="utf-8") | st.sampled_from(list(" \n\t.,!?'sS-<|>éÉΣ　\x85\x1c"))), min_size=1, max_size=4),
+       st.sampled_from(["", "<|endoftext|>", "IT'S!? the&&& é.", "<|ENDOFTEXT|>,"]))
+@settings(max_examples=300, deadline=None)
+def test_words_encoded_once_give_the_library_s_ids(texts, more):
+    texts = [t + more for t in texts]
+    ids, counts = ENCODER.encode([t.encode() for t in texts])
+    want = [library_ids(t) for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
+@given(st.lists(st.integers(0, 6), max_size=400), st.integers(0, 400), st.integers(0, 400), st.sampled_from([0, 70_000]))
+@settings(max_examples=200, deadline=None)
+def test_grammar_round_trip_and_random_access(tokens, start, stop, shift):
+    tokens = np.array(tokens, np.uint32) * np.uint32(shift or 1)
+    shard = tf.compress(tokens, [None, 5], np.array([0, len(tokens)], np.int64), least=2)
+    read = tf.unpack(tf.pack(shard))
+    assert read.tokens().tolist() == tokens.tolist() and read.ids == [None, 5]
+    start, stop = min(start, len(tokens)), min(stop, len(tokens))
+    assert read.tokens(start, stop).tolist() == tokens[start:stop].tolist()
+    lengths = [len(read.expand(np.array([read.base + k], np.uint32))) for k in range(len(read.left))]
+    assert lengths == read.lengths.tolist()
+
+
+def test_repeats_become_rules():
+    tokens = np.tile(np.arange(1, 9, dtype=np.uint32), 1000)
+    shard = tf.compress(tokens, [1], np.array([len(tokens)]))
+    assert len(shard.symbols) <= 1001 + 7 and len(tf.pack(shard)) < len(tokens)
+
+
+def checked(rows, docs):
+    """Starts and checksums against the library, in ascending order of ids."""
+    start = 0
+    rows = sorted(rows, key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == sorted((d for d, _ in docs), key=lambda d: (d is not None, d))
+    texts = {}
+    for d, t in docs:
+        texts.setdefault(d, []).append(np.array(library_ids(t) + [2], "<u4"))
+    for r in rows:
+        match = next(i for i, x in enumerate(texts[r.doc_id]) if (len(x), zlib.crc32(x)) == (r.n_tokens, r.ids_crc32))
+        texts[r.doc_id].pop(match)
+        assert r.start == start
+        start += r.n_tokens
+
+
+def test_every_case_has_a_result(spark, tricky):
+    path = scratch_path(spark, "tokens")
+    tf.write_tokens(tricky, path, PATH, shard_tokens=1000)
+    docs = [(r.doc_id, r.text) for r in tricky.collect()]
+    checked(tf.read_tokens(spark, path).collect(), docs)
+    assert spark.read.parquet(path).count() > 1
+    empty = scratch_path(spark, "tokens")
+    tf.write_tokens(tricky.limit(0), empty, PATH)
+    assert tf.read_tokens(spark, empty).count() == 0
+
+
+def test_query(spark, folder):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    checked(tf.op7_token_files(spark, folder).collect(), docs)
