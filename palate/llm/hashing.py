@@ -24,12 +24,19 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word between ASCII white space, and the number of words of each text.
+    """A 64-bit hash of every word between ASCII white space, and the number of words of each text."""
+    hashes, counts, *_ = located_words(texts)
+    return hashes, counts
+
+
+def located_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
+    """The same, and all texts as one with the places where each word starts and ends.
 
     A word's hash is the sum over its bytes of a random value for the byte times a random
     factor for its place, mixed. All words of many texts are hashed by a few array operations.
     """
-    whole = np.frombuffer(b" ".join([b"", *(t or b"" for t in texts), b""]), np.uint8)
+    joined = b" ".join([b"", *(t or b"" for t in texts), b""])
+    whole = np.frombuffer(joined, np.uint8)
     inside = _IS_WORD[whole]
     turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = turns[::2], turns[1::2]
@@ -44,7 +51,7 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
             terms *= mixed((place // len(_PLACE)).astype(np.uint64)) | np.uint64(1)
         out[at:at + _SLICE] = np.add.reduceat(terms, own)
     edges = np.cumsum([1] + [len(t or b"") + 1 for t in texts])
-    return mixed(out), np.diff(np.searchsorted(starts, edges))
+    return mixed(out), np.diff(np.searchsorted(starts, edges)), joined, starts, ends
 
 
 def fold(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:

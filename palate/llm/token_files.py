@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from palate.llm.common import quoted, table
+from palate.llm.hashing import located_words, word_hashes
 from palate.session import scratch_path
 
 END_ID = 2
@@ -81,44 +82,41 @@ class Shard:
         return self.expand(self.symbols[first:last + 1])[start - skipped:stop - skipped]
 
 
-def frequent_pairs(symbols: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+def pair_keys(symbols: np.ndarray) -> np.ndarray:
+    """Each pair of neighbours as one number."""
+    keys = symbols[:-1].astype(np.uint32 if symbols.dtype == np.uint16 else np.uint64)
+    keys <<= keys.dtype.type(8 * symbols.dtype.itemsize)
+    keys |= symbols[1:]
+    return keys
+
+
+def frequent_pairs(keys: np.ndarray, most: int, least: int) -> np.ndarray:
     """Up to ``most`` pairs that stand at least ``least`` times, the most frequent first."""
-    narrow = symbols.dtype == np.uint16
-    keys = symbols[:-1].astype(np.uint32 if narrow else np.uint64)
-    keys = (keys << (16 if narrow else 32)) | symbols[1:]
-    keys.sort()
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    counts = np.diff(np.append(starts, len(keys)))
+    ordered = np.sort(keys)
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    counts = np.diff(np.append(starts, len(ordered)))
     often = np.flatnonzero(counts >= least)
-    chosen = keys[starts[often[np.argsort(-counts[often], kind="stable")[:most]]]]
-    shift, mask = (16, 0xFFFF) if narrow else (32, 0xFFFFFFFF)
-    return (chosen >> chosen.dtype.type(shift)).astype(np.uint32), (chosen & chosen.dtype.type(mask)).astype(np.uint32)
-
-
-def replace_pairs(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, first: int) -> np.ndarray:
-    """Every pair ``left[k], right[k]`` becomes ``first + k``, from left to right without overlap."""
-    slots, factor = 1 << 20, np.uint64(0x9E3779B97F4A7C15)
-    # The last pair in a slot wins; another one of it waits for the next round.
-    mixed = lambda a, b: (((a.astype(np.uint64) << np.uint64(32)) | b) * factor >> np.uint64(44)).astype(np.uint32)
-    rule = np.zeros(slots, np.uint32)
-    place = mixed(left, right)
-    rule[place] = np.arange(1, len(left) + 1)
-    starts = np.zeros(int(max(symbols.max(initial=0), left.max(initial=0))) + 1, bool)
-    starts[left] = True
-    spots = np.flatnonzero(starts[symbols[:-1]])
-    a, b = symbols[spots], symbols[spots + 1]
-    found = rule[mixed(a, b)]
-    hit = found > 0
-    spots, found, a, b = spots[hit], found[hit] - 1, a[hit], b[hit]
-    same = (left[found] == a) & (right[found] == b)
+    return ordered[starts[often[np.argsort(-counts[often], kind="stable")[:most]]]]
+
+
+def replace_pairs(symbols: np.ndarray, keys: np.ndarray, chosen: np.ndarray, first: int) -> np.ndarray:
+    """Every pair ``chosen[k]`` becomes ``first + k``, from left to right without overlap."""
+    wide = keys.dtype == np.uint64
+    factor, shift = keys.dtype.type(0x9E3779B97F4A7C15 if wide else 0x9E3779B1), keys.dtype.type(44 if wide else 12)
+    # Pairs by the top 20 bits of a product. The last in a slot wins; others wait for the next round.
+    rule = np.zeros(1 << 20, np.uint32)
+    rule[chosen * factor >> shift] = np.arange(1, len(chosen) + 1)
+    found = rule[keys * factor >> shift]
+    spots = np.flatnonzero(found)
+    found = found[spots] - 1
+    same = chosen[found] == keys[spots]
     spots, found = spots[same], found[same]
     if not len(spots):
         return symbols
     # Within a run of neighbouring spots every second one is taken.
-    heads = np.concatenate(([True], spots[1:] != spots[:-1] + 1))
-    runs = np.flatnonzero(heads)
+    runs = np.flatnonzero(np.concatenate(([True], spots[1:] != spots[:-1] + 1)))
     offset = np.arange(len(spots)) - np.repeat(runs, np.diff(np.append(runs, len(spots))))
-    taken = offset % 2 == 0
+    taken = offset & 1 == 0
     out, kept = symbols.copy(), np.ones(len(symbols), bool)
     out[spots[taken]] = first + found[taken]
     kept[spots[taken] + 1] = False
@@ -140,10 +138,13 @@ def compress(tokens: np.ndarray, ids: list[int | None], sizes: np.ndarray, round
     for turn in range(rounds):
         if len(symbols) < 2:
             break
-        a, b = frequent_pairs(symbols, (room - len(left)) // (rounds - turn), least)
-        if not len(a):
+        keys = pair_keys(symbols)
+        chosen = frequent_pairs(keys, (room - len(left)) // (rounds - turn), least)
+        if not len(chosen):
             break
-        symbols = replace_pairs(symbols, a, b, base + len(left))
+        bits = 8 * symbols.dtype.itemsize
+        a, b = (chosen >> chosen.dtype.type(bits)).astype(np.uint32), (chosen & chosen.dtype.type((1 << bits) - 1)).astype(np.uint32)
+        symbols = replace_pairs(symbols, keys, chosen, base + len(left))
         lengths = np.concatenate((lengths, (length_of(a) + length_of(b)).astype(np.uint32)))
         left, right = np.concatenate((left, a)), np.concatenate((right, b))
     return Shard(base, left, right, lengths, symbols, ids, sizes)
@@ -193,7 +194,7 @@ def core_and_marks(word: bytes) -> tuple[bytes, bytes]:
         return word, b""
     low = word.translate(_LOWER)
     core = low.rstrip(_MARKS)
-    if core and len(core) < len(low) and (core[-1] < 128 or "\u00c0" <= core.decode()[-1] <= "\u00ff" and core.decode()[-1].isalpha()):
+    if len(core) < len(low) and core and (core[-1:].isalnum() or core[-1] > 127 and "\u00c0" <= (end := core.decode()[-1]) <= "\u00ff" and end.isalpha()):
         return core, low[len(core):]
     return low, b""
 
@@ -202,22 +203,26 @@ class Encoder:
     """The library's ids of whole texts, each word between white space encoded once.
 
     That is the same for a vocabulary that drops white space and case and cuts letters from
-    punctuation, as ``splits_words`` checks; other vocabularies get whole texts. About ``most``
-    words are remembered.
+    punctuation, as ``splits_words`` checks; other vocabularies get whole texts. Words are
+    known by their 64-bit hashes; after ``most`` of them all are forgotten.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 4_000_000):
         from tokenizers import Tokenizer
         self.vocabulary = Tokenizer.from_file(path)
         self.vocabulary.no_truncation()
         self.vocabulary.no_padding()
         self.most, self.split = most, self.splits_words()
+        closing = [i for token, i in self.vocabulary.get_vocab().items() if token.endswith("</w>")]
+        self.closing = np.zeros(self.vocabulary.get_vocab_size(), bool) if closing else None
+        if closing:
+            self.closing[closing] = True
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)
+        """Nothing is known. ``hashes`` is ascending, ``entry`` says where a word's ids are."""
+        self.hashes, self.entry = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.flat, self.ends, self.count = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
 
     def splits_words(self) -> bool:
         """White space, case and closing punctuation do not change the ids of what stands before."""
@@ -228,50 +233,90 @@ class Encoder:
         return cores == apart and all(
             ids(space.join(["", *words, ""])) == apart for space in (" ", "\n", "\t\r\n", "  \x0b\x0c"))
 
-    def _store(self, words: list[bytes], found: list[list[int]]) -> None:
-        if not words:
-            return
-        count, old = len(self.known), int(self.ends[len(self.known)])
-        ends = old + np.cumsum([len(f) for f in found])
-        while len(self.ends) <= count + len(words):
+    def _store(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """New words' ids, one after the other, and the number of each."""
+        first, old = self.count, int(self.ends[self.count])
+        self.count += len(hashes)
+        while len(self.ends) <= self.count:
             self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        while len(self.flat) < ends[-1]:
+        while len(self.flat) < old + len(ids):
             self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
-        self.ends[count + 1:count + 1 + len(words)] = ends
-        self.flat[old:ends[-1]] = [i for f in found for i in f]
-        self.known.update(zip(words, range(count, count + len(words))))
-
-    def _ids(self, word: bytes) -> list[int]:
-        if not word:
-            return []
-        at = self.known[word]
-        return self.flat[self.ends[at]:self.ends[at + 1]].tolist()
-
-    def _learn(self, words: list[bytes]) -> None:
-        new = dict.fromkeys(w for w in words if w not in self.known)
-        parts = {w: core_and_marks(w) for w in new}
-        plain = [p for p in dict.fromkeys(p for both in parts.values() for p in both) if p and p not in self.known]
-        found = self.vocabulary.encode_batch_fast([p.decode() for p in plain], add_special_tokens=False)
-        self._store(plain, [f.ids for f in found])
-        rest = [w for w in new if w not in self.known]
-        self._store(rest, [self._ids(parts[w][0]) + self._ids(parts[w][1]) for w in rest])
+        self.ends[first + 1:self.count + 1] = old + np.cumsum(counts)
+        self.flat[old:old + len(ids)] = ids
+        hashes, entry = np.concatenate((self.hashes, hashes)), np.concatenate((self.entry, np.arange(first, self.count)))
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.entry = hashes[order], entry[order]
+
+    def _place(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each word, -1 where it is not known."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.entry[at], -1)
+
+    def _fetch(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the entries one after the other, and the number of each."""
+        starts = self.ends[place]
+        counts = self.ends[place + 1] - starts
+        ends = np.cumsum(counts)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)], counts
+
+    def _by_library(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of ASCII letters go many to a text: each ends with the only id in it that
+        stands for the end of a word. All others are encoded one by one."""
+        found: list[list[int] | np.ndarray] = [[]] * len(words)
+        letters = [i for i, w in enumerate(words) if w.isalpha()] if self.closing is not None else []
+        for at in range(0, len(letters), 1024):
+            some = letters[at:at + 1024]
+            text = b" ".join([words[i] for i in some]).decode()
+            ids = np.array(self.vocabulary.encode(text, add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(some):
+                for i, a, z in zip(some, [0, *ends.tolist()], ends.tolist()):
+                    found[i] = ids[a:z]
+        rest = [i for i, f in enumerate(found) if not len(f)]
+        for i, e in zip(rest, self.vocabulary.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)):
+            found[i] = e.ids
+        counts = np.array([len(f) for f in found], np.int64)
+        return np.concatenate([np.empty(0, np.uint32), *(np.asarray(f, np.uint32) for f in found)]), counts
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        parts = [core_and_marks(w) for w in words]
+        pieces = list(dict.fromkeys(p for both in parts for p in both if p))
+        own, _ = word_hashes([b" ".join(pieces)])
+        new = np.flatnonzero(self._place(own) < 0)
+        self._store(own[new], *self._by_library([pieces[i] for i in new.tolist()]))
+        rest = np.flatnonzero(self._place(hashes) < 0)
+        # The words that are not pieces themselves: the ids of the core, then those of the marks.
+        place = dict(zip(pieces, self._place(own).tolist()))
+        ids, counts = self._fetch(np.array([place[p] for i in rest.tolist() for p in parts[i] if p], np.int64))
+        several = np.array([bool(parts[i][0]) + bool(parts[i][1]) for i in rest.tolist()], np.int64)
+        ends = np.cumsum(several)
+        totals = np.concatenate(([0], np.cumsum(counts)))
+        self._store(hashes[rest], ids, totals[ends] - totals[ends - several])
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each."""
         if not self.split:
             ids = [self.vocabulary.encode((t or b"").decode(), add_special_tokens=False).ids for t in texts]
             return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
-        lists = [(t or b"").split() for t in texts]
-        words = [w for x in lists for w in x]
-        if len(self.known) > self.most:
+        hashes, sizes, joined, starts, ends = located_words(
+            [t if not t or b"<|" in t else t.translate(_LOWER) for t in texts])
+        if self.count > self.most:
             self.forget()
-        self._learn(words)
-        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        starts, counts = self.ends[place], self.ends[place + 1] - self.ends[place]
-        ends = np.cumsum(counts)
-        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)]
-        edges = np.concatenate(([0], ends))[np.cumsum([0] + [len(x) for x in lists])]
-        return ids, np.diff(edges)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else order
+        place = self._place(ordered[heads])
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            at = order[heads[new]]
+            self._learn([joined[a:z] for a, z in zip(starts[at].tolist(), ends[at].tolist())], hashes[at])
+            place[new] = self._place(hashes[at])
+        of_words = np.empty(len(hashes), np.int64)
+        of_words[order] = np.repeat(place, np.diff(np.append(heads, len(order))))
+        ids, counts = self._fetch(of_words)
+        return ids, np.diff(np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(sizes)))])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -312,8 +357,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
                 "n_docs": [len(ids)], "n_tokens": [len(tokens)], "block": [block]})
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                piece = batch.slice(at, 1024)
                 tokens, sizes = with_ends(*encoder(tokenizer).encode(piece.column("text").to_pylist()), end_id)
                 held.append((piece.column("id").to_pylist(), tokens, sizes))
                 if sum(len(h[1]) for h in held) >= shard_tokens:
