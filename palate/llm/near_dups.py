@@ -8,15 +8,16 @@ the latest register are never generated, so a document of many shingles costs
 little more than one pass.
 
 1. Equal word sequences are one node; copies are never compared.
-2. Registers are hashed in bands. Nodes that share a band are candidates: each
-   is compared with its bucket's smallest node, not with all.
+2. Registers are hashed in bands. Nodes that share a band are candidates. Each is first
+   compared with one other only, the smallest node it shares a band with.
 3. Links of exact similarity ``THRESHOLD`` or more are contracted to components.
 4. Buckets that still hold several components are finished: all pairs across components
-   where the bucket is small; a large bucket is cut by fresh bands of new registers, and
-   these go through the same steps. So no pair of a bucket is left out for its size.
+   where the bucket is small; in a large one every node against the smallest, and
+   if that leaves several components, the bucket is cut by fresh bands of new registers and the
+   parts go through the same step. So no pair of a bucket is left out for its size.
 
-A pair at similarity 0.8 shares a band with probability 1 - 5e-5, more similar ones
-with more. Nodes are 64-bit hashes of the words.
+A pair at similarity 0.8 shares a band with probability 1 - 2e-4, at 0.85 with 1 - 1e-6.
+Nodes are 64-bit hashes of the words.
 
 Texts of one to four words have one shingle, all their words. Null and empty texts have none and
 are a class of their own each. A null id never names a class that has another id;
@@ -38,9 +39,9 @@ from palate.session import materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
-REGISTERS, BANDS, ROWS = 128, 25, 5
+REGISTERS, BANDS, ROWS = 256, 36, 7
 #: Nodes of a bucket up to which all its pairs across components are listed.
-SMALL_BUCKET = 48
+SMALL_BUCKET = 16
 #: Times that large buckets are cut anew before their pairs are listed whatever their size.
 LEVELS = 3
 #: Bytes of node ids that may be sent to the scan which fetches their texts.
@@ -248,26 +249,35 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(scored.filter(F.col("similarity") >= THRESHOLD - 1e-12))
 
 
-def _several(buckets: DataFrame, by: str = "node") -> DataFrame:
-    """``(bucket, low, n)`` of the buckets that hold more than one ``by``."""
-    return (buckets.groupBy("bucket").agg(F.min(by).alias("low"), F.max(by).alias("high"), F.count("*").alias("n"))
-            .filter("low <> high").select("bucket", "low", "n"))
+def _several(buckets: DataFrame) -> DataFrame:
+    """``(bucket, low)`` of the buckets that hold more than one node."""
+    return (buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+            .filter("low <> high").select("bucket", "low"))
 
 
-def _stars(buckets: DataFrame) -> DataFrame:
-    """``(a, b)``: every node with the smallest of its bucket."""
-    return (lookup(buckets, _several(buckets), "bucket", "inner").filter("node <> low")
-            .select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
+def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(bucket, node, root, n, low, low_root)`` of the buckets that hold more than one component."""
+    rooted = (buckets.select("bucket", "node").join(roots, "node", "left")
+              .select("bucket", "node", F.coalesce("root", "node").alias("root")))
+    several = (rooted.groupBy("bucket")
+               .agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("n"),
+                    F.min(F.struct("node", "root")).alias("least"))
+               .filter("first <> last")
+               .select("bucket", "n", F.col("least.node").alias("low"), F.col("least.root").alias("low_root")))
+    return lookup(rooted, several, "bucket", "inner")
 
 
-def _rooted(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    return buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+def _pairs_across(small: DataFrame) -> DataFrame:
+    """``(a, b)``: all pairs of a bucket that belong to different components."""
+    one = small.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
+    other = small.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    return one.join(other, "bucket").filter("a < b AND root_a <> root_b").select("a", "b")
 
 
-def _candidate_sets(stars: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """``(node, shingles)`` of every node that is a candidate, from one of its texts."""
-    wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    few = stars.count() * 16 <= MAX_SENT
+def _candidate_sets(buckets: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``(node, shingles)`` of every node that shares a bucket, from one of its texts."""
+    wanted = materialize(buckets.select("node").distinct())
+    few = wanted.count() * 8 <= MAX_SENT
     of_text = F.arrow_udf(_nodes, "bigint").asNondeterministic()
     texts = (docs.select(of_text(quoted(text).cast("binary")).alias("node"), quoted(text).cast("binary").alias("text"))
              .join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
@@ -279,32 +289,28 @@ def near_roots(described: DataFrame, docs: DataFrame, text: str = "text") -> Dat
     """``(node, root)`` of every node that is linked to another."""
     nodes = described.filter("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
     exploded = nodes.select(F.explode("bands").alias("bucket"), "node")
-    buckets = materialize(lookup(exploded, _several(exploded), "bucket", "inner").select("bucket", "node"))
-    stars = materialize(_stars(buckets))
-    sets = _candidate_sets(stars, docs, text)
-    roots, tested = components(_verified(stars, sets)), stars
-    ties = lambda: roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    buckets = materialize(lookup(exploded, _several(exploded), "bucket", "inner"))
+    sets = _candidate_sets(buckets, docs, text)
+    tested = materialize(buckets.filter("node <> low").groupBy(F.col("node").alias("b"))
+                         .agg(F.min("low").alias("a")).select("a", "b"))
+    roots = components(_verified(tested, sets))
     for level in range(1, LEVELS + 1):
-        rooted = _rooted(buckets, roots)
-        open_ = materialize(lookup(rooted, _several(rooted, "root").select("bucket", "n"), "bucket", "inner"))
-        small = open_ if level == LEVELS else open_.filter(F.col("n") <= SMALL_BUCKET)
-        one = small.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        other = small.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        pairs = (one.join(other, "bucket").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
-                 .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        found = _verified(pairs, sets).select("a", "b")
-        large = open_.filter(F.col("n") > SMALL_BUCKET)
-        more = level < LEVELS and not large.isEmpty()
-        if more:
-            again = large.select("bucket", "node").join(sets, "node").select("bucket", "node", "shingles")
-            buckets = materialize(again.mapInArrow(_cut_again(level), "bucket bigint, node bigint"))
-            stars = materialize(_stars(buckets).join(tested, ["a", "b"], "left_anti"))
-            found = found.union(_verified(stars, sets).select("a", "b"))
-            tested = tested.union(stars)
-        if not found.isEmpty():
-            roots = components(ties().union(found))
-        if not more:
+        open_ = materialize(_open(buckets, roots))
+        if open_.isEmpty():
             break
+        all_pairs = F.lit(level == LEVELS) | (F.col("n") <= SMALL_BUCKET)
+        stars = open_.filter(~all_pairs & (F.col("root") != F.col("low_root"))).select(F.col("low").alias("a"), F.col("node").alias("b"))
+        pairs = materialize(_pairs_across(open_.filter(all_pairs)).union(stars).distinct().join(tested, ["a", "b"], "left_anti"))
+        links = _verified(pairs, sets)
+        if not links.isEmpty():
+            ties = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+            roots = components(ties.union(links.select("a", "b")))
+        if level == LEVELS or open_.filter(~all_pairs).isEmpty():
+            break
+        large = _open(open_.filter(~all_pairs), roots)
+        again = large.select("bucket", "node").join(sets, "node").select("bucket", "node", "shingles")
+        buckets = materialize(again.mapInArrow(_cut_again(level), "bucket bigint, node bigint"))
+        tested = tested.union(pairs)
     return roots
 
 
