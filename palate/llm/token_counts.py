@@ -100,7 +100,7 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
     ``cache`` is a folder that all executors share, ``tokenizer`` a ``.model`` or
     ``.json`` file on every machine. ``normalise`` is applied before digesting and encoding.
     """
-    digest, held = fresh("digest"), fresh("count")
+    digest, held, size = fresh("digest"), fresh("count"), fresh("size")
     content = normalise(quoted(text))
     key = F.unhex(F.sha2(content.cast("binary"), 256))
     append_missing(docs.select(key.alias("digest"), content.alias("content")), cache, tokenizer)
@@ -108,10 +108,11 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
     # Computed anew, the key no longer counts as the aggregate's partitioning. Both sides then
     # come straight from an exchange, and adaptive execution can split a hot digest.
     counts = counts.select(F.concat("digest", F.unhex(F.lit(""))).alias(digest), F.col("n_tokens").alias(held))
-    joined = docs.withColumn(digest, key).join(counts, digest, "left")
+    # The bytes are counted before the join, so that a caller who drops the text does not move it.
+    n_bytes = F.octet_length(F.coalesce(quoted(text), F.lit(""))).cast("long")
+    joined = docs.withColumns({digest: key, size: n_bytes}).join(counts, digest, "left")
     return joined.select(
-        *others(docs, ("n_bytes", "n_tokens", "over_limit")),
-        F.octet_length(F.coalesce(quoted(text), F.lit(""))).cast("long").alias("n_bytes"),
+        *others(docs, ("n_bytes", "n_tokens", "over_limit")), F.col(size).alias("n_bytes"),
         F.col(held).alias("n_tokens"), (F.col(held) > limit).alias("over_limit"))
 
 
