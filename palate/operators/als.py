@@ -22,6 +22,7 @@ RANKS = (2, 4, 8, 12, 16, 20, 24)
 REG_PARAMS = (0.01, 0.05, 0.1, 0.15, 0.2, 0.3)
 
 CHECKPOINT_INTERVAL = 5
+BLOCKS = 10
 
 
 @contextmanager
@@ -46,17 +47,19 @@ def _is_stored(df: DataFrame) -> bool:
 
 
 def estimator(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, max_iter: int = 10,
-              blocks: int | None = None, seed: int = SEED) -> ALS:
-    """An explicit-feedback estimator with one block per core.
+              user_blocks: int = BLOCKS, item_blocks: int = BLOCKS, seed: int = SEED) -> ALS:
+    """An explicit-feedback estimator.
 
+    Start factors are drawn per block, so the number of blocks is part of the
+    model like the seed and never follows from the cluster. Raise both on a large
+    cluster (a task solves one block at a time, and each cutting task sets up
+    ``user_blocks * item_blocks`` builders), knowing that the factors change.
     The checkpoint folder is registered first, so ALS cuts the lineage of its
     factors every few iterations and a lost executor replays no more than those.
     """
-    spark = ratings.sparkSession
-    shared_dir(spark)
-    blocks = blocks or spark.sparkContext.defaultParallelism
+    shared_dir(ratings.sparkSession)
     return ALS(userCol="userId", itemCol="movieId", ratingCol="rating", rank=rank, regParam=reg_param,
-               maxIter=max_iter, numUserBlocks=blocks, numItemBlocks=blocks, seed=seed,
+               maxIter=max_iter, numUserBlocks=user_blocks, numItemBlocks=item_blocks, seed=seed,
                checkpointInterval=CHECKPOINT_INTERVAL)
 
 
@@ -79,7 +82,11 @@ def fit(ratings: DataFrame, rank: int = 10, reg_param: float = 0.1, durable: boo
     else:
         with persisted(rows):
             model = solver.fit(rows)
-    return make_durable(model, ratings.sparkSession) if durable else model
+    if not durable:
+        return model
+    kept = make_durable(model, ratings.sparkSession)
+    release(model)
+    return kept
 
 
 def make_durable(model: ALSModel, spark: SparkSession) -> ALSModel:
@@ -88,6 +95,22 @@ def make_durable(model: ALSModel, spark: SparkSession) -> ALSModel:
     return load_model(path)
 
 
+def release(model: ALSModel) -> None:
+    """Drop the factors that ``fit`` left in the executors' memory.
+
+    They are stored below the model's frames, where ``DataFrame.unpersist`` does not reach.
+    """
+    for factors in (model.userFactors, model.itemFactors):
+        todo = [factors._jdf.queryExecution().toRdd()]
+        while todo:
+            rdd = todo.pop()
+            if rdd.getStorageLevel().useMemory() or rdd.getStorageLevel().useDisk():
+                rdd.unpersist(False)
+            else:
+                parents = rdd.dependencies()
+                todo += [parents.apply(i).rdd() for i in range(parents.size())]
+
+
 @dataclass(frozen=True)
 class Search:
     """Outcome of a grid search; ``metrics`` has one row per candidate."""
@@ -108,7 +131,8 @@ def grid_search(train: DataFrame, validation: DataFrame, ranks: Iterable[int] =
 
     Candidates are numbered with the regularisation as the outer loop. Only one
     error per candidate reaches the driver; ``parallelism`` candidates run at a
-    time, which fills the cluster while one of them is in a small stage.
+    time, which fills the cluster while one of them is in a small stage. Of the
+    models only the best so far is kept in memory.
     """
     candidates = [(reg, rank) for reg in reg_params for rank in ranks]
     best: tuple[float, int, ALSModel] | None = None
@@ -126,14 +150,19 @@ def grid_search(train: DataFrame, validation: DataFrame, ranks: Iterable[int] =
             rows.append((position, float(reg), rank, n_scored, error))
             # NaN compares false, and an equal error does not displace an earlier one.
             if error < (best[0] if best else math.inf):
-                best = (error, position, model)
+                loser, best = best and best[2], (error, position, model)
+            else:
+                loser = model
+            if loser:
+                release(loser)
     if best is None:
         raise ValueError("no candidate scored any validation row with a finite error")
     error, chosen, model = best
     marked = [(*row, row[0] == chosen) for row in rows]
     metrics = train.sparkSession.createDataFrame(marked, METRICS)
-    model = make_durable(model, train.sparkSession)
-    return Search(model, candidates[chosen][1], candidates[chosen][0], error, metrics)
+    durable = make_durable(model, train.sparkSession)
+    release(model)
+    return Search(durable, candidates[chosen][1], candidates[chosen][0], error, metrics)
 
 
 def refit(train: DataFrame, validation: DataFrame, rank: int, reg_param: float,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from palate.functions.vectors import dot
 from palate.operators.joins import lookup
 
 
@@ -50,32 +51,40 @@ def damped_mean_errors(ratings: DataFrame, in_train: Column, held_out: Column,
                        dampings: list[float]) -> DataFrame:
     """Held-out RMSE of the damped item mean ``(s + k*mu) / (n + k)`` for each damping ``k``.
 
-    ``s`` and ``n`` are an item's training sum and count, ``mu`` the mean over
-    all training ratings. The guess is ``a + mu*b`` with ``a = s/(n+k)`` and
-    ``b = k/(n+k)``, so its squared error over an item's held-out count ``m``,
-    sum ``t`` and sum of squares ``q`` is a polynomial in ``mu`` whose
-    coefficients add up over items. One map-side combined pass over the ratings
-    serves the whole grid, ``mu`` included, and a popular item costs no more
-    than any other.
+    ``s`` and ``n`` are an item's training sum and count, ``mu`` the mean over all
+    training ratings. The gaps themselves are squared, so a perfect guess has an error
+    of exactly 0. The whole grid is one aggregate with a column for each damping;
+    without a held-out row of a known item the errors are null.
     """
     value = F.col("rating").cast("double")
-    totals = (ratings.groupBy("movieId")
-              .agg(F.count_if(in_train).alias("n"), F.sum(F.when(in_train, value)).alias("s"),
-                   F.count_if(held_out).alias("m"),
-                   F.coalesce(F.sum(F.when(held_out, value)), F.lit(0.0)).alias("t"),
-                   F.coalesce(F.sum(F.when(held_out, value * value)), F.lit(0.0)).alias("q"))
-              .filter(F.col("n") > 0))
-    grid = F.posexplode(F.array(*[F.lit(float(k)) for k in dampings])).alias("grid_pos", "damping")
-    k, n, m, t, q = (F.col(c) for c in ("damping", "n", "m", "t", "q"))
-    a, b = F.col("s") / (n + k), k / (n + k)
-    per_damping = (totals.select("*", grid).groupBy("grid_pos", "damping")
-                   .agg((F.sum("s") / F.sum("n")).alias("mu"), F.sum("m").alias("n_scored"),
-                        F.sum(q - 2 * a * t + m * a * a).alias("c0"),
-                        F.sum(2 * b * (m * a - t)).alias("c1"),
-                        F.sum(m * b * b).alias("c2")))
-    squared = F.col("c0") + F.col("mu") * (F.col("c1") + F.col("mu") * F.col("c2"))
-    return per_damping.select("grid_pos", "damping", "n_scored",
-                              F.sqrt(squared / F.col("n_scored")).alias("rmse"))
+    totals = (ratings.filter(in_train).groupBy("movieId")
+              .agg(F.count("rating").alias("n"), F.sum(value).alias("s")).filter(F.col("n") > 0))
+    mu = totals.agg((F.sum("s") / F.sum("n")).alias("mu")).scalar()
+    rows = lookup(ratings.filter(held_out).select("movieId", value.alias("x")), totals, "movieId", "inner")
+    gaps = [F.col("x") - (F.col("s") + k * mu) / (F.col("n") + k) for k in map(float, dampings)]
+    grid = [F.struct(F.lit(float(k)).alias("damping"), F.count(gap).alias("n_scored"),
+                     F.sqrt(F.avg(gap * gap)).alias("rmse")) for k, gap in zip(dampings, gaps)]
+    per_damping = rows.agg(F.array(*grid).alias("grid")).select(F.posexplode("grid").alias("grid_pos", "m"))
+    return per_damping.select("grid_pos", "m.damping", "m.n_scored", "m.rmse")
+
+
+def fit_residuals(ratings: DataFrame, user_factors: DataFrame, item_factors: DataFrame, reg_param: float) -> DataFrame:
+    """``(userId, residual)``: how far each user's factors are from solving their own equations.
+
+    A fit ends with the users' half step, in which the factors ``u`` of a user with ``n``
+    ratings ``r`` solve ``sum((u.v - r) * v) + reg_param * n * u = 0`` over the factors ``v``
+    of the rated items. The largest component of the left side is 0 but for rounding.
+    """
+    users = user_factors.select(F.col("id").alias("userId"), F.col("features").alias("_u"))
+    items = item_factors.select(F.col("id").alias("movieId"), F.col("features").alias("_v"))
+    rank = user_factors.select(F.size("features").alias("k")).first()
+    rows = ratings.select("userId", "movieId", "rating").join(items, "movieId").join(users, "userId")
+    gap = dot(F.col("_u"), F.col("_v")) - F.col("rating").cast("double")
+    at = lambda c, i: F.col(c)[i].cast("double")
+    parts = range(rank["k"] if rank else 0)
+    sums = (rows.withColumn("_gap", gap).groupBy("userId")
+            .agg(*(F.sum(F.col("_gap") * at("_v", i) + reg_param * at("_u", i)).alias(f"_{i}") for i in parts)))
+    return sums.select("userId", F.greatest(F.lit(0.0), F.lit(0.0), *(F.abs(f"_{i}") for i in parts)).alias("residual"))
 
 
 def arg_min(metrics: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from palate.functions.narrow import as_int
 from palate.session import materialize
 
 POSITION_BITS = 33  # low bits of monotonically_increasing_id: the row's place in its partition
@@ -15,7 +16,7 @@ def dense_index(df: DataFrame, column: str) -> DataFrame:
     The distinct ids are range-partitioned, sorted and written once. A row's
     index is then its place in its partition plus the sizes of the partitions
     before it; the running total covers one row per partition, never the ids.
-    More than 2**31 distinct ids fail the cast instead of wrapping round.
+    More than 2**31 distinct ids are refused instead of wrapping round.
     """
     ids = df.select(column).filter(F.col(column).isNotNull()).distinct()
     ordered = materialize(ids.repartitionByRange(column).sortWithinPartitions(column))
@@ -26,7 +27,7 @@ def dense_index(df: DataFrame, column: str) -> DataFrame:
     starts = (located.groupBy("part").agg(F.count("*").alias("n"))
               .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
     return (located.join(F.broadcast(starts), "part")
-            .select(column, (F.col("start") + F.col("place")).cast("int").alias("index")))
+            .select(column, as_int(F.col("start") + F.col("place"), "index").alias("index")))
 
 
 def with_index(df: DataFrame, index: DataFrame, column: str) -> DataFrame:

@@ -14,6 +14,7 @@ from palate.operators.evaluate import is_scored
 
 TILE_USERS = 65536
 TILE_ITEMS = 65536
+TILE_SEEN = 4_000_000
 TASKS_PER_CORE = 32
 
 # Workers receive the tile code itself, so the package need not be installed on them.
@@ -21,23 +22,31 @@ cloudpickle.register_pickle_by_value(tiles)
 
 
 def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
-    """Attach ``prediction`` to every pair whose user and item both have factors."""
+    """Attach ``prediction`` to every pair; NaN where the user or the item has no factors.
+
+    No pair is lost, so callers can count the unscored ones; ``drop_cold`` removes them.
+    """
     users = user_factors.select(F.col("id").alias("userId"), F.col("features").alias("_u"))
     items = item_factors.select(F.col("id").alias("movieId"), F.col("features").alias("_v"))
-    return (pairs.join(users, "userId").join(items, "movieId")
-            .withColumn("prediction", dot(F.col("_u"), F.col("_v")).cast("float"))
-            .drop("_u", "_v"))
+    prediction = F.coalesce(dot(F.col("_u"), F.col("_v")).cast("float"), F.lit(float("nan")).cast("float"))
+    return (pairs.join(users, "userId", "left").join(items, "movieId", "left")
+            .withColumn("prediction", prediction).drop("_u", "_v"))
 
 
 def score_pool(model: ALSModel, pool: DataFrame, user_id: int) -> DataFrame:
-    """Predict one user's candidate pool, leaving out items the model cannot score.
+    """Predict one user's candidate pool, leaving out items the model cannot score."""
+    return score_pool_with(model.userFactors, model.itemFactors, pool, user_id)
+
+
+def score_pool_with(user_factors: DataFrame, item_factors: DataFrame, pool: DataFrame, user_id: int) -> DataFrame:
+    """The same with any factor tables.
 
     The pool meets the item factors in an equi-join on the key the pool is
     already partitioned by. The user's own factors are a single row and enter
     as a scalar subquery, so nothing is shuffled on the one user id.
     """
-    items = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("_v"))
-    own = model.userFactors.filter(F.col("id") == user_id).select("features").scalar()
+    items = item_factors.select(F.col("id").alias("movieId"), F.col("features").alias("_v"))
+    own = user_factors.filter(F.col("id") == user_id).select("features").scalar()
     known = pool.join(items, "movieId").withColumn("_u", own).filter(F.col("_u").isNotNull())
     return known.withColumn("prediction", dot(F.col("_u"), F.col("_v")).cast("float")).drop("_u", "_v")
 
@@ -64,7 +73,8 @@ def rank_per_user(scored: DataFrame, n: int) -> DataFrame:
 
 
 def top_n_per_user(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame, n: int = 25,
-                   tile_users: int = TILE_USERS, tile_items: int = TILE_ITEMS) -> DataFrame:
+                   tile_users: int = TILE_USERS, tile_items: int = TILE_ITEMS,
+                   tile_seen: int = TILE_SEEN) -> DataFrame:
     """Top ``n`` unseen items of every user: ``(userId, rank, movieId, prediction)``.
 
     Users and items are hashed into blocks, and one task handles one block pair
@@ -72,15 +82,21 @@ def top_n_per_user(user_factors: DataFrame, item_factors: DataFrame, seen: DataF
     most ``n`` rows per user. Pairs are never stored or shuffled: what moves is
     one copy of each user per item block, one copy of each item per user block,
     the seen pairs once, and ``n`` rows per user and item block at the end.
-    Tiles have a fixed size, and a user or item with a huge history is spread
-    over all its tiles. To serve some users or recommend from some items only,
+    A tile holds at most about ``tile_users`` users, ``tile_items`` items and
+    ``tile_seen`` seen pairs, and a user or item with a huge history is spread over
+    all its tiles. To serve some users or recommend from some items only,
     restrict ``user_factors`` / ``item_factors`` (and ``seen`` likewise) beforehand.
     """
     parallelism = user_factors.sparkSession.sparkContext.defaultParallelism
-    n_users, n_items = user_factors.count(), item_factors.count()
+    pairs = (seen.select("userId", "movieId").distinct()
+             .filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull()))
+    n_users, n_items, n_seen = user_factors.count(), item_factors.count(), pairs.count()
     item_blocks = max(1, math.ceil(n_items / tile_items))
-    # Small inputs are still cut finely enough to occupy every core.
-    user_blocks = max(1, math.ceil(n_users / tile_users), min(2 * parallelism, n_users) // item_blocks)
+    # Small inputs are still cut finely enough to occupy every core, as long as the
+    # copies of the items, one for each user block, do not outnumber the other rows.
+    occupy = min(2 * parallelism, n_users, max(1, (n_users + n_seen) // max(1, n_items)))
+    user_blocks = max(1, math.ceil(n_users / tile_users), math.ceil(n_seen / (tile_seen * item_blocks)),
+                      occupy // item_blocks)
 
     user_block = F.pmod(F.xxhash64("userId"), F.lit(user_blocks)).cast("int").alias("ub")
     item_block = F.pmod(F.xxhash64("movieId"), F.lit(item_blocks)).cast("int").alias("ib")
@@ -91,8 +107,7 @@ def top_n_per_user(user_factors: DataFrame, item_factors: DataFrame, seen: DataF
     # empty vector (null vectors are several times slower to hand to Python).
     users = (user_factors.select(F.col("id").alias("userId"), F.col("features").alias("u"))
              .select(user_block, every_item_block, "userId", F.lit(None).cast("int").alias("movieId"), "u"))
-    history = (seen.select("userId", "movieId").distinct()
-               .filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
+    history = (pairs
                .select(user_block, item_block, "userId", "movieId", F.array().cast("array<float>").alias("u")))
     items = (item_factors.select(F.col("id").alias("movieId"), F.col("features").alias("v"))
              .select(every_user_block, item_block, "movieId", "v"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from palate.functions.buckets import BUCKETS, ITEM_FACTOR, USER_FACTOR
+from palate.functions.buckets import BUCKETS
+from palate.operators.als import RANKS, REG_PARAMS
 from palate.plans.queries import DAMPINGS, FLOOR, GENRE, RANK, TOP, USER
 
 RATINGS = """
@@ -33,9 +34,13 @@ POPULAR = """
 popular AS (
   SELECT * FROM pool p WHERE NOT EXISTS (SELECT 1 FROM low l WHERE l."movieId" = p."movieId"))"""
 
+def _bucket(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % {BUCKETS}"
+
+
 SPLIT = f"""
 numbered AS (
-  SELECT *, (CAST("userId" AS BIGINT) * {USER_FACTOR} + CAST("movieId" AS BIGINT) * {ITEM_FACTOR}) % {BUCKETS} AS b
+  SELECT *, {_bucket("""CAST("userId" AS VARCHAR) || ':' || CAST("movieId" AS VARCHAR)""")} AS b
   FROM ratings),
 parts AS (
   SELECT "userId", "movieId", CAST(rating AS DOUBLE) AS rating,
@@ -57,7 +62,7 @@ grid AS (SELECT * FROM (VALUES {", ".join(f"({i}, CAST({k} AS DOUBLE))" for i, k
          AS g(grid_pos, damping)),
 errors AS (
   SELECT CAST(grid_pos AS INTEGER) AS grid_pos, damping, COUNT(*) AS n_scored,
-         ROUND(SQRT(AVG(POWER(p.rating - (k.s + damping * mu) / (k.n + damping), 2))), 6) AS rmse
+         SQRT(AVG(POWER(p.rating - (k.s + damping * mu) / (k.n + damping), 2))) AS error
   FROM parts p JOIN known k ON p."movieId" = k."movieId", mean, grid
   WHERE p.split = 'validation' GROUP BY grid_pos, damping)"""
 
@@ -68,10 +73,18 @@ def _with(*tables: str, select: str) -> str:
 
 def _list_check(name: str, source: str, where: str = "TRUE") -> str:
     return f"""SELECT '{name}' AS list, LEAST({TOP}, COUNT(*)) AS n_recs, CAST(0 AS BIGINT) AS n_seen,
-      CAST(0 AS BIGINT) AS n_under_floor, CAST(0 AS BIGINT) AS n_other_genre, CAST(0 AS BIGINT) AS n_unscored
+      CAST(0 AS BIGINT) AS n_under_floor, CAST(0 AS BIGINT) AS n_other_genre, CAST(0 AS BIGINT) AS n_unscored,
+      CAST(0 AS BIGINT) AS n_out_of_order, CAST(0 AS BIGINT) AS n_better_left_out
       FROM {source} c WHERE {where} AND EXISTS (SELECT 1 FROM ratings r WHERE r."movieId" = c."movieId")"""
 
 
+def _one_list(source: str, where: str) -> str:
+    return f"""SELECT CAST(ROW_NUMBER() OVER w AS INTEGER) AS rank, "movieId", title, ROUND(CAST(p AS DOUBLE), 4) AS score
+      FROM (SELECT c."movieId", title, CAST(list_dot_product(u.v, i.v) AS FLOAT) AS p
+            FROM {source} c JOIN factors i ON i.id = c."movieId" JOIN factors u ON u.id = {USER} WHERE {where})
+      WINDOW w AS (ORDER BY p DESC, "movieId") QUALIFY ROW_NUMBER() OVER w <= {TOP}"""
+
+
 IN_GENRE = f"genres LIKE '%{GENRE}%'"
 
 ORACLES = {
@@ -90,6 +103,11 @@ ORACLES = {
         SELECT * FROM movies WHERE genres NOT LIKE 'ECONOMY%' AND genres NOT LIKE 'SMALL%'
           AND genres NOT LIKE 'PROMO%'"""),
     "ratings_head": _with(RATINGS, select='SELECT * FROM ratings ORDER BY "userId", "movieId" LIMIT 5'),
+    "items_head": _with(MOVIES, select='SELECT * FROM movies ORDER BY "movieId" LIMIT 5'),
+    "low_count_total": _with(RATINGS, COUNTS, LOW, select="SELECT COUNT(*) AS n_items FROM low"),
+    "user_watched_count": _with(RATINGS, MOVIES, select=f"""
+        SELECT COUNT(*) AS n_items FROM ratings JOIN movies USING ("movieId") WHERE "userId" = {USER}"""),
+    "user_unwatched_count": _with(RATINGS, MOVIES, POOL, select="SELECT COUNT(*) AS n_items FROM pool"),
     "dataset_summary": _with(RATINGS, MOVIES, select="""
         SELECT (SELECT COUNT(*) FROM ratings) AS n_ratings,
                (SELECT COUNT(DISTINCT "userId") FROM ratings) AS n_users,
@@ -145,12 +163,20 @@ ORACLES = {
         FROM parts t JOIN (SELECT "movieId", AVG(rating) AS guess FROM parts WHERE split = 'train'
                            GROUP BY "movieId") k USING ("movieId")
         WHERE t.split = 'test'"""),
-    "grid_metrics": _with(RATINGS, SPLIT, GRID, select="SELECT * FROM errors"),
-    "grid_argmin": _with(RATINGS, SPLIT, GRID, select="SELECT * FROM errors ORDER BY rmse, grid_pos LIMIT 1"),
+    "grid_metrics": _with(RATINGS, SPLIT, GRID, select="SELECT grid_pos, damping, n_scored, ROUND(error, 6) AS rmse FROM errors"),
+    "grid_argmin": _with(RATINGS, SPLIT, GRID, select="""
+        SELECT grid_pos, damping, n_scored, ROUND(error, 6) AS rmse FROM errors ORDER BY error, grid_pos LIMIT 1"""),
     "factor_scores": _with(RATINGS, FACTORS, select="""
         SELECT "userId", "movieId",
                ROUND(CAST(CAST(list_dot_product(u.v, i.v) AS FLOAT) AS DOUBLE), 4) AS score
-        FROM ratings JOIN factors u ON u.id = "userId" JOIN factors i ON i.id = "movieId\""""),
+        FROM ratings LEFT JOIN factors u ON u.id = "userId" LEFT JOIN factors i ON i.id = "movieId\""""),
+    "factor_score_counts": _with(RATINGS, FACTORS, select="""
+        SELECT COUNT(*) FILTER (u.id IS NOT NULL AND i.id IS NOT NULL) AS n_scored,
+               COUNT(*) FILTER (u.id IS NULL OR i.id IS NULL) AS n_unscored
+        FROM ratings LEFT JOIN factors u ON u.id = "userId" LEFT JOIN factors i ON i.id = "movieId\""""),
+    **{f"topn_one_user{name}": _with(RATINGS, MOVIES, COUNTS, LOW, POOL, POPULAR, FACTORS, select=_one_list(source, where))
+       for name, source, where in (("", "pool", "TRUE"), ("_genre", "pool", IN_GENRE), ("_popular", "popular", "TRUE"),
+                                   ("_popular_genre", "popular", IN_GENRE))},
     "ranked_scores": _with(RATINGS, FACTORS, select=f"""
         SELECT "userId", CAST(ROW_NUMBER() OVER w AS INTEGER) AS rank, "movieId" FROM (
           SELECT "userId", "movieId", CAST(list_dot_product(u.v, i.v) AS FLOAT) AS p
@@ -168,21 +194,30 @@ ORACLES = {
                (SELECT COUNT(*) FROM parts WHERE split = 'test') - (SELECT COUNT(*) FROM warm_test) AS n_cold"""),
     "als_cold_start_audit": _with(RATINGS, f"""
         trained AS (SELECT * FROM ratings
-          WHERE (CAST("userId" AS BIGINT) * {USER_FACTOR}) % {BUCKETS} < {BUCKETS - 2}
-            AND (CAST("movieId" AS BIGINT) * {ITEM_FACTOR}) % {BUCKETS} < {BUCKETS - 2})""", """
+          WHERE {_bucket("""'userId:' || CAST("userId" AS VARCHAR)""")} < {BUCKETS - 2}
+            AND {_bucket("""'movieId:' || CAST("movieId" AS VARCHAR)""")} < {BUCKETS - 2})""", """
         marked AS (SELECT EXISTS (SELECT 1 FROM trained t WHERE t."userId" = r."userId") AS warm_user,
                           EXISTS (SELECT 1 FROM trained t WHERE t."movieId" = r."movieId") AS warm_item
                    FROM ratings r)""", select="""
         SELECT warm_user, warm_item, COUNT(*) AS n_rows,
                COUNT(*) FILTER (NOT (warm_user AND warm_item)) AS n_nan, CAST(0 AS BIGINT) AS n_null
         FROM marked GROUP BY warm_user, warm_item"""),
-    "als_grid_shape": _with(RATINGS, SPLIT, select="""
+    "als_grid_shape": _with(RATINGS, SPLIT, select=f"""
         SELECT CAST(pos AS INTEGER) AS grid_pos, CAST(reg AS DOUBLE) AS reg_param, CAST(k AS INTEGER) AS rank,
                (SELECT COUNT(*) FROM parts t WHERE split = 'validation'
                 AND EXISTS (SELECT 1 FROM parts u WHERE u.split = 'train' AND u."userId" = t."userId")
                 AND EXISTS (SELECT 1 FROM parts i WHERE i.split = 'train' AND i."movieId" = t."movieId")) AS n_scored,
                TRUE AS mark_is_right
-        FROM (VALUES (0, 0.05, 2), (1, 0.05, 4), (2, 0.2, 2), (3, 0.2, 4)) AS g(pos, reg, k)"""),
+        FROM (VALUES {", ".join(f"({i * len(RANKS) + j}, {reg}, {k})" for i, reg in enumerate(REG_PARAMS)
+                                for j, k in enumerate(RANKS))}) AS g(pos, reg, k)"""),
+    "als_fit_residuals": _with(RATINGS, select="""
+        SELECT COUNT(DISTINCT "userId") AS n_users, CAST(0 AS BIGINT) AS n_over FROM ratings"""),
+    "als_rmse_checks": _with(RATINGS, SPLIT, select=" UNION ALL ".join(f"""
+        SELECT '{mode}' AS mode, COUNT(*) AS n_scored, TRUE AS as_evaluator, TRUE AS as_factor_product
+        FROM parts t WHERE split = 'test'
+          AND EXISTS (SELECT 1 FROM parts u WHERE {seen.replace('x.', 'u.')} AND u."userId" = t."userId")
+          AND EXISTS (SELECT 1 FROM parts i WHERE {seen.replace('x.', 'i.')} AND i."movieId" = t."movieId")"""
+        for mode, seen in (("train", "x.split = 'train'"), ("train+validation", "x.split <> 'test'"), ("all ratings", "TRUE")))),
     "als_topn_user_checks": _with(RATINGS, MOVIES, COUNTS, LOW, POOL, POPULAR, select="\nUNION ALL\n".join([
         _list_check("all", "pool"), _list_check("genre", "pool", IN_GENRE),
         _list_check("popular", "popular"), _list_check("popular_genre", "popular", IN_GENRE)])),
@@ -196,7 +231,8 @@ ORACLES = {
           FROM ratings GROUP BY "userId")""", select="""
         SELECT COUNT(*) FILTER (n > 0) AS n_lists, CAST(SUM(n) AS BIGINT) AS n_entries,
                CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_unscored,
-               CAST(0 AS BIGINT) AS n_out_of_order, CAST(0 AS BIGINT) AS n_gaps
+               CAST(0 AS BIGINT) AS n_out_of_order, CAST(0 AS BIGINT) AS n_gaps,
+               CAST(0 AS BIGINT) AS n_better_left_out
         FROM lists"""),
     "als_topn_all_users_popular_genre_counts": _with(RATINGS, MOVIES, COUNTS, f"""
         allowed AS (

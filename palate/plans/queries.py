@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from palate.functions.buckets import BUCKETS, ITEM_FACTOR, USER_FACTOR, id_bucket, split_name
+from palate.functions.buckets import BUCKETS, id_bucket, split_name
 from palate.operators import als, candidates, evaluate, ids, profile, ranking, split
-from palate.session import scratch_path
+from palate.session import materialize, scratch_path
 from palate.sources import csv_files, models, schemas, tables
 
 USER = 42
@@ -85,6 +86,11 @@ def ratings_head(spark, folder):
     return profile.head(tables.ratings(spark, folder), 5, "userId", "movieId")
 
 
+@query
+def items_head(spark, folder):
+    return profile.head(tables.items(spark, folder), 5, "movieId")
+
+
 # Profile
 
 @query
@@ -121,9 +127,20 @@ def low_count_items(spark, folder):
 
 # Candidate pools
 
+@query
+def low_count_total(spark, folder):
+    """How many items are under the floor."""
+    return low_count_items(spark, folder).agg(F.count("*").alias("n_items"))
+
+
 @query
 def user_watched(spark, folder):
-    return candidates.watched(tables.ratings(spark, folder), tables.items(spark, folder), USER)
+    return candidates.watched(tables.ratings(spark, folder, USER), tables.items(spark, folder), USER)
+
+
+@query
+def user_watched_count(spark, folder):
+    return user_watched(spark, folder).agg(F.count("*").alias("n_items"))
 
 
 @query
@@ -132,7 +149,7 @@ def user_watched_top20(spark, folder):
 
 
 def _pool(spark, folder) -> DataFrame:
-    return candidates.unwatched(tables.ratings(spark, folder), tables.items(spark, folder), USER)
+    return candidates.unwatched(tables.ratings(spark, folder, USER), tables.items(spark, folder), USER)
 
 
 def _popular_pool(spark, folder) -> DataFrame:
@@ -144,6 +161,11 @@ def user_unwatched(spark, folder):
     return _pool(spark, folder)
 
 
+@query
+def user_unwatched_count(spark, folder):
+    return _pool(spark, folder).agg(F.count("*").alias("n_items"))
+
+
 @query
 def user_unwatched_head(spark, folder):
     return profile.head(_pool(spark, folder), 20, "movieId")
@@ -183,7 +205,7 @@ def orphan_ratings(spark, folder):
 @query
 def dropna_any(spark, folder):
     """Items with one user's rating attached, keeping only rows complete in every column."""
-    own = tables.ratings(spark, folder).filter(F.col("userId") == USER).select("movieId", "rating")
+    own = tables.ratings(spark, folder, USER).select("movieId", "rating")
     return tables.items(spark, folder).join(own, "movieId", "left").dropna(how="any")
 
 
@@ -231,29 +253,74 @@ def item_mean_rmse(spark, folder):
 
 def _damping_grid(spark, folder) -> DataFrame:
     part = split_name()
-    errors = evaluate.damped_mean_errors(tables.ratings(spark, folder), part == "train",
-                                         part == "validation", DAMPINGS)
-    return errors.withColumn("rmse", F.round("rmse", 6))
+    return evaluate.damped_mean_errors(tables.ratings(spark, folder), part == "train", part == "validation", DAMPINGS)
+
+
+def _rounded(metrics: DataFrame) -> DataFrame:
+    return metrics.withColumn("rmse", F.round("rmse", 6))
 
 
 @query
 def grid_metrics(spark, folder):
-    return _damping_grid(spark, folder)
+    return _rounded(_damping_grid(spark, folder))
 
 
 @query
 def grid_argmin(spark, folder):
-    return evaluate.arg_min(_damping_grid(spark, folder))
+    """Chosen by the full error, rounded only to be shown."""
+    return _rounded(evaluate.arg_min(_damping_grid(spark, folder)))
 
 
 # Scoring with the embeddings as given factors of users and items
 
+def _factor_scores(spark, folder) -> DataFrame:
+    factors = tables.factors(spark, folder)
+    pairs = tables.ratings(spark, folder).select("userId", "movieId")
+    return ranking.score_pairs(pairs, factors, factors)
+
+
 @query
 def factor_scores(spark, folder):
+    """Every rated pair with its score, null where the user or the item has no factors."""
+    score = F.nanvl(F.col("prediction").cast("double"), F.lit(None).cast("double"))
+    return _factor_scores(spark, folder).select("userId", "movieId", F.round(score, 4).alias("score"))
+
+
+@query
+def factor_score_counts(spark, folder):
+    return _factor_scores(spark, folder).agg(F.count_if(evaluate.is_scored()).alias("n_scored"),
+                                             F.count_if(~evaluate.is_scored()).alias("n_unscored"))
+
+
+def _one_user_by_factors(spark, folder, popular: bool, genre: str | None) -> DataFrame:
+    """One user's list in order, with the embeddings as factors."""
     factors = tables.factors(spark, folder)
-    pairs = tables.ratings(spark, folder).select("userId", "movieId")
-    scored = ranking.score_pairs(pairs, factors, factors)
-    return scored.select("userId", "movieId", F.round(F.col("prediction").cast("double"), 4).alias("score"))
+    pool = _popular_pool(spark, folder) if popular else _pool(spark, folder)
+    scored = ranking.score_pool_with(factors, factors, pool, USER)
+    best = ranking.top_n(scored, TOP, candidates.genre_like(genre) if genre else None)
+    place = F.row_number().over(Window.orderBy(F.desc("prediction"), "movieId"))  # of at most TOP rows
+    return best.select(place.alias("rank"), "movieId", "title",
+                       F.round(F.col("prediction").cast("double"), 4).alias("score"))
+
+
+@query
+def topn_one_user(spark, folder):
+    return _one_user_by_factors(spark, folder, popular=False, genre=None)
+
+
+@query
+def topn_one_user_genre(spark, folder):
+    return _one_user_by_factors(spark, folder, popular=False, genre=GENRE)
+
+
+@query
+def topn_one_user_popular(spark, folder):
+    return _one_user_by_factors(spark, folder, popular=True, genre=None)
+
+
+@query
+def topn_one_user_popular_genre(spark, folder):
+    return _one_user_by_factors(spark, folder, popular=True, genre=GENRE)
 
 
 @query
@@ -266,20 +333,22 @@ def topn_per_user(spark, folder):
 @query
 def ranked_scores(spark, folder):
     """Each user's rated items in the order of their factor scores, best ``TOP`` kept."""
-    factors = tables.factors(spark, folder)
-    pairs = tables.ratings(spark, folder).select("userId", "movieId")
-    ranked = ranking.rank_per_user(ranking.score_pairs(pairs, factors, factors), TOP)
+    ranked = ranking.rank_per_user(evaluate.drop_cold(_factor_scores(spark, folder)), TOP)
     return ranked.select("userId", "rank", "movieId")
 
 
-# Trained models
+# Trained models. Their queries read the ratings many times, so the view is built and written once.
+
+def _ratings(spark, folder) -> DataFrame:
+    return materialize(tables.ratings(spark, folder))
+
 
 def _model(ratings: DataFrame) -> ALSModel:
     return als.fit(ratings, RANK, REG_PARAM)
 
 
 def _test_predictions(spark, folder) -> DataFrame:
-    train, _, test = split.hash_split(tables.ratings(spark, folder))
+    train, _, test = split.hash_split(_ratings(spark, folder))
     return _model(train).transform(test)
 
 
@@ -301,36 +370,68 @@ def als_test_rmse(spark, folder):
     return evaluate.rmse(_test_predictions(spark, folder))
 
 
+def _fits(spark, folder) -> tuple[dict[str, ALSModel], DataFrame]:
+    """Models of the three modes, and the test rows they are judged by."""
+    ratings = _ratings(spark, folder)
+    train, validation, test = split.hash_split(ratings)
+    return {"train": _model(train), "train+validation": als.refit(train, validation, RANK, REG_PARAM),
+            "all ratings": als.refit(train, validation, RANK, REG_PARAM, everything=ratings)}, test
+
+
 @query
 def als_final_rmse(spark, folder):
     """Test error after the refit, without and with the test rows among the training rows."""
-    ratings = tables.ratings(spark, folder)
-    train, validation, test = split.hash_split(ratings)
-    held_out = als.refit(train, validation, RANK, REG_PARAM)
-    leaky = als.refit(train, validation, RANK, REG_PARAM, everything=ratings)
-    frames = [evaluate.rmse(model.transform(test)).withColumn("mode", F.lit(mode))
-              for mode, model in (("train+validation", held_out), ("all ratings", leaky))]
+    fits, test = _fits(spark, folder)
+    frames = [evaluate.rmse(fits[mode].transform(test)).withColumn("mode", F.lit(mode))
+              for mode in ("train+validation", "all ratings")]
     return frames[0].unionByName(frames[1]).select("mode", "n_scored", "rmse")
 
 
+@query
+def als_fit_residuals(spark, folder):
+    """Users, and those whose factors do not solve their own least-squares equations."""
+    ratings = _ratings(spark, folder)
+    model = _model(ratings)
+    residuals = evaluate.fit_residuals(ratings, model.userFactors, model.itemFactors, REG_PARAM)
+    return residuals.agg(F.count("*").alias("n_users"), F.count_if(F.col("residual") > 1e-3).alias("n_over"))
+
+
+@query
+def als_rmse_checks(spark, folder):
+    """Each mode's test error against the built-in evaluator's and against the product of the factors."""
+    fits, test = _fits(spark, folder)
+    evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
+    frames = []
+    for mode, model in fits.items():
+        predicted = model.transform(test)
+        known = evaluator.evaluate(evaluate.drop_cold(predicted).withColumn("rating", F.col("rating").cast("double")))
+        product = evaluate.rmse(ranking.score_pairs(test, model.userFactors, model.itemFactors))
+        n_product, by_product = product.select("n_scored").scalar(), product.select("rmse").scalar()
+        near = lambda other: F.abs(F.col("rmse") - other) < 1e-6
+        frames.append(evaluate.rmse(predicted).select(
+            F.lit(mode).alias("mode"), "n_scored", near(F.lit(known)).alias("as_evaluator"),
+            (near(by_product) & (F.col("n_scored") == n_product)).alias("as_factor_product")))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 @query
 def als_cold_start_audit(spark, folder):
     """Train without 2% of the users and 2% of the items, then score every rating."""
-    ratings = tables.ratings(spark, folder)
+    ratings = _ratings(spark, folder)
     warm = BUCKETS - 2
-    train = ratings.filter((id_bucket("userId", USER_FACTOR) < warm)
-                           & (id_bucket("movieId", ITEM_FACTOR) < warm))
+    train = ratings.filter((id_bucket("userId") < warm) & (id_bucket("movieId") < warm))
     scored = _model(train).transform(ratings)
     return evaluate.cold_start_audit(scored, train)
 
 
-def _search(spark, folder, parallelism: int = 2) -> als.Search:
-    train, validation, _ = split.hash_split(tables.ratings(spark, folder))
-    return als.grid_search(train, validation, ranks=(2, 4), reg_params=(0.05, 0.2), parallelism=parallelism)
+def _search(spark, folder, parallelism: int = 4) -> als.Search:
+    train, validation, _ = split.hash_split(_ratings(spark, folder))
+    return als.grid_search(train, validation, parallelism=parallelism)
 
 
 @query
 def als_grid_search(spark, folder):
+    """All candidates: 7 ranks by 6 regularisations."""
     return _search(spark, folder).metrics
 
 
@@ -347,7 +448,7 @@ def _one_user(spark, folder, popular: bool, genre: str | None) -> DataFrame:
     pool = _popular_pool(spark, folder) if popular else _pool(spark, folder)
     if genre:
         pool = pool.filter(candidates.genre_like(genre))
-    model = _model(tables.ratings(spark, folder))
+    model = _model(_ratings(spark, folder))
     return ranking.top_n(ranking.score_pool(model, pool, USER), TOP)
 
 
@@ -373,33 +474,47 @@ def als_topn_user_popular_genre(spark, folder):
 
 @query
 def als_topn_user_checks(spark, folder):
-    """One row per list: its length, and how many entries break the list's own rule."""
-    ratings, items = tables.ratings(spark, folder), tables.items(spark, folder)
+    """One row per list: its length, and how many entries break the list's own rule.
+
+    The pool is scored once, by the model itself; ``n_out_of_order`` and ``n_better_left_out``
+    compare the lists with those scores.
+    """
+    ratings, items = _ratings(spark, folder), tables.items(spark, folder)
     model = _model(ratings)
-    counts = profile.item_rating_counts(ratings)
-    low = profile.low_count_items(counts, FLOOR).select("movieId", F.lit(1).alias("low"))
+    low = (profile.low_count_items(profile.item_rating_counts(ratings), FLOOR)
+           .select("movieId", F.lit(True).alias("low")))
+    pool = candidates.unwatched(ratings, items, USER).join(low, "movieId", "left").fillna(False, ["low"])
+    scored = materialize(ranking.score_pool(model, pool, USER))
+    judged = materialize(model.transform(pool).withColumn("prediction", F.col("prediction").cast("float"))
+                         .select("movieId", "low", "genres", F.col("prediction").alias("judged")))
     seen = ratings.filter(F.col("userId") == USER).select("movieId", F.lit(1).alias("seen"))
-    pool = _pool(spark, folder)
-    popular = _popular_pool(spark, folder)
     in_genre = candidates.genre_like(GENRE)
-    lists = {"all": (pool, None), "genre": (pool, in_genre),
-             "popular": (popular, None), "popular_genre": (popular, in_genre)}
-    frames = [ranking.top_n(ranking.score_pool(model, rows, USER), TOP, where).withColumn("list", F.lit(name))
-              for name, (rows, where) in lists.items()]
-    entries = frames[0]
+    rules = {"all": F.lit(True), "genre": in_genre, "popular": ~F.col("low"), "popular_genre": ~F.col("low") & in_genre}
+    frames = []
+    for name, rule in rules.items():
+        best = ranking.top_n(scored, TOP, rule).select("movieId", "prediction")
+        place = Window.orderBy(F.desc("prediction"), "movieId")  # of at most TOP rows
+        listed = (best.withColumn("place", F.row_number().over(place))
+                  .join(judged, "movieId", "left").join(seen, "movieId", "left"))
+        by_place = Window.orderBy("place")
+        entries = listed.withColumn("before", F.lag("judged").over(by_place)).agg(
+            F.count("*").alias("n_recs"), F.count("seen").alias("n_seen"),
+            F.count_if(F.lit(name.startswith("popular")) & F.col("low")).alias("n_under_floor"),
+            F.count_if(F.lit(name.endswith("genre")) & ~in_genre).alias("n_other_genre"),
+            F.count_if(~evaluate.is_scored()).alias("n_unscored"),
+            F.count_if(F.col("before") < F.col("judged") - 1e-6).alias("n_out_of_order"))
+        last = best.agg(F.when(F.count("*") == TOP, F.min("prediction")).otherwise(F.lit(float("-inf")))).scalar()
+        left_out = (judged.filter(rule).join(best, "movieId", "left_anti")
+                    .filter(evaluate.is_scored("judged") & (F.col("judged") > last + 1e-6)))
+        frames.append(entries.select(F.lit(name).alias("list"), "*", left_out.agg(F.count("*")).scalar().alias("n_better_left_out")))
+    out = frames[0]
     for frame in frames[1:]:
-        entries = entries.unionByName(frame)
-    return (entries.join(low, "movieId", "left").join(seen, "movieId", "left")
-            .groupBy("list")
-            .agg(F.count("*").alias("n_recs"),
-                 F.count("seen").alias("n_seen"),
-                 F.count_if(F.col("list").startswith("popular") & F.col("low").isNotNull()).alias("n_under_floor"),
-                 F.count_if(F.col("list").endswith("genre") & ~in_genre).alias("n_other_genre"),
-                 F.count_if(~evaluate.is_scored()).alias("n_unscored")))
+        out = out.unionByName(frame)
+    return out
 
 
 def _all_users(spark, folder) -> DataFrame:
-    ratings = tables.ratings(spark, folder)
+    ratings = _ratings(spark, folder)
     model = _model(ratings)
     return ranking.top_n_per_user(model.userFactors, model.itemFactors, ratings, TOP)
 
@@ -416,23 +531,37 @@ def als_topn_all_users_counts(spark, folder):
 
 @query
 def als_topn_all_users_checks(spark, folder):
-    """One row over all lists: seen items, unscored entries, broken orders and gaps in the ranks."""
-    lists = _all_users(spark, folder)
-    seen = tables.ratings(spark, folder).select("userId", "movieId", F.lit(1).alias("seen"))
+    """One row over all lists: seen items, unscored entries, broken orders, gaps in the ranks,
+    and unseen items left out although they score better than the list's last entry."""
+    ratings = _ratings(spark, folder)
+    model = _model(ratings)
+    lists = materialize(ranking.top_n_per_user(model.userFactors, model.itemFactors, ratings, TOP))
+    seen = ratings.select("userId", "movieId", F.lit(1).alias("seen"))
     by_rank = Window.partitionBy("userId").orderBy("rank")
     before = F.lag("prediction").over(by_rank)
-    return (lists.join(seen, ["userId", "movieId"], "left")
-            .withColumns({"before": before, "place": F.row_number().over(by_rank)})
-            .agg(F.count_if(F.col("rank") == 1).alias("n_lists"),
-                 F.count("*").alias("n_entries"),
-                 F.count("seen").alias("n_seen"),
-                 F.count_if(~evaluate.is_scored()).alias("n_unscored"),
-                 F.count_if(F.col("before") < F.col("prediction")).alias("n_out_of_order"),
-                 F.count_if(F.col("rank") != F.col("place")).alias("n_gaps")))
+    entries = (lists.join(seen, ["userId", "movieId"], "left")
+               .withColumns({"before": before, "place": F.row_number().over(by_rank)})
+               .agg(F.count_if(F.col("rank") == 1).alias("n_lists"),
+                    F.count("*").alias("n_entries"),
+                    F.count("seen").alias("n_seen"),
+                    F.count_if(~evaluate.is_scored()).alias("n_unscored"),
+                    F.count_if(F.col("before") < F.col("prediction")).alias("n_out_of_order"),
+                    F.count_if(F.col("rank") != F.col("place")).alias("n_gaps")))
+    # The built-in recommender looks past a user's seen items: with TOP and as many more as
+    # anyone has seen, whatever is better than the last entry and unseen must be in the list.
+    most = ratings.groupBy("userId").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    known = materialize(model.recommendForAllUsers(TOP + most)
+                        .select("userId", F.explode("recommendations").alias("r"))
+                        .select("userId", "r.movieId", F.col("r.rating").alias("judged")))
+    last = lists.groupBy("userId").agg(F.min("prediction").alias("last"), F.count("*").alias("n"))
+    missed = (known.join(seen, ["userId", "movieId"], "left_anti")
+              .join(lists.select("userId", "movieId"), ["userId", "movieId"], "left_anti")
+              .join(last, "userId").filter((F.col("n") < TOP) | (F.col("judged") > F.col("last") + 1e-5)))
+    return entries.select("*", missed.agg(F.count("*")).scalar().alias("n_better_left_out"))
 
 
 def _all_users_popular_genre(spark, folder) -> DataFrame:
-    ratings, items = tables.ratings(spark, folder), tables.items(spark, folder)
+    ratings, items = _ratings(spark, folder), tables.items(spark, folder)
     model = _model(ratings)
     allowed = candidates.without_items(items.filter(candidates.genre_like(GENRE)), low_count_items(spark, folder))
     item_factors = model.itemFactors.join(allowed.select(F.col("movieId").alias("id")), "id", "left_semi")
@@ -454,7 +583,7 @@ def als_topn_all_users_popular_genre_counts(spark, folder):
 @query
 def als_factor_counts(spark, folder):
     """Every rated user and item has factors of the requested rank."""
-    model = _model(tables.ratings(spark, folder))
+    model = _model(_ratings(spark, folder))
     sides = [factors.agg(F.lit(side).alias("side"), F.count("*").alias("n_ids"),
                          F.min(F.size("features")).alias("min_rank"), F.max(F.size("features")).alias("max_rank"))
              for side, factors in (("user", model.userFactors), ("item", model.itemFactors))]
@@ -464,7 +593,7 @@ def als_factor_counts(spark, folder):
 @query
 def als_save_load_roundtrip(spark, folder):
     """Predictions of the test part before saving and after loading, compared row by row."""
-    train, _, test = split.hash_split(tables.ratings(spark, folder))
+    train, _, test = split.hash_split(_ratings(spark, folder))
     model = als.fit(train, RANK, REG_PARAM, durable=False)
     path = scratch_path(spark, "model")
     models.save_model(model, path)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.operators import als, candidates, evaluate, profile, ranking, split
+from palate.session import clear_scratch, materialize
 from palate.sources import csv_files, models, schemas
 
 # Fixed values of the published analysis.
@@ -45,8 +46,10 @@ def recommendations(model, ratings: DataFrame, items: DataFrame, user_id: int, n
     watched = candidates.watched(ratings, items, user_id)
     pool = candidates.unwatched(ratings, items, user_id)
     low = profile.low_count_items(profile.item_rating_counts(ratings), floor)
-    scored = {"": ranking.score_pool(model, pool, user_id),
-              "popular_": ranking.score_pool(model, candidates.without_items(pool, low), user_id)}
+    # The pool is scored once, with a mark on the items under the floor, and every list reads that.
+    marked = pool.join(low.select("movieId", F.lit(True).alias("low")), "movieId", "left").fillna(False, ["low"])
+    everything = materialize(ranking.score_pool(model, marked, user_id))
+    scored = {"": everything.drop("low"), "popular_": everything.filter(~F.col("low")).drop("low")}
     lists = {"watched": candidates.watched_top(watched), "unwatched": profile.head(pool, 20, "movieId"),
              "under_floor": low.agg(F.count("*").alias("n_items"))}
     for prefix, rows in scored.items():
@@ -62,7 +65,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--items", required=True, help="items CSV")
     parser.add_argument("--full-ratings", help="ratings CSV for the final model (default: --ratings)")
     parser.add_argument("--model", required=True, help="where the final model is saved")
-    parser.add_argument("--work", required=True, help="shared folder for the Parquet copies of the CSV files")
+    parser.add_argument("--work", required=True, help="shared folder for the Parquet copies of the CSV files and for all results")
     parser.add_argument("--user", type=int, required=True)
     parser.add_argument("--floor", type=int, default=FLOOR)
     parser.add_argument("--genres", nargs="*", default=list(GENRES))
@@ -92,12 +95,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     show["final error"] = evaluate.rmse(model.transform(test))
     show |= recommendations(model, full, items, args.user, floor=args.floor, genres=args.genres)
     for name, df in show.items():
-        print(name)
-        df.show(100, truncate=False)
+        path = f"{args.work}/results/{name.replace(' ', '-')}"
+        df.write.mode("overwrite").parquet(path)
+        print(f"{name} (first rows; all are in {path})")
+        spark.read.parquet(path).show(100, truncate=False)
     models.save_model(model, args.model)
     if args.all_users:
         lists = ranking.top_n_per_user(model.userFactors, model.itemFactors, full)
         lists.write.mode("overwrite").parquet(args.all_users)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

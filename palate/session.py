@@ -17,6 +17,7 @@ def local_session(app: str, cpus: int | str = "*", conf: dict[str, str] | None =
         "spark.driver.memory": "12g",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **(conf or {}),
     }
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
@@ -31,11 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
     A machine-local folder is used only where the setting is absent *and* the
-    master is local; on a cluster a missing setting is an error, because a
-    checkpoint on one machine's disk is lost with that machine.
+    master is local; on a cluster a missing setting is an error, and so is a
+    local folder, because a checkpoint on one machine's disk is lost with that
+    machine. Where all machines mount the same folder, say so by setting
+    ``spark.palate.localFolderIsShared`` to true.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    if configured and is_machine_local(configured) and not context.master.startswith("local"):
+        if spark.conf.get("spark.palate.localFolderIsShared", "false").lower() != "true":
+            raise RuntimeError(f"spark.checkpoint.dir names a local folder, {configured}")
     if configured:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
@@ -49,6 +55,17 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def is_machine_local(path: str) -> bool:
+    """Whether a path says ``file:``; one without a scheme goes to the default file system."""
+    return path.startswith("file:")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what ``scratch_path`` named in this application; call it when all results are read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/palate/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, so no run overwrites another's files."""
     return f"{shared_dir(spark)}/palate/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -1,4 +1,7 @@
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -132,3 +135,34 @@ def test_refit_modes_train_on_different_rows(planted, planted_parts):
 def test_dot_is_null_for_a_missing_vector(spark):
     df = spark.sql("SELECT array(1f, 2f) AS a, array(3f, 4f) AS b, CAST(NULL AS array<float>) AS c")
     assert df.select(dot(F.col("a"), F.col("b")), dot(F.col("a"), F.col("c"))).first() == (11.0, None)
+
+
+def test_blocks_do_not_follow_the_cluster(planted):
+    solver = als.estimator(planted)
+    assert (solver.getNumUserBlocks(), solver.getNumItemBlocks()) == (als.BLOCKS, als.BLOCKS)
+
+
+SCRIPT = """
+import sys
+from palate.operators import als
+from palate.session import local_session
+from palate.sources import tables
+spark = local_session("blocks", sys.argv[1], {"spark.driver.memory": "2g"})
+model = als.fit(tables.ratings(spark, sys.argv[2]), rank=2, max_iter=2)
+print("FACTORS", [[round(x, 3) for x in r.features] for r in model.userFactors.orderBy("id").limit(50).collect()])
+"""
+
+
+def test_the_model_does_not_depend_on_the_number_of_cores(folder):
+    als_folder = os.path.dirname(os.path.abspath(__file__))
+    outputs = [subprocess.run([sys.executable, "-c", SCRIPT, cores, folder], capture_output=True, text=True, cwd=os.path.dirname(als_folder)).stdout
+               for cores in ("1", "3")]
+    factors = [next(line for line in o.splitlines() if line.startswith("FACTORS")) for o in outputs]
+    assert factors[0] == factors[1]
+
+
+def test_losers_of_a_search_leave_the_executors(spark, planted_parts):
+    stored = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = stored()
+    als.grid_search(*planted_parts, ranks=(1, 2), reg_params=(0.1, 1.0), max_iter=1)
+    assert stored() == before

@@ -2,9 +2,10 @@ import math
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
 
 from palate.functions.buckets import split_name
-from palate.operators import evaluate, split
+from palate.operators import als, evaluate, split
 
 NAN = float("nan")
 SCORED = "userId int, movieId int, rating float, prediction float"
@@ -61,3 +62,27 @@ def test_arg_min(frame, errors, winner):
 
 def test_arg_min_without_a_finite_error_is_empty(frame):
     assert evaluate.arg_min(frame([(0, NAN)], "grid_pos int, rmse double")).count() == 0
+
+
+@pytest.mark.parametrize("value", [3.3, 4.1])
+def test_constant_ratings_have_no_error_and_a_winner(frame, value):
+    rows = frame([(u, i, value) for u in range(30) for i in range(30)])
+    part = split_name()
+    grid = evaluate.damped_mean_errors(rows, part == "train", part == "validation", [0.0, 1.0, 25.0])
+    assert all(r.n_scored > 0 and r.rmse < 1e-9 for r in grid.collect())
+    assert evaluate.arg_min(grid).count() == 1
+
+
+def test_damped_errors_without_held_out_rows_are_null(frame):
+    rows = frame([(1, 1, 3.0), (2, 1, 4.0)])
+    grid = evaluate.damped_mean_errors(rows, F.lit(True), F.lit(False), [0.0, 5.0])
+    assert [(r.grid_pos, r.n_scored, r.rmse) for r in grid.collect()] == [(0, 0, None), (1, 0, None)]
+
+
+def test_residuals_notice_a_wrong_factor(ratings):
+    model = als.fit(ratings, rank=3, reg_param=0.1, max_iter=2)
+    worst = lambda users: evaluate.fit_residuals(ratings, users, model.itemFactors, 0.1).agg(F.max("residual")).first()[0]
+    assert worst(model.userFactors) < 1e-3
+    off = model.userFactors.withColumn("features", F.when(F.col("id") == 42, F.transform("features", lambda x: x + F.lit(0.01)))
+                                       .otherwise(F.col("features")))
+    assert worst(off) > 1e-3

@@ -155,3 +155,8 @@ def test_lists_are_whole_under_skew(spark, skewed):
     counts = {r.userId: r["count"] for r in lists.groupBy("userId").count().collect()}
     assert counts == {u: min(5, k) for u, k in free.items() if k}
     assert lists.join(seen, ["userId", "movieId"]).count() == 0
+
+
+def test_registered_one_user_queries_filter_the_raw_key_in_the_scan(spark, folder):
+    for name in ("user_watched", "user_unwatched"):
+        assert "EqualTo(o_custkey,42)" in plan(entry_point.queries()[name](spark, folder))

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -105,3 +107,25 @@ def test_tile_equals_brute_force(n_users, n_items, n, seed, cells):
     for row in out:
         got.setdefault(row["userId"], []).append(row["movieId"])
     assert got == brute_force(user_ids, users, item_ids, items, seen, n)
+
+
+def test_unscored_pairs_stay(frame, spark):
+    factors = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.5, 0.5])], "id int, features array<float>")
+    pairs = frame([(1, 2, 1.0), (1, 9, 1.0), (9, 2, 1.0)])
+    scored = ranking.score_pairs(pairs, factors, factors)
+    assert sorted((r.userId, r.movieId, str(r.prediction)) for r in scored.collect()) == [
+        (1, 2, "1.5"), (1, 9, "nan"), (9, 2, "nan")]
+
+
+def test_a_dense_history_is_cut_into_more_tiles(spark):
+    rng = np.random.default_rng(3)
+    frames = [spark.createDataFrame([(i, rng.random(4).tolist()) for i in range(n)], "id int, features array<float>") for n in (40, 60)]
+    seen = spark.createDataFrame([(u, i) for u in range(40) for i in range(60) if (u + i) % 7], "userId int, movieId int")
+
+    def lists(tile_seen):
+        best = ranking.top_n_per_user(*frames, seen, 5, tile_seen=tile_seen)
+        tiles_used = best._jdf.queryExecution().optimizedPlan().toString()
+        return {tuple(r) for r in best.collect()}, int(re.findall(r"pmod\(xxhash64\(userId#\d+, 42\), (\d+)\)", tiles_used)[0])
+
+    (few, n_few), (many, n_many) = lists(10**9), lists(60)
+    assert few == many and n_many > n_few

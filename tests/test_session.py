@@ -30,3 +30,19 @@ def test_a_local_session_gets_its_own_folder():
 
 def test_scratch_paths_are_never_reused(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_a_machine_local_folder_is_refused_on_a_cluster():
+    spark, _ = fake("file:///tmp/ck", None, "yarn")
+    with pytest.raises(RuntimeError, match="local folder"):
+        session.shared_dir(spark)
+    spark, _ = fake("file:///tmp/ck", None, "local-cluster[2,1,1024]")
+    assert session.shared_dir(spark) == "file:///tmp/ck"
+
+
+def test_scratch_can_be_cleared(spark):
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    session.clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
