@@ -9,12 +9,15 @@ little more than one pass.
 
 1. Equal word sequences are one node; copies are never compared.
 2. Registers are hashed in bands. Nodes that share a band are candidates. Each is first
-   compared with one other only, the smallest node it shares a band with.
+   compared with one other only: of those it shares a band with, the one that shares bands
+   with most. In a group of near copies that is one close to the original, and most of the
+   others link to it.
 3. Links of exact similarity ``THRESHOLD`` or more are contracted to components.
-4. Buckets that still hold several components are finished: all pairs across components
-   where the bucket is small; in a large one every node against the smallest, and
-   if that leaves several components, the bucket is cut by fresh bands of new registers and the
-   parts go through the same step. So no pair of a bucket is left out for its size.
+4. Buckets that still hold several components are finished: the members of a bucket meet in one
+   task, which compares all of them by products of their incidence matrix and returns no
+   more links than join its components. A bucket of over ``LARGE_BUCKET`` nodes is cut by fresh
+   bands of new registers first, up to ``LEVELS`` times. So no pair of a bucket is left out for
+   its size, and no pairs are written or shuffled.
 
 A pair at similarity 0.8 shares a band with probability 1 - 2e-4, at 0.85 with 1 - 1e-6.
 Nodes are 64-bit hashes of the words.
@@ -40,10 +43,12 @@ from palate.session import materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 REGISTERS, BANDS, ROWS = 256, 36, 7
-#: Nodes of a bucket up to which all its pairs across components are listed.
-SMALL_BUCKET = 16
-#: Times that large buckets are cut anew before their pairs are listed whatever their size.
+#: Nodes of a bucket that are compared in one task; larger buckets are cut anew first.
+LARGE_BUCKET = 2048
+#: Times that large buckets are cut anew before they are compared block by block whatever their size.
 LEVELS = 3
+#: Shingles of a block of the incidence matrix.
+COLUMNS = 4096
 #: Bytes of node ids that may be sent to the scan which fetches their texts.
 MAX_SENT = 64 << 20
 _RANDOM = np.random.default_rng(10)
@@ -250,28 +255,97 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _several(buckets: DataFrame) -> DataFrame:
-    """``(bucket, low)`` of the buckets that hold more than one node."""
-    return (buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-            .filter("low <> high").select("bucket", "low"))
+    """``(bucket, n)`` of the buckets that hold more than one node."""
+    return (buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
+            .filter("low <> high").select("bucket", "n"))
+
+
+def _first_pairs(buckets: DataFrame) -> DataFrame:
+    """``(a, b)``: every node ``b`` with the candidate ``a`` that shares most bands with others."""
+    weights = buckets.groupBy("node").agg(F.sum(F.col("n") - 1).alias("weight"))
+    weighed = lookup(buckets.select("bucket", "node"), weights, "node", "inner")
+    best = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("best"))
+    paired = lookup(weighed, best, "bucket", "inner").filter("best.node <> node")
+    return (paired.groupBy(F.col("node").alias("b")).agg(F.max("best").alias("best"))
+            .select(F.col("best.node").alias("a"), "b"))
 
 
 def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(bucket, node, root, n, low, low_root)`` of the buckets that hold more than one component."""
+    """``(bucket, node, root, n)`` of the buckets that hold more than one component."""
     rooted = (buckets.select("bucket", "node").join(roots, "node", "left")
               .select("bucket", "node", F.coalesce("root", "node").alias("root")))
     several = (rooted.groupBy("bucket")
-               .agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("n"),
-                    F.min(F.struct("node", "root")).alias("least"))
-               .filter("first <> last")
-               .select("bucket", "n", F.col("least.node").alias("low"), F.col("least.root").alias("low_root")))
+               .agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("n"))
+               .filter("first <> last").select("bucket", "n"))
     return lookup(rooted, several, "bucket", "inner")
 
 
-def _pairs_across(small: DataFrame) -> DataFrame:
-    """``(a, b)``: all pairs of a bucket that belong to different components."""
-    one = small.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    other = small.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return one.join(other, "bucket").filter("a < b AND root_a <> root_b").select("a", "b")
+def _shared_mass(docs: np.ndarray, columns: np.ndarray, weights: np.ndarray, rows: range, others: range) -> np.ndarray:
+    """For each pair of ``rows`` and ``others``: the weight in the row of the shingles that both have."""
+    mass = np.zeros((len(rows), len(others)), np.float32)
+    for first in range(0, int(columns[-1]) + 1 if len(columns) else 0, COLUMNS):
+        a, z = np.searchsorted(columns, [first, first + COLUMNS])
+        left, right = (np.zeros((len(r), COLUMNS), np.float32) for r in (rows, others))
+        doc, column = docs[a:z], columns[a:z] - first
+        own = (doc >= rows.start) & (doc < rows.stop)
+        left[doc[own] - rows.start, column[own]] = weights[a:z][own]
+        own = (doc >= others.start) & (doc < others.stop)
+        right[doc[own] - others.start, column[own]] = 1
+        mass += left @ right.T
+    return mass
+
+
+def links_within(nodes: list[int], roots: list[int], packed: list[bytes]) -> list[tuple[int, int]]:
+    """Links between the components of a bucket, as many as it takes to join those that belong together.
+
+    The similarity of two documents is at most the share that either has in common with
+    the other. Where all counts are 1 it follows from that share; else it is computed for the
+    pairs that pass.
+    """
+    head = {r: r for r in roots}
+
+    def find(r: int) -> int:
+        while head[r] != r:
+            head[r] = r = head[head[r]]
+        return r
+
+    sets = [unpack(p) for p in packed]
+    sizes = np.array([len(p) for p, _ in sets])
+    plain = all(c is None for _, c in sets)
+    weights = np.concatenate([np.ones(len(p), np.float32) if c is None else c.astype(np.float32) for p, c in sets])
+    docs, prints = np.repeat(np.arange(len(sets)), sizes), np.concatenate([p for p, _ in sets])
+    total = np.bincount(docs, weights, len(sets))
+    order = np.argsort(prints, kind="stable")
+    ordered = prints[order]
+    heads = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    # Only shingles that stand in several documents can be shared; their columns are numbered in order.
+    shared = ~(heads & np.append(heads[1:], True))
+    columns = np.cumsum(heads & shared)[shared] - 1
+    docs, weights = docs[order][shared], weights[order][shared]
+    label = np.unique(np.array(roots), return_inverse=True)[1]
+    links = []
+    blocks = [range(a, min(a + LARGE_BUCKET, len(sets))) for a in range(0, len(sets), LARGE_BUCKET)]
+    for i, rows in enumerate(blocks):
+        for others in blocks[i:]:
+            mass = _shared_mass(docs, columns, weights, rows, others)
+            back = mass if plain else _shared_mass(docs, columns, weights, others, rows).T
+            x, y = total[rows.start:rows.stop, None], total[None, others.start:others.stop]
+            if plain:
+                near = mass >= THRESHOLD * (x + y - mass) - 1e-6
+            else:
+                near = (mass >= THRESHOLD * x - 1e-6) & (back >= THRESHOLD * y - 1e-6)
+            near &= label[rows.start:rows.stop, None] != label[None, others.start:others.stop]
+            for a, b in np.argwhere(near).tolist():
+                a, b = a + rows.start, b + others.start
+                if a < b and find(roots[a]) != find(roots[b]) and similarity(packed[a], packed[b]) >= THRESHOLD - 1e-12:
+                    links.append((nodes[a], nodes[b]))
+                    head[find(roots[a])] = find(roots[b])
+    return links
+
+
+def _linked(rows: pa.Table) -> pa.Table:
+    found = links_within(*(rows.column(c).to_pylist() for c in ("node", "root", "shingles")))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
 def _candidate_sets(buckets: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -291,26 +365,21 @@ def near_roots(described: DataFrame, docs: DataFrame, text: str = "text") -> Dat
     exploded = nodes.select(F.explode("bands").alias("bucket"), "node")
     buckets = materialize(lookup(exploded, _several(exploded), "bucket", "inner"))
     sets = _candidate_sets(buckets, docs, text)
-    tested = materialize(buckets.filter("node <> low").groupBy(F.col("node").alias("b"))
-                         .agg(F.min("low").alias("a")).select("a", "b"))
-    roots = components(_verified(tested, sets))
-    for level in range(1, LEVELS + 1):
+    roots = components(_verified(_first_pairs(buckets), sets))
+    for level in range(LEVELS + 1):
         open_ = materialize(_open(buckets, roots))
         if open_.isEmpty():
             break
-        all_pairs = F.lit(level == LEVELS) | (F.col("n") <= SMALL_BUCKET)
-        stars = open_.filter(~all_pairs & (F.col("root") != F.col("low_root"))).select(F.col("low").alias("a"), F.col("node").alias("b"))
-        pairs = materialize(_pairs_across(open_.filter(all_pairs)).union(stars).distinct().join(tested, ["a", "b"], "left_anti"))
-        links = _verified(pairs, sets)
+        whole = F.lit(level == LEVELS) | (F.col("n") <= LARGE_BUCKET)
+        members = open_.filter(whole).join(sets, "node").select("bucket", "node", "root", "shingles")
+        links = materialize(members.groupBy("bucket").applyInArrow(_linked, "a bigint, b bigint"))
         if not links.isEmpty():
-            ties = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-            roots = components(ties.union(links.select("a", "b")))
-        if level == LEVELS or open_.filter(~all_pairs).isEmpty():
+            roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links))
+        large = open_.filter(~whole)
+        if large.isEmpty():
             break
-        large = _open(open_.filter(~all_pairs), roots)
-        again = large.select("bucket", "node").join(sets, "node").select("bucket", "node", "shingles")
-        buckets = materialize(again.mapInArrow(_cut_again(level), "bucket bigint, node bigint"))
-        tested = tested.union(pairs)
+        again = _open(large, roots).select("bucket", "node").join(sets, "node").select("bucket", "node", "shingles")
+        buckets = materialize(again.mapInArrow(_cut_again(level + 1), "bucket bigint, node bigint"))
     return roots
 
 

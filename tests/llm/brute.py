@@ -31,6 +31,17 @@ def probability_jaccard(x, y):
     return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in keys) for i in set(x) & set(y))
 
 
+def grouped(nodes, pairs):
+    """Connected groups of nodes."""
+    group = {n: {n} for n in nodes}
+    for a, b in pairs:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for n in group[b]:
+                group[n] = group[a]
+    return {id(g): g for g in group.values()}.values()
+
+
 def near_classes(rows, threshold=0.8):
     """Smallest id of each document's component over all pairs; ``rows``: {id: text}."""
     sets = {d: shingles(t) for d, t in rows.items()}

@@ -60,7 +60,7 @@ def test_groups_against_brute_force(spark):
 
 def test_large_buckets_are_finished(spark, monkeypatch):
     """Chains through a shared passage: the star alone misses links, fresh bands find them."""
-    monkeypatch.setattr(nd, "SMALL_BUCKET", 3)
+    monkeypatch.setattr(nd, "LARGE_BUCKET", 5)
     draw, rows = random.Random(6), {}
     shared = [f"s{i}" for i in range(60)]
     for k in range(8):
@@ -71,6 +71,24 @@ def test_large_buckets_are_finished(spark, monkeypatch):
     assert classes(df) == expected(rows)
 
 
+@pytest.mark.parametrize("size, high", [(2048, 1), (7, 1), (7, 3)])
+def test_links_within_a_bucket_against_all_pairs(monkeypatch, size, high):
+    monkeypatch.setattr(nd, "LARGE_BUCKET", size)
+    monkeypatch.setattr(nd, "COLUMNS", 64)
+    draw = np.random.default_rng(size + high)
+    bases, sets = [draw.integers(0, 2**63, 60, dtype=np.uint64) for _ in range(4)], []
+    for _ in range(40):
+        own = bases[draw.integers(4)].copy()
+        own[:draw.integers(0, 12)] = draw.integers(0, 2**63, 1, dtype=np.uint64)
+        prints = np.unique(own)
+        sets.append(nd.pack(prints, draw.integers(1, high + 1, len(prints)) if high > 1 else np.ones(len(prints), int)))
+    roots = [0, 0, 0, *range(3, 40)]
+    joined = lambda pairs: {tuple(sorted(c)) for c in brute.grouped(range(40), [*pairs, (0, 1), (1, 2)])}
+    every = [(a, b) for a in range(40) for b in range(a) if nd.similarity(sets[a], sets[b]) >= nd.THRESHOLD - 1e-12]
+    found = nd.links_within(list(range(40)), roots, sets)
+    assert joined(found) == joined(every) and len(found) < 40
+
+
 def test_components(spark):
     draw = random.Random(2)
     edges = [(a, draw.randrange(max(0, a - 3), a + 1)) for a in range(0, 400) if a % 50] + [(7, 7)]
