@@ -191,16 +191,19 @@ def _pattern(template: str) -> str:
 
 
 def _oracle() -> str:
+    most = max(len(p.split()) for p, _ in PHRASES)
+    ahead = ", ".join(f"lead(w0, {k}) OVER (PARTITION BY doc_id ORDER BY pos) AS w{k}" for k in range(1, most))
     stands = " UNION ALL ".join(
-        f"SELECT doc_id, '{label}' AS label, i - 1 AS pos FROM spots WHERE array_to_string(w[i:i + {p.count(' ')}], ' ') = '{p}'"
-        for p, label in PHRASES)
+        f"SELECT doc_id, '{label}' AS label, pos FROM spots WHERE "
+        + " AND ".join(f"w{k} = '{w}'" for k, w in enumerate(p.split())) for p, label in PHRASES)
     whole = " UNION ".join(f"SELECT doc_id, '{label}' AS label FROM plain WHERE regexp_matches(s, '{_pattern(t)}')"
                            for label, t in TEMPLATES)
     return rf"""
 WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 plain AS (SELECT doc_id, ' ' || array_to_string(w, ' ') || ' ' AS s FROM words),
-spots AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+single AS (SELECT doc_id, unnest(w) AS w0, unnest(range(0, len(w))) AS pos FROM words),
+spots AS (SELECT *, {ahead} FROM single),
 stands AS ({stands}),
 base AS (SELECT doc_id, count(*) AS n, min(pos) AS a, max(pos) AS z FROM stands GROUP BY doc_id),
 own AS ({whole}),
