@@ -15,9 +15,11 @@ little more than one pass.
 3. Links of exact similarity ``THRESHOLD`` or more are contracted to components.
 4. Buckets that still hold several components are finished: the members of a bucket meet in one
    task, which compares all of them by products of their incidence matrix and returns no
-   more links than join its components. A bucket of over ``LARGE_BUCKET`` nodes is cut by fresh
-   bands of new registers first, up to ``LEVELS`` times. So no pair of a bucket is left out for
-   its size, and no pairs are written or shuffled.
+   more links than join its components. A bucket of over ``LARGE_BUCKET`` nodes is dealt to
+   blocks, first each a task of its own. What then still holds several components is dealt
+   anew, large components to blocks of their own, and every two blocks meet in a task unless
+   they are of one component. So no pair of a bucket is left out for its size, no task
+   holds more than about ``LARGE_BUCKET`` nodes, and no pairs of documents are written or shuffled.
 
 A pair at similarity 0.8 shares a band with probability 1 - 2e-4, at 0.85 with 1 - 1e-6.
 Nodes are 64-bit hashes of the words.
@@ -43,10 +45,8 @@ from palate.session import materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 REGISTERS, BANDS, ROWS = 256, 36, 7
-#: Nodes of a bucket that are compared in one task; larger buckets are cut anew first.
+#: Nodes of a bucket that are compared in one task; larger buckets are dealt to blocks.
 LARGE_BUCKET = 2048
-#: Times that large buckets are cut anew before they are compared block by block whatever their size.
-LEVELS = 3
 #: Shingles of a block of the incidence matrix.
 COLUMNS = 4096
 #: Bytes of node ids that may be sent to the scan which fetches their texts.
@@ -194,25 +194,6 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "shingles": pa.array([pack(prints[a:z], counts[a:z]) for a, z in zip(edges[:-1], edges[1:])], pa.binary())})
 
 
-def _cut_again(level: int):
-    """(bucket, node) of (bucket, node, shingles): every bucket cut by bands of new registers."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                sets = [unpack(s.as_py()) for s in piece.column("shingles")]
-                sizes = np.array([len(p) for p, _ in sets])
-                docs = np.repeat(np.arange(len(sets)), sizes)
-                weights = np.concatenate([np.ones(len(p)) if c is None else c.astype(float) for p, c in sets])
-                keys = band_keys(signatures(docs, np.concatenate([p for p, _ in sets]), weights, len(sets), level))
-                bucket = piece.column("bucket").to_numpy().view(np.uint64)
-                cut_keys = mixed(keys ^ mixed(bucket)[:, None]).view(np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(cut_keys.ravel()),
-                    "node": pa.array(np.repeat(piece.column("node").to_numpy(), BANDS))})
-    return cut
-
-
 def _similarities(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([similarity(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.float64())
 
@@ -295,9 +276,10 @@ def _shared_mass(docs: np.ndarray, columns: np.ndarray, weights: np.ndarray, row
     return mass
 
 
-def links_within(nodes: list[int], roots: list[int], packed: list[bytes]) -> list[tuple[int, int]]:
+def links_within(nodes: list[int], roots: list[int], packed: list[bytes], left: int | None = None) -> list[tuple[int, int]]:
     """Links between the components of a bucket, as many as it takes to join those that belong together.
 
+    With ``left``, only the first ``left`` documents are compared with the others.
     The similarity of two documents is at most the share that either has in common with
     the other. Where all counts are 1 it follows from that share; else it is computed for the
     pairs that pass.
@@ -324,9 +306,10 @@ def links_within(nodes: list[int], roots: list[int], packed: list[bytes]) -> lis
     docs, weights = docs[order][shared], weights[order][shared]
     label = np.unique(np.array(roots), return_inverse=True)[1]
     links = []
-    blocks = [range(a, min(a + LARGE_BUCKET, len(sets))) for a in range(0, len(sets), LARGE_BUCKET)]
+    cut = lambda start, stop: [range(a, min(a + LARGE_BUCKET, stop)) for a in range(start, stop, LARGE_BUCKET)]
+    blocks = cut(0, len(sets) if left is None else left)
     for i, rows in enumerate(blocks):
-        for others in blocks[i:]:
+        for others in blocks[i:] if left is None else cut(left, len(sets)):
             mass = _shared_mass(docs, columns, weights, rows, others)
             back = mass if plain else _shared_mass(docs, columns, weights, others, rows).T
             x, y = total[rows.start:rows.stop, None], total[None, others.start:others.stop]
@@ -344,10 +327,66 @@ def links_within(nodes: list[int], roots: list[int], packed: list[bytes]) -> lis
 
 
 def _linked(rows: pa.Table) -> pa.Table:
-    found = links_within(*(rows.column(c).to_pylist() for c in ("node", "root", "shingles")))
+    """Links of a task; rows of side 0 are compared with those of side 1, or with each other if there are none."""
+    rows = rows.sort_by("side")
+    left = rows.num_rows - int(rows.column("side").to_numpy().sum())
+    found = links_within(*(rows.column(c).to_pylist() for c in ("node", "root", "shingles")),
+                         left if left < rows.num_rows else None)
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
+def _blocks(n: str, share: float) -> F.Column:
+    """Blocks for ``n`` nodes that are dealt by hash: three quarters full, so none holds more than ``share`` of a task."""
+    return F.ceil(F.col(n) / F.lit(max(1.0, LARGE_BUCKET * share * 0.75))).cast("int")
+
+
+def _dealt(blocks: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64("bucket", "node"), blocks).cast("int")
+
+
+def _whole_tasks(open_: DataFrame) -> DataFrame:
+    """``(bucket, task, side, node, root)``: small buckets whole, of large ones each block by itself."""
+    task = F.when(F.col("n") <= LARGE_BUCKET, F.lit(0)).otherwise(_dealt(_blocks("n", 1.0)))
+    return open_.select("bucket", task.cast("bigint").alias("task"), F.lit(0).alias("side"), "node", "root")
+
+
+def _cross_tasks(open_: DataFrame) -> DataFrame:
+    """``(bucket, task, side, node, root)``: every two blocks of a bucket, but not two of one component.
+
+    A component that fills a block has its own blocks, named by its root; the small ones of a
+    bucket share theirs, and those are also compared each with itself.
+    """
+    half = max(1.0, LARGE_BUCKET * 0.375)
+    sizes = materialize(open_.groupBy("bucket", "root").agg(F.count("*").alias("size")))
+    shared = sizes.filter(F.col("size") < half).groupBy("bucket").agg(F.sum("size").alias("rest"))
+    own = sizes.filter(F.col("size") >= half)
+    groups = materialize(
+        own.select("bucket", F.lit(True).alias("own"), F.col("root").alias("name"), _blocks("size", 0.5).alias("blocks")).union(
+            shared.select("bucket", F.lit(False), F.lit(0).cast("bigint"), _blocks("rest", 0.5))))
+    names = {"own": "own_b", "name": "name_b", "blocks": "blocks_b"}
+    before = F.struct("own", "name") < F.struct(F.col("own_b").alias("own"), F.col("name_b").alias("name"))
+    itself = ~F.col("own") & ~F.col("own_b")
+    pairs = (groups.join(groups.withColumnsRenamed(names), "bucket").filter(before | itself)
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("block_b", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
+             .filter(~itself | (F.col("block") <= F.col("block_b"))))
+    ends = F.array(F.struct(F.lit(0).alias("side"), "own", "name", "block"),
+                   F.struct(F.lit(1).alias("side"), F.col("own_b").alias("own"), F.col("name_b").alias("name"),
+                            F.col("block_b").alias("block")))
+    alone = itself & (F.col("block") == F.col("block_b"))
+    tasks = (pairs.select("bucket", F.xxhash64("own", "name", "block", "own_b", "name_b", "block_b").alias("task"),
+                          F.explode(F.when(alone, F.slice(ends, 1, 1)).otherwise(ends)).alias("end"))
+             .select("bucket", "task", "end.side", "end.own", "end.name", "end.block"))
+    # The components' own blocks are found by (bucket, root), the shared ones by the bucket.
+    known = groups.filter("own").select("bucket", F.col("name").alias("root"), F.col("blocks").alias("own_blocks"))
+    several = groups.filter("NOT own").select("bucket", F.col("blocks").alias("shared_blocks"))
+    members = lookup(open_.select("bucket", "node", "root").join(known, ["bucket", "root"], "left"), several, "bucket")
+    large = F.col("own_blocks").isNotNull()
+    members = members.select("bucket", "node", "root", large.alias("own"), F.when(large, F.col("root")).otherwise(F.lit(0)).alias("name"),
+                             _dealt(F.coalesce("own_blocks", "shared_blocks")).alias("block"))
+    return members.join(tasks, ["bucket", "own", "name", "block"]).select("bucket", "task", "side", "node", "root")
+
+
 def _candidate_sets(buckets: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """``(node, shingles)`` of every node that shares a bucket, from one of its texts."""
     wanted = materialize(buckets.select("node").distinct())
@@ -366,20 +405,19 @@ def near_roots(described: DataFrame, docs: DataFrame, text: str = "text") -> Dat
     buckets = materialize(lookup(exploded, _several(exploded), "bucket", "inner"))
     sets = _candidate_sets(buckets, docs, text)
     roots = components(_verified(_first_pairs(buckets), sets))
-    for level in range(LEVELS + 1):
-        open_ = materialize(_open(buckets, roots))
+    open_ = materialize(_open(buckets, roots))
+    for tasks_of in (_whole_tasks, _cross_tasks):
         if open_.isEmpty():
             break
-        whole = F.lit(level == LEVELS) | (F.col("n") <= LARGE_BUCKET)
-        members = open_.filter(whole).join(sets, "node").select("bucket", "node", "root", "shingles")
-        links = materialize(members.groupBy("bucket").applyInArrow(_linked, "a bigint, b bigint"))
+        members = tasks_of(open_).join(sets, "node").select("bucket", "task", "side", "node", "root", "shingles")
+        links = materialize(members.groupBy("bucket", "task").applyInArrow(_linked, "a bigint, b bigint"))
         if not links.isEmpty():
             roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links))
-        large = open_.filter(~whole)
+        # Small buckets are finished; of a large one, pairs between its blocks are left.
+        large = open_.filter(F.col("n") > LARGE_BUCKET)
         if large.isEmpty():
             break
-        again = _open(large, roots).select("bucket", "node").join(sets, "node").select("bucket", "node", "shingles")
-        buckets = materialize(again.mapInArrow(_cut_again(level + 1), "bucket bigint, node bigint"))
+        open_ = materialize(_open(large, roots))
     return roots
 
 

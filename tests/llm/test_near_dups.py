@@ -89,6 +89,32 @@ def test_links_within_a_bucket_against_all_pairs(monkeypatch, size, high):
     assert joined(found) == joined(every) and len(found) < 40
 
 
+def test_no_task_holds_a_large_bucket(spark, monkeypatch):
+    """A bucket of many sizes of LARGE_BUCKET: every pair of two components meets, in bounded tasks."""
+    monkeypatch.setattr(nd, "LARGE_BUCKET", 64)
+    draw = random.Random(9)
+    rows, root = [], {}
+    for bucket, many in ((1, 900), (2, 0)):
+        for i in range(1500):
+            node = draw.getrandbits(60)
+            root[node] = 7 if i < many else 8 if i < many + 100 else node if i % 2 else 11 + i // 40
+            rows.append((bucket, node, root[node], 1500))
+    open_ = spark.createDataFrame(rows, "bucket bigint, node bigint, root bigint, n bigint")
+    met = {1: set(), 2: set()}
+    for tasks_of in (nd._whole_tasks, nd._cross_tasks):
+        tasks = {}
+        for r in tasks_of(open_).collect():
+            tasks.setdefault((r.bucket, r.task), ([], []))[r.side].append(r.node)
+        assert len(tasks) > 30 and max(len(a) + len(b) for a, b in tasks.values()) <= 1.5 * nd.LARGE_BUCKET
+        if tasks_of is nd._cross_tasks:
+            for (bucket, _), (a, b) in tasks.items():
+                met[bucket].update(frozenset((x, y)) for x in a for y in b or a if root[x] != root[y])
+                assert not b or len({root[x] for x in a + b}) > 1
+    for bucket in met:
+        of = [r[1] for r in rows if r[0] == bucket]
+        assert met[bucket] == {frozenset((x, y)) for i, x in enumerate(of) for y in of[:i] if root[x] != root[y]}
+
+
 def test_components(spark):
     draw = random.Random(2)
     edges = [(a, draw.randrange(max(0, a - 3), a + 1)) for a in range(0, 400) if a % 50] + [(7, 7)]
