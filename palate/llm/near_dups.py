@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.llm.common import folded, fresh, quoted, table
 from palate.llm.hashing import fold, mixed, word_hashes
@@ -217,7 +217,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (lookup(both.filter("v > u"), least, "u", "inner")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        small = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        large = materialize(large)
+        small = lookup(large, large.groupBy("u").agg(F.min("v").alias("m")), "u", "inner")
         # A node with one tie keeps it; of several, the other ends are tied to the smallest.
         ties = (small.select(F.explode(F.when(F.col("v") == F.col("m"), F.array(F.struct("u", F.col("m").alias("v"))))
                                        .otherwise(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).alias("t"))

@@ -132,6 +132,16 @@ def test_components(spark):
     assert got == {a: find(a) for a in got} and set(got) == {x for e in edges for x in e if e[0] != e[1]}
 
 
+def test_no_node_s_ties_meet_in_a_window(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(nd, "materialize", lambda df, own=nd.materialize: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), own(df))[1])
+    edges = spark.createDataFrame([(1, n) for n in range(2, 60)] + [(n, n + 100) for n in range(2, 60)], "a bigint, b bigint")
+    got = {r.node: r.root for r in nd.components(edges).collect()}
+    assert len(got) == 117 and set(got.values()) == {1}
+    assert len(plans) > 1 and not any("Window" in p for p in plans)
+
+
 def test_every_case_has_a_result(spark, tricky):
     rows = nd.near_duplicates(tricky).collect()
     assert len(rows) == tricky.count()
