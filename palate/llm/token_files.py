@@ -2,8 +2,8 @@
 
 Documents are range-partitioned and sorted by id, tokenised, and cut into shards of
 some million tokens. In each shard the most frequent pairs of neighbouring symbols are
-replaced by new symbols, over and over; what is left is a short sequence and a list
-of rules. The expanded length of every rule is stored, so a reader finds the symbol
+replaced by new symbols, over and over, until no pair stands ``MIN_COUNT`` times; what is
+left is a short sequence and a list of rules. The expanded length of every rule is stored, so a reader finds the symbol
 that holds token ``i`` by a search in running lengths and expands only what it needs.
 
 A shard is one binary block (``pack``), and the blocks are rows of a Parquet table in
@@ -33,9 +33,10 @@ from palate.session import scratch_path
 
 END_ID = 2
 SHARD_TOKENS = 1 << 22
-ROUNDS = 3
 MIN_COUNT = 8
-MAGIC = b"RPR1"
+#: Pairs that the first rounds replace at once; later rounds take half of what stands often enough, if that is more.
+ROUND_PAIRS = 1 << 12
+MAGIC = b"RPR2"
 _HEADER = struct.Struct("<4sIQIIQ")  # magic, documents, tokens, first rule symbol, rules, symbols
 BLOCKS = "part int, shard int, n_docs bigint, n_tokens bigint, block binary"
 
@@ -53,24 +54,29 @@ class Shard:
     sizes: np.ndarray
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """All symbols replaced by their tokens; one pass for each level of the grammar."""
-        out = symbols.astype(np.uint32)
-        while (nested := out >= self.base).any():
-            ends = np.cumsum(nested, dtype=np.int64) + np.arange(1, len(out) + 1)
-            wide = np.empty(ends[-1], np.uint32)
-            rules = out[nested] - np.uint32(self.base)
-            wide[ends[~nested] - 1] = out[~nested]
-            wide[ends[nested] - 2] = self.left[rules]
-            wide[ends[nested] - 1] = self.right[rules]
-            out = wide
+        """All symbols replaced by their tokens, each written at its place; about two steps a token, however deep."""
+        work = symbols.astype(np.uint32)
+        sizes = self.lengths_of(work)
+        places = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.uint32)
+        while len(work):
+            nested = work >= self.base
+            out[places[~nested]] = work[~nested]
+            rules, places = work[nested] - np.uint32(self.base), places[nested]
+            left = self.left[rules]
+            work = np.concatenate((left, self.right[rules]))
+            places = np.concatenate((places, places + self.lengths_of(left)))
         return out
 
-    def symbol_lengths(self) -> np.ndarray:
-        lengths = np.ones(len(self.symbols), np.int64)
-        nested = self.symbols >= self.base
-        lengths[nested] = self.lengths[self.symbols[nested] - np.uint32(self.base)]
+    def lengths_of(self, symbols: np.ndarray) -> np.ndarray:
+        lengths = np.ones(len(symbols), np.int64)
+        nested = symbols >= self.base
+        lengths[nested] = self.lengths[symbols[nested] - np.uint32(self.base)]
         return lengths
 
+    def symbol_lengths(self) -> np.ndarray:
+        return self.lengths_of(self.symbols)
+
     def tokens(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Tokens ``start`` to ``stop``, expanding only the symbols that hold them."""
         ends = np.cumsum(self.symbol_lengths())
@@ -82,83 +88,99 @@ class Shard:
         return self.expand(self.symbols[first:last + 1])[start - skipped:stop - skipped]
 
 
-def pair_keys(symbols: np.ndarray) -> np.ndarray:
-    """Each pair of neighbours as one number."""
-    keys = symbols[:-1].astype(np.uint32 if symbols.dtype == np.uint16 else np.uint64)
-    keys <<= keys.dtype.type(8 * symbols.dtype.itemsize)
-    keys |= symbols[1:]
-    return keys
+def slots(keys: np.ndarray) -> np.ndarray:
+    """Pairs by the top 20 bits of a product."""
+    wide = keys.dtype == np.uint64
+    factor, shift = keys.dtype.type(0x9E3779B97F4A7C15 if wide else 0x9E3779B1), keys.dtype.type(44 if wide else 12)
+    return keys * factor >> shift
 
 
-def frequent_pairs(keys: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Up to ``most`` pairs that stand at least ``least`` times, the most frequent first."""
+def frequent_pairs(keys: np.ndarray, least: int) -> np.ndarray:
+    """The pairs that stand at least ``least`` times, the most frequent first."""
     ordered = np.sort(keys)
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(starts, len(ordered)))
     often = np.flatnonzero(counts >= least)
-    return ordered[starts[often[np.argsort(-counts[often], kind="stable")[:most]]]]
+    return ordered[starts[often[np.argsort(-counts[often], kind="stable")]]]
 
 
-def replace_pairs(symbols: np.ndarray, keys: np.ndarray, chosen: np.ndarray, first: int) -> np.ndarray:
-    """Every pair ``chosen[k]`` becomes ``first + k``, from left to right without overlap."""
-    wide = keys.dtype == np.uint64
-    factor, shift = keys.dtype.type(0x9E3779B97F4A7C15 if wide else 0x9E3779B1), keys.dtype.type(44 if wide else 12)
-    # Pairs by the top 20 bits of a product. The last in a slot wins; others wait for the next round.
+def places_of(keys: np.ndarray, at: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``at`` where a pair ``chosen[k]`` is replaced, from left to right without overlap, and the ``k`` of each."""
+    # The last in a slot wins; others wait for the next round, and there always is one while a pair stands often enough.
     rule = np.zeros(1 << 20, np.uint32)
-    rule[chosen * factor >> shift] = np.arange(1, len(chosen) + 1)
-    found = rule[keys * factor >> shift]
+    rule[slots(chosen)] = np.arange(1, len(chosen) + 1)
+    found = rule[slots(keys)]
     spots = np.flatnonzero(found)
     found = found[spots] - 1
     same = chosen[found] == keys[spots]
-    spots, found = spots[same], found[same]
-    if not len(spots):
-        return symbols
+    spots, found = at[spots[same]], found[same]
     # Within a run of neighbouring spots every second one is taken.
     runs = np.flatnonzero(np.concatenate(([True], spots[1:] != spots[:-1] + 1)))
     offset = np.arange(len(spots)) - np.repeat(runs, np.diff(np.append(runs, len(spots))))
     taken = offset & 1 == 0
-    out, kept = symbols.copy(), np.ones(len(symbols), bool)
-    out[spots[taken]] = first + found[taken]
-    kept[spots[taken] + 1] = False
-    return out[kept]
+    return spots[taken], found[taken]
 
 
-def compress(tokens: np.ndarray, ids: list[int | None], sizes: np.ndarray, rounds: int = ROUNDS,
-             least: int = MIN_COUNT) -> Shard:
+def compress(tokens: np.ndarray, ids: list[int | None], sizes: np.ndarray, least: int = MIN_COUNT) -> Shard:
     """Re-Pair in rounds: each replaces the most frequent pairs of the sequence so far at once.
 
-    With fewer than 2**16 token ids and rules together, symbols take two bytes.
+    It ends when no pair stands ``least`` times. A pair that does not can only get rarer, as a new
+    pair always has a new symbol; so later rounds look only at pairs that were often enough and at
+    those beside a replaced one. Symbols take two bytes while 2**16 are enough, then four.
     """
     base = int(tokens.max(initial=0)) + 1
-    room = (1 << 16) - base if base < 1 << 16 else 1 << 16
     symbols = tokens.astype(np.uint16 if base < 1 << 16 else np.uint32)
-    left, right = np.empty(0, np.uint32), np.empty(0, np.uint32)
-    lengths = np.empty(0, np.uint32)
-    length_of = lambda s: np.where(s < base, 1, lengths[np.maximum(s.astype(np.int64) - base, 0)] if len(lengths) else 1)
-    for turn in range(rounds):
-        if len(symbols) < 2:
-            break
-        keys = pair_keys(symbols)
-        chosen = frequent_pairs(keys, (room - len(left)) // (rounds - turn), least)
-        if not len(chosen):
+    left, right, lengths = [], [], np.ones(base, np.uint32)
+    alive = np.ones(max(len(symbols) - 1, 0), bool)
+    while True:
+        at = np.flatnonzero(alive)
+        if len(at) < least:
             break
         bits = 8 * symbols.dtype.itemsize
+        keys = symbols[at].astype(np.uint32 if bits == 16 else np.uint64)
+        keys <<= keys.dtype.type(bits)
+        keys |= symbols[at + 1]
+        often = frequent_pairs(keys, least)
+        if not len(often):
+            break
+        chosen = often[:max(ROUND_PAIRS, len(often) // 2)]
+        spots, found = places_of(keys, at, chosen)
+        # Only rules that are used are kept.
+        used = np.bincount(found, minlength=len(chosen)) > 0
+        first, chosen, found = len(lengths), chosen[used], (np.cumsum(used) - 1)[found]
         a, b = (chosen >> chosen.dtype.type(bits)).astype(np.uint32), (chosen & chosen.dtype.type((1 << bits) - 1)).astype(np.uint32)
-        symbols = replace_pairs(symbols, keys, chosen, base + len(left))
-        lengths = np.concatenate((lengths, (length_of(a) + length_of(b)).astype(np.uint32)))
-        left, right = np.concatenate((left, a)), np.concatenate((right, b))
-    return Shard(base, left, right, lengths, symbols, ids, sizes)
+        left.append(a)
+        right.append(b)
+        lengths = np.concatenate((lengths, lengths[a] + lengths[b]))
+        hopeful = np.zeros(1 << 20, bool)
+        hopeful[slots(often)] = True
+        alive[at] = hopeful[slots(keys)]
+        if len(lengths) > 1 << 16 and bits == 16:
+            symbols = symbols.astype(np.uint32)
+        kept = np.ones(len(symbols), bool)
+        kept[spots + 1] = False
+        symbols[spots] = first + found
+        symbols = symbols[kept]
+        new = spots - np.arange(len(spots))  # where the replaced pairs now are
+        alive = np.append(alive, False)[kept]
+        alive[new] = True
+        alive[new[new > 0] - 1] = True
+        alive = alive[:-1]
+    rules = [np.concatenate([np.empty(0, np.uint32), *x]) for x in (left, right)]
+    return Shard(base, *rules, lengths[base:], symbols, ids, sizes)
 
 
 def pack(shard: Shard) -> bytes:
-    """Header, rules, expanded lengths, document ids (with a mask of nulls) and sizes, symbols."""
+    """Header, rules, expanded lengths, document ids (with a mask of nulls) and sizes, the symbols' low 16 bits, and
+    each higher bit that occurs as a row of bits."""
     ids = np.array([i or 0 for i in shard.ids], "<i8")
     nulls = np.array([i is None for i in shard.ids], np.uint8)
     head = _HEADER.pack(MAGIC, len(ids), int(shard.sizes.sum()), shard.base, len(shard.left), len(shard.symbols))
-    width = shard.symbols.dtype.itemsize
+    width = max(16, (shard.base + len(shard.left) - 1).bit_length())
+    high = [np.packbits(shard.symbols >> np.uint32(bit) & 1).tobytes() for bit in range(16, width)]
     return b"".join((head, struct.pack("<I", width), *(x.astype("<u4").tobytes() for x in (
         shard.left, shard.right, shard.lengths)), ids.tobytes(), nulls.tobytes(),
-        shard.sizes.astype("<u8").tobytes(), shard.symbols.astype(f"<u{width}").tobytes()))
+        shard.sizes.astype("<u8").tobytes(), shard.symbols.astype("<u2").tobytes(), *high))
 
 
 def unpack(block: bytes) -> Shard:
@@ -175,7 +197,12 @@ def unpack(block: bytes) -> Shard:
 
     left, right, lengths = (take("<u4", n_rules) for _ in range(3))
     ids, nulls, sizes = take("<i8", n_docs), take("u1", n_docs), take("<u8", n_docs)
-    return Shard(base, left, right, lengths, take(f"<u{width}", n_symbols),
+    symbols = take("<u2", n_symbols)
+    if width > 16:
+        symbols = symbols.astype(np.uint32)
+        for bit in range(16, width):
+            symbols |= np.unpackbits(take("u1", -(-n_symbols // 8)), count=n_symbols).astype(np.uint32) << np.uint32(bit)
+    return Shard(base, left, right, lengths, symbols,
                  [None if null else i for i, null in zip(ids.tolist(), nulls)], sizes.astype(np.int64))
 
 

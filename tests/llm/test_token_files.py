@@ -46,6 +46,21 @@ def test_repeats_become_rules():
     assert len(shard.symbols) <= 1001 + 7 and len(tf.pack(shard)) < len(tokens)
 
 
+def test_rounds_go_on_until_no_pair_is_frequent():
+    draw = np.random.default_rng(7)
+    passage = draw.integers(0, 49_000, 4000, dtype=np.uint32)
+    for tokens in (np.tile(passage, 100), np.concatenate([np.append(passage, draw.integers(0, 49_000, 50, dtype=np.uint32))
+                                                          for _ in range(60)]), draw.zipf(1.3, 300_000).astype(np.uint32) % 60_000):
+        shard = tf.unpack(tf.pack(tf.compress(tokens, [1], np.array([len(tokens)]))))
+        assert (shard.tokens() == tokens).all()
+        pairs = shard.symbols[:-1].astype(np.uint64) << np.uint64(32) | shard.symbols[1:]
+        assert np.unique(pairs, return_counts=True)[1].max(initial=0) < tf.MIN_COUNT
+        inside = np.concatenate((shard.symbols, shard.left, shard.right))
+        assert np.isin(np.arange(shard.base, shard.base + len(shard.left)), inside).all()
+        if tokens.size != 300_000:
+            assert shard.lengths.max() > 8 and len(tf.pack(shard)) < len(tokens) / 2
+
+
 def checked(rows, docs):
     """Starts and checksums against the library, in ascending order of ids."""
     start = 0
