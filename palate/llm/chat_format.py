@@ -1,17 +1,18 @@
 """Conversations flattened to one training string, with typed content parts and a loss mask.
 
-A turn is a list of parts: ``text``, ``image``, ``audio`` or ``document``. Text parts
-are escaped so that no text can contain a control string; every other part becomes
-a placeholder, in order, and is recorded as an attachment with its reference and the
-number of tokens it expands to. The mask lists the spans under the loss: the texts
+A turn is a list of parts: ``text``, ``image``, ``audio`` or ``document``. Neighbouring text
+parts are joined first and escaped as one, so no text, however it is cut into parts, can
+contain a control string; every other part becomes a placeholder, in order, and is recorded as
+an attachment with its reference and the number of tokens it expands to. The mask lists the spans under the loss: the texts
 of the roles to be learned. ``parse`` reads a formatted string back.
 
 Everything is DataFrame functions. Turns are escaped and measured one row each; only
 then are they gathered by conversation, which the result, one string each, needs.
 
-Turns are ordered by turn (nulls first), ties by role, then text. A null role, text
-or part list counts as empty; turns with a null conversation id form one
-conversation; repeated turns stay. An empty table gives an empty result.
+Turns are ordered by turn (nulls first), ties by role, then by the text as it was given. A null role,
+text or part list counts as empty, a null part as an empty text; turns with a null conversation id form one
+conversation; repeated turns stay. Turns of any length are kept whole. An empty table gives an empty
+result. Columns other than the four named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,11 +50,31 @@ def text_part(text: Column) -> Column:
                             null.cast("bigint").alias("size")))
 
 
-def _visit(part: Column) -> Column:
-    """What a part contributes to the string; parts of unknown type are visited as documents."""
-    kind = F.coalesce(part["type"], F.lit("text"))
-    shown = F.when(kind.isin("image", "audio"), F.concat(F.lit("<|"), kind, F.lit("|>"))).otherwise("<|document|>")
-    return F.when(kind == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(shown)
+def _is_text(part: Column) -> Column:
+    return F.coalesce(part["type"], F.lit("text")) == "text"
+
+
+def _shown(part: Column) -> Column:
+    """The placeholder of a part that is no text; parts of unknown type are visited as documents."""
+    return F.when(part["type"].isin("image", "audio"), F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise("<|document|>")
+
+
+def _given(parts: Column) -> Column:
+    """All parts as they are, placeholders in place."""
+    text = lambda p: F.when(_is_text(p), F.coalesce(p["text"], F.lit(""))).otherwise(_shown(p))
+    return F.coalesce(F.array_join(F.transform(parts, text), ""), F.lit(""))
+
+
+def _flattened(parts: Column) -> Column:
+    """The same with every run of neighbouring texts escaped as one string."""
+    empty = F.lit("")
+    folded = F.aggregate(
+        parts, F.struct(empty.alias("out"), empty.alias("run")),
+        lambda acc, p: F.when(_is_text(p), F.struct(
+            acc["out"].alias("out"), F.concat(acc["run"], F.coalesce(p["text"], empty)).alias("run")))
+        .otherwise(F.struct(F.concat(acc["out"], escape(acc["run"]), _shown(p)).alias("out"), empty.alias("run"))),
+        lambda acc: F.concat(acc["out"], escape(acc["run"])))
+    return F.coalesce(folded, empty)
 
 
 def _attachment(part: Column) -> Column:
@@ -71,13 +92,13 @@ def format_parts(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
 
     ``loss_spans`` holds (start, length) in code points of ``formatted``.
     """
-    visited = F.array_join(F.transform(quoted(parts), _visit), "")
-    body = F.coalesce(visited, F.lit(""))
+    given, body = _given(quoted(parts)), _flattened(quoted(parts))
     plain_role = F.coalesce(quoted(role), F.lit(""))
-    attached = F.transform(F.filter(quoted(parts), lambda p: F.coalesce(p["type"], F.lit("text")) != "text"),
-                           _attachment)
+    attached = F.transform(F.filter(quoted(parts), lambda p: ~_is_text(p)), _attachment)
     head = F.concat(F.lit(BEGIN), escape_role(plain_role), F.lit("\n"))
-    row = F.struct(quoted(turn).alias("turn"), plain_role.alias("role"), body.alias("body"), head.alias("head"),
+    # Ties are ordered by the text as given; the escaped one travels only where it differs.
+    row = F.struct(quoted(turn).alias("turn"), plain_role.alias("role"), given.alias("given"),
+                   F.when(body != given, body).alias("escaped"), head.alias("head"),
                    F.length(head).cast("bigint").alias("before"), F.length(body).cast("bigint").alias("within"),
                    plain_role.isin(*learned).alias("learned"),
                    F.coalesce(attached, F.array().cast("array<struct<type: string, ref: string, n_tokens: bigint>>"))
@@ -95,7 +116,7 @@ def format_parts(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
                 (acc["at"] + t["before"]).alias("start"), t["within"].alias("length")))))
             .otherwise(acc["spans"]).alias("spans")),
         lambda acc: acc["spans"])
-    text = F.array_join(F.transform(rows, lambda t: F.concat(t["head"], t["body"], F.lit(tail))), "")
+    text = F.array_join(F.transform(rows, lambda t: F.concat(t["head"], F.coalesce(t["escaped"], t["given"]), F.lit(tail))), "")
     attachments = F.flatten(F.transform(rows, lambda t: t["attached"]))
     return gathered.select(
         F.col(key).alias("conv_id"), text.alias("formatted"), spans.alias("loss_spans"),

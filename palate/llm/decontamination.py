@@ -1,17 +1,19 @@
 """Benchmark passages found in documents by one scan with an Aho-Corasick automaton.
 
-Both sides are folded to plain words. Every run of ``window`` consecutive words of a
-benchmark item (the whole item where it is shorter) is a pattern of one automaton; a
-document is read once, whatever the number of patterns. Matches are reported as word
+Both sides are folded to plain words, and the words of the benchmark are numbered. The automaton is
+over word numbers. A window of ``window`` words holds a whole block of half as many that starts at a multiple of that in
+its item, so the blocks, and items shorter than a window, are its patterns: one node for each word of the benchmark, not ten.
+A document is read once, whatever the number of patterns; where a block stands, the
+item's words around it are compared with the document's, and a run of a window or more is a match. Matches are reported as word
 places and as code point offsets in the original text.
 
-The patterns are sent to all executors, so the size of the benchmark is checked
-first: past ``max_chars`` characters it is dealt to several automata, and the documents
-are scanned by one after the other from a written table. Nothing is left out.
+The benchmark is sent to all executors, so its size is checked first, after equal rows have been dropped: an automaton
+takes some 20 bytes for each character of text, about 650 MB at ``max_chars``. A larger benchmark is dealt to several
+automata, and the documents are scanned by one after the other from a written table. Nothing is left out.
 
-Null and empty texts have no words and no hits; an item without words has no
+Null and empty texts have no words and no hits, texts of any length are scanned whole; an item without words has no
 windows; two items with one id count once; a null id marks words but is not listed.
-Repeated documents get equal rows, empty tables give empty or clean results. Input
+Ties do not occur. Repeated documents get equal rows, empty tables give empty or clean results. Input
 columns named like a result column are replaced by it.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -27,66 +30,103 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from palate.llm.common import fresh, others, plain_offsets, plain_words, table, with_fields
+from palate.llm.common import fresh, others, plain_offsets, plain_words, quoted, table, with_fields
 from palate.session import materialize
 
 WINDOW = 10
-#: Characters of benchmark text for one automaton; its nodes take some 300 bytes for each.
-MAX_CHARS = 1 << 20
+#: Characters of benchmark text for one automaton.
+MAX_CHARS = 32 << 20
 SPANS = "array<struct<item_id: string, first_word: bigint, last_word: bigint, start: bigint, end: bigint>>"
 RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
 
 
-def windows_of(words: list[bytes], window: int) -> list[list[bytes]]:
-    return [words[i:i + window] for i in range(max(1, len(words) - window + 1))] if words else []
-
-
-def pattern(words: list[bytes]) -> str:
-    """Words between single blanks; bytes stand as characters, so places are byte places."""
-    return (b" " + b" ".join(words) + b" ").decode("latin-1")
-
-
-def build(items: list[tuple[str | None, bytes]], window: int) -> ahocorasick.Automaton:
-    """The automaton; each pattern carries its number of words and its item ids."""
-    found: dict[str, tuple[int, set]] = {}
-    for item, text in items:
-        for words in windows_of(plain_words(text), window):
-            found.setdefault(pattern(words), (len(words), set()))[1].add(item)
-    automaton = ahocorasick.Automaton()
-    for key, (size, ids) in found.items():
-        automaton.add_word(key, (size, tuple(ids)))
+@dataclass
+class Matcher:
+    """Items as word numbers, and the automaton of their blocks; a block carries where it stands.
+
+    Words that the benchmark does not have are 0, which no item holds.
+    """
+
+    window: int
+    numbers: dict[bytes, int]
+    ids: list[str | None]
+    items: list[tuple[int, ...]]
+    automaton: ahocorasick.Automaton
+
+
+def build(rows: list[tuple[str | None, bytes]], window: int) -> Matcher:
+    numbers: dict[bytes, int] = {}
+    ids, items = [], []
+    for item, text in dict.fromkeys(rows):
+        words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in plain_words(text))
+        if words:
+            ids.append(item)
+            items.append(words)
+    block = (window + 1) // 2
+    found: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+    for k, words in enumerate(items):
+        if len(words) < window:
+            found.setdefault(words, []).append((k, 0))
+        else:
+            for at in range(0, len(words) - block + 1, block):
+                found.setdefault(words[at:at + block], []).append((k, at))
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for key, places in found.items():
+        automaton.add_word(key, (len(key), places))
     automaton.make_automaton()
-    return automaton
-
-
-def scan(automaton: ahocorasick.Automaton, text: bytes | None) -> tuple[int, list[dict]]:
-    """Number of words, and the spans of each item: overlapping windows are joined."""
+    return Matcher(window, numbers, ids, items, automaton)
+
+
+def runs(matcher: Matcher, words: tuple[int, ...]) -> Iterator[tuple[int, int, int]]:
+    """(item, first word, last word) of the runs that an item and the document have in common, as long as they go.
+
+    A run that was followed from one of its blocks is not followed again from the next.
+    """
+    ends: dict[tuple[int, int], int] = {}
+    n = len(words)
+    for last, (size, places) in matcher.automaton.iter(words):
+        first = last - size + 1
+        for k, at in places:
+            item = matcher.items[k]
+            if len(item) < matcher.window:
+                yield k, first, last
+                continue
+            if ends.get((k, first - at), -1) >= last:
+                continue
+            a, z = first, last
+            while a > 0 and a - first + at > 0 and words[a - 1] == item[a - 1 - first + at]:
+                a -= 1
+            while z + 1 < n and z + 1 - first + at < len(item) and words[z + 1] == item[z + 1 - first + at]:
+                z += 1
+            ends[k, first - at] = z
+            if z - a + 1 >= matcher.window:
+                yield k, a, z
+
+
+def scan(matcher: Matcher, text: bytes | None) -> tuple[int, list[dict]]:
+    """Number of words, and the spans of each item: overlapping and adjacent runs are joined."""
     words = plain_words(text)
-    if not words or not len(automaton):
+    if not words or not len(matcher.automaton):
         return len(words), []
-    plain = pattern(words)
-    hits = list(automaton.iter(plain))
-    if not hits:
+    get = matcher.numbers.get
+    joined: dict[str | None, list[list[int]]] = {}
+    for k, first, last in sorted(runs(matcher, tuple([get(w, 0) for w in words])), key=lambda r: r[1:]):
+        own = joined.setdefault(matcher.ids[k], [])
+        if own and first <= own[-1][1] + 1:
+            own[-1][1] = max(own[-1][1], last)
+        else:
+            own.append([first, last])
+    if not joined:
         return len(words), []
-    blanks = np.flatnonzero(np.frombuffer(plain.encode("latin-1"), np.uint8) == 32)
-    lasts = np.searchsorted(blanks, [end for end, _ in hits]) - 1
-    runs: dict[str | None, list[list[int]]] = {}
-    for last, (_, (size, ids)) in sorted(zip(lasts.tolist(), hits), key=lambda x: (x[0] - x[1][1][0], x[0])):
-        for item in ids:
-            own = runs.setdefault(item, [])
-            if own and last - size + 1 <= own[-1][1] + 1:
-                own[-1][1] = max(own[-1][1], last)
-            else:
-                own.append([last - size + 1, last])
     places = plain_offsets(text)
     points = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
     return len(words), [
         {"item_id": item, "first_word": first, "last_word": last,
          "start": int(points[places[first][0]]), "end": int(points[places[last][1]])}
-        for item, own in runs.items() for first, last in own]
+        for item, own in joined.items() for first, last in own]
 
 
-_BUILT: dict[str, ahocorasick.Automaton] = {}
+_BUILT: dict[str, Matcher] = {}
 
 
 def scanner(shared: Broadcast, window: int):
@@ -97,12 +137,12 @@ def scanner(shared: Broadcast, window: int):
         if name not in _BUILT:
             _BUILT.clear()
             _BUILT[name] = build(shared.value, window)
-        automaton = _BUILT[name]
+        matcher = _BUILT[name]
         kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([
             ("item_id", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()),
             ("start", pa.int64()), ("end", pa.int64())])))])
         for texts in batches:
-            yield pa.array([dict(zip(("n_words", "spans"), scan(automaton, t.as_py()))) for t in texts], kind)
+            yield pa.array([dict(zip(("n_words", "spans"), scan(matcher, t.as_py()))) for t in texts], kind)
 
     return F.arrow_udf(scanned, f"struct<n_words: bigint, spans: {SPANS}>").asNondeterministic()
 
@@ -111,17 +151,18 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
          item_text: str = "text", window: int = WINDOW, max_chars: int = MAX_CHARS) -> DataFrame:
     """``docs`` with ``RESULTS``; ``spans`` says which item was found where."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).cast("binary").alias("text"))
+    items = benchmark.select(quoted(item_id).cast("string").alias("id"), quoted(item_text).cast("binary").alias("text"))
+    items = materialize(items.filter(F.length("text") > 0).distinct())
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = max(1, math.ceil(chars / max_chars))
     deal = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
     held, out = fresh("spans"), docs.withColumn(fresh_words := fresh("words"), F.lit(0).cast("long"))
     out = out.withColumn(held, F.array().cast(SPANS))
     for part in range(parts):
-        rows = items.filter(deal == part).filter(F.col("text").isNotNull()).collect()  # checked size
+        rows = items.filter(deal == part).collect()  # distinct rows, so a part is as large as the others
         shared = spark.sparkContext.broadcast([(r["id"], bytes(r["text"])) for r in rows])
         found = fresh("found")
-        out = out.withColumn(found, scanner(shared, window)(F.col(text).cast("binary")))
+        out = out.withColumn(found, scanner(shared, window)(quoted(text).cast("binary")))
         out = (out.withColumn(fresh_words, F.col(f"{found}.n_words"))
                .withColumn(held, F.concat(held, F.col(f"{found}.spans"))).drop(found))
         if part < parts - 1:

@@ -7,28 +7,102 @@ words. Each template becomes a small non-deterministic automaton over words. A t
 holds the notice where some run of its words is accepted from the first mandatory
 word to the last; what stands around it does not matter.
 
+``TEXTS`` are whole licenses, or the whole notices that a license asks to be put on each file: with a condition or
+a disclaimer left out or changed they do not match. ``REFERENCES`` are openings, and sentences that name a license.
+The score tells them apart: 1 for a whole text, 0.75 for a reference, 0.5 for one of the plain phrases, which are
+counted besides.
+
 Only places where a template's opening words stand are tried, so a text costs one search
-for each template. Beside the templates a few plain phrases are counted. Null and
-empty texts have no words and no labels. Input columns named like a result column are replaced.
+for each template. Null and empty texts have no words and no labels, texts of any length are scanned whole.
+Several matches of a label count once, ties do not occur, repeated rows get equal results, an empty table an empty one.
+Input columns named like a result column are replaced.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from palate.llm.common import plain_words, table, with_fields
+from palate.llm.common import plain_words, quoted, table, with_fields
 
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 RESULTS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 OPENING = 3
 
-#: Wording that license texts prescribe (fixed values), with our own markup.
-TEMPLATES = (
+# Wording that the licenses themselves prescribe, with our own markup.
+#: Whole licenses, and whole notices for files.
+TEXTS = (
+    ("mit-text",
+     "Permission is hereby granted, free of charge, to any person obtaining a copy of this <<any 4>> and associated "
+     "documentation files<<optional>> (the Software)<</optional>>, to deal in the <<any 4>> without restriction, including "
+     "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+     "<<any 4>>, and to permit persons to whom the <<any 4>> is furnished to do so, subject to the following conditions: "
+     "The above copyright notice and this permission notice <<optional>>(including the next paragraph) <</optional>>shall be "
+     "included in all copies or substantial portions of the <<any 4>>. "
+     "THE <<any 4>> IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+     "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<any 12>> BE "
+     "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+     "OUT OF OR IN CONNECTION WITH THE <<any 4>> OR THE USE OR OTHER DEALINGS IN THE <<any 4>>"),
+    ("isc-text",
+     "Permission to use, copy, modify, and<<optional>>/or<</optional>> distribute this software for any purpose with or without "
+     "fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+     "THE SOFTWARE IS PROVIDED AS IS AND <<any 12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+     "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<any 12>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+     "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+     "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE"),
+    ("bsd-2-clause-text",
+     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+     "conditions are met: <<optional>>1. <</optional>>Redistributions of source code must retain the above copyright notice, this "
+     "list of conditions and the following disclaimer. <<optional>>2. <</optional>>Redistributions in binary form must reproduce "
+     "the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+     "provided with the distribution. "
+     "THIS SOFTWARE IS PROVIDED BY <<any 12>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE "
+     "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<any 12>> BE "
+     "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+     "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+     "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+     "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"),
+    ("bsd-3-clause-text",
+     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+     "conditions are met: <<optional>>1. <</optional>>Redistributions of source code must retain the above copyright notice, this "
+     "list of conditions and the following disclaimer. <<optional>>2. <</optional>>Redistributions in binary form must reproduce "
+     "the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+     "provided with the distribution. <<optional>>3. <</optional>>Neither the name of <<any 12>> nor the names of <<any 4>> "
+     "contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+     "THIS SOFTWARE IS PROVIDED BY <<any 12>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE "
+     "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<any 12>> BE "
+     "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+     "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+     "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+     "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"),
+    ("zlib-text",
+     "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any "
+     "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+     "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+     "<<optional>>1. <</optional>>The origin of this software must not be misrepresented; you must not claim that you wrote the "
+     "original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+     "appreciated but is not required. <<optional>>2. <</optional>>Altered source versions must be plainly marked as such, and must "
+     "not be misrepresented as being the original software. <<optional>>3. <</optional>>This notice may not be removed or altered "
+     "from any source distribution"),
+    ("apache-2.0-header",
+     "Licensed under the Apache License, Version 2.0 (the License); you may not use this <<any 3>> except in compliance with the "
+     "License. You may obtain a copy of the License at <<any 10>> Unless required by applicable law or agreed to in writing, "
+     "software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either "
+     "express or implied. See the License for the specific language governing permissions and limitations under the License"),
+    ("gpl-header",
+     "is free software<<any 1>> you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation<<any 1>> either version <<any 1>> of the License, or (at "
+     "your option) any later version. <<any 3>> is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+     "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License "
+     "for more details. You should have received a copy of the GNU General Public License along with <<any 3>>"),
+)
+#: Openings of license texts, and sentences that name a license.
+REFERENCES = (
     ("mit-grant",
      "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
      "<<any 4>> and associated documentation files<<optional>> (the Software)<</optional>>, to deal in the "
@@ -139,8 +213,11 @@ def places(plain: bytes, phrase: bytes) -> list[int]:
 
 
 class Scanner:
-    def __init__(self, templates=TEMPLATES, phrases=PHRASES):
-        self.automata = [compile_template(*t) for t in templates]
+    """Templates and phrases ready to be looked for; ``texts`` are whole notices, ``references`` are not."""
+
+    def __init__(self, texts=TEXTS, references=REFERENCES, phrases=PHRASES):
+        self.automata = [compile_template(*t) for t in (*texts, *references)]
+        self.whole = {label for label, _ in texts}
         self.openings = [[b" ".join(words) for words in a.openings()] for a in self.automata]
         self.phrases = [(b" ".join(plain_words(p.encode())), label) for p, label in phrases]
 
@@ -156,22 +233,30 @@ class Scanner:
                if any(a.accepts(words, at) for o in opening for at in places(plain, o))}
         return {"n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None),
                 "last_word": max(starts, default=None), "base_labels": ",".join(sorted(base)),
-                "labels": ",".join(sorted(base | own)), "score": 1.0 if own else 0.5 if base else 0.0}
+                "labels": ",".join(sorted(base | own)), "score": 1.0 if own & self.whole else 0.75 if own else 0.5 if base else 0.0}
+
+
+#: What a Python worker has compiled, by the scan's name.
+_BUILT: dict[str, Scanner] = {}
+
 
+def scan_licenses(docs: DataFrame, text: str = "text", texts=TEXTS, references=REFERENCES, phrases=PHRASES) -> DataFrame:
+    """``docs`` with ``RESULTS``."""
+    name = uuid.uuid4().hex
 
-def scan_licenses(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
-    """``docs`` with ``RESULTS``. ``score``: 1 with a whole notice, 0.5 with a phrase only, else 0."""
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scanner = Scanner(templates, phrases)
+        if name not in _BUILT:
+            _BUILT.clear()
+            _BUILT[name] = Scanner(texts, references, phrases)
         kind = pa.struct([("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
                           ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()),
                           ("score", pa.float64())])
-        for texts in batches:
-            yield pa.array([scanner.scan(t.as_py()) for t in texts], kind)
+        for batch in batches:
+            yield pa.array([_BUILT[name].scan(t.as_py()) for t in batch], kind)
 
     scan = F.arrow_udf(scanned, "struct<n_words: bigint, n_base: bigint, first_word: bigint, last_word: bigint, "
                                 "base_labels: string, labels: string, score: double>").asNondeterministic()
-    return with_fields(docs, scan(F.col(text).cast("binary")), RESULTS)
+    return with_fields(docs, scan(quoted(text).cast("binary")), RESULTS)
 
 
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,8 +281,8 @@ def _oracle() -> str:
     stands = " UNION ALL ".join(
         f"SELECT doc_id, '{label}' AS label, pos FROM spots WHERE "
         + " AND ".join(f"w{k} = '{w}'" for k, w in enumerate(p.split())) for p, label in PHRASES)
-    whole = " UNION ".join(f"SELECT doc_id, '{label}' AS label FROM plain WHERE regexp_matches(s, '{_pattern(t)}')"
-                           for label, t in TEMPLATES)
+    found = " UNION ".join(f"SELECT doc_id, '{label}' AS label, {score} AS score FROM plain WHERE regexp_matches(s, '{_pattern(t)}')"
+                           for group, score in ((TEXTS, 1.0), (REFERENCES, 0.75)) for label, t in group)
     return rf"""
 WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -206,14 +291,15 @@ single AS (SELECT doc_id, unnest(w) AS w0, unnest(range(0, len(w))) AS pos FROM
 spots AS (SELECT *, {ahead} FROM single),
 stands AS ({stands}),
 base AS (SELECT doc_id, count(*) AS n, min(pos) AS a, max(pos) AS z FROM stands GROUP BY doc_id),
-own AS ({whole}),
+own AS ({found}),
+scores AS (SELECT doc_id, max(score) AS score FROM own GROUP BY doc_id),
 listed AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
            FROM (SELECT doc_id, label FROM stands UNION SELECT doc_id, label FROM own) GROUP BY doc_id),
 listed_base AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM stands GROUP BY doc_id)
 SELECT words.doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.a::BIGINT AS first_word,
        base.z::BIGINT AS last_word, coalesce(listed_base.labels, '') AS base_labels, coalesce(listed.labels, '') AS labels,
-       CASE WHEN words.doc_id IN (SELECT doc_id FROM own) THEN 1.0 WHEN base.n > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
-FROM words LEFT JOIN base USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN listed_base USING (doc_id)"""
+       coalesce(scores.score, CASE WHEN base.n > 0 THEN 0.5 ELSE 0.0 END)::DOUBLE AS score
+FROM words LEFT JOIN scores USING (doc_id) LEFT JOIN base USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN listed_base USING (doc_id)"""
 
 
 QUERIES = {"op5_license_scan": op5_license_scan}

@@ -22,16 +22,19 @@ little more than one pass.
    holds more than about ``LARGE_BUCKET`` nodes, and no pairs of documents are written or shuffled.
 
 A pair at similarity 0.8 shares a band with probability 1 - 2e-4, at 0.85 with 1 - 1e-6.
-Nodes are 64-bit hashes of the words.
+A node is a 64-bit hash of the words, proved by another: where documents of one hash differ in their proofs, all but those
+of the smallest get a number of their own, so word sequences are told apart by 128 bits.
 
 Texts of one to four words have one shingle, all their words. Null and empty texts have none and
-are a class of their own each. A null id never names a class that has another id;
-rows with equal ids are compared like any others. An empty table gives an empty result.
+are a class of their own each; texts of any length are read whole. A null id never names a class that has another id;
+rows with equal ids are compared like any others, repeated rows are copies. An empty table gives an empty result. Columns
+other than id and text have no influence and are kept by ``one_of_each``, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -150,36 +153,50 @@ def similarity(a: bytes, b: bytes) -> float:
     return float((1.0 / (x_from / xs + y_to / ys)).sum())
 
 
-def nodes_of(hashes: np.ndarray, sizes: np.ndarray) -> list[int | None]:
-    """The node of each word sequence: its words' hashes, each mixed with its place, added up."""
+def nodes_of(hashes: np.ndarray, sizes: np.ndarray, salt: int = 0) -> np.ndarray:
+    """The node of each word sequence, 0 without words: its words' hashes, each mixed with its place, added up."""
     starts = np.cumsum(sizes) - sizes
-    place = np.arange(len(hashes)) - np.repeat(starts, sizes)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(hashes + mixed(place.astype(np.uint64))))))
-    nodes = mixed(sums[starts + sizes] - sums[starts]).view(np.int64).tolist()
-    return [node if size else None for node, size in zip(nodes, sizes.tolist())]
+    place = (np.arange(len(hashes)) - np.repeat(starts, sizes)).astype(np.uint64) + np.uint64(salt << 40)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(hashes + mixed(place)))))
+    return np.where(sizes > 0, mixed(sums[starts + sizes] - sums[starts]).view(np.int64), 0)
 
 
 def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes([folded(t.as_py()) for t in texts])
 
 
-def _nodes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        found = [n for at in range(0, len(texts), 512) for n in nodes_of(*_hashed(texts[at:at + 512]))]
-        yield pa.array(found, pa.int64())
+def _identity(hashes: np.ndarray, sizes: np.ndarray, bits: int) -> list[pa.Array]:
+    """Node and proof, null without words; of the node only ``bits`` are used."""
+    none = sizes == 0
+    node = nodes_of(hashes, sizes) >> np.int64(64 - bits)
+    return [pa.array(node, pa.int64(), mask=none), pa.array(nodes_of(hashes, sizes, 1), pa.int64(), mask=none)]
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, node, bands) of (id, text)."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            piece = batch.slice(at, 512)
-            hashes, sizes = _hashed(piece.column("text"))
-            docs, prints, counts = weighted_shingles(hashes, sizes)
-            keys = band_keys(signatures(docs, prints, counts.astype(float), len(sizes))).view(np.int64)
-            yield pa.RecordBatch.from_pydict({
-                "id": piece.column("id"), "node": pa.array(nodes_of(hashes, sizes), pa.int64()),
-                "bands": pa.array([k.tolist() if n else [] for k, n in zip(keys, sizes)], pa.list_(pa.int64()))})
+def _identities(bits: int):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [pa.StructArray.from_arrays(_identity(*_hashed(texts[at:at + 512]), bits), names=["node", "proof"])
+                     for at in range(0, len(texts), 512)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("node", pa.int64()), ("proof", pa.int64())]))
+
+    return F.arrow_udf(run, "struct<node: bigint, proof: bigint>").asNondeterministic()
+
+
+def _described(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(id, node, proof, bands) of (id, text)."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                piece = batch.slice(at, 512)
+                hashes, sizes = _hashed(piece.column("text"))
+                docs, prints, counts = weighted_shingles(hashes, sizes)
+                keys = band_keys(signatures(docs, prints, counts.astype(float), len(sizes))).view(np.int64)
+                node, proof = _identity(hashes, sizes, bits)
+                yield pa.RecordBatch.from_pydict({
+                    "id": piece.column("id"), "node": node, "proof": proof,
+                    "bands": pa.array([k.tolist() if n else [] for k, n in zip(keys, sizes)], pa.list_(pa.int64()))})
+
+    return run
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,23 +405,61 @@ def _cross_tasks(open_: DataFrame) -> DataFrame:
     return members.join(tasks, ["bucket", "own", "name", "block"]).select("bucket", "task", "side", "node", "root")
 
 
-def _candidate_sets(buckets: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+@dataclass(frozen=True)
+class Described:
+    """``rows``: ``(id, node, bands)`` of every document; ``clashes``: ``(node, least)`` of the hashes with several proofs, if any."""
+
+    rows: DataFrame
+    clashes: DataFrame | None
+    bits: int
+
+    def proved(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the columns ``node`` and ``proof``, the nodes of clashing documents numbered apart."""
+        if self.clashes is None:
+            return rows
+        told = lookup(rows, self.clashes, "node")
+        apart = F.col("least").isNotNull() & (F.col("proof") != F.col("least"))
+        return told.withColumn("node", F.when(apart, F.xxhash64("node", "proof")).otherwise(F.col("node"))).drop("least")
+
+    def with_nodes(self, docs: DataFrame, text: str, node: str) -> DataFrame:
+        """``docs`` with the column ``node``, null without words."""
+        hold = fresh("identity")
+        wide = docs.withColumn(hold, _identities(self.bits)(quoted(text).cast("binary")))
+        if self.clashes is None:
+            return wide.withColumn(node, F.col(f"{hold}.node")).drop(hold)
+        names = {c: fresh(f"c{i}") for i, c in enumerate(docs.columns)}  # so that none is called node or proof
+        told = wide.select(*(quoted(c).alias(n) for c, n in names.items()), f"{hold}.node", f"{hold}.proof")
+        return self.proved(told).select(*(F.col(n).alias(c) for c, n in names.items()), F.col("node").alias(node))
+
+
+def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 64) -> Described:
+    """What is needed of every document, written once."""
+    read = docs.select(quoted(doc_id).cast("bigint").alias("id"), quoted(text).cast("binary").alias("text"))
+    rows = materialize(read.mapInArrow(_described(bits), "id bigint, node bigint, proof bigint, bands array<bigint>"))
+    proofs = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("proof").alias("least"), F.max("proof").alias("last"))
+    clashes = materialize(proofs.filter("least <> last").select("node", "least"))
+    if clashes.isEmpty():  # as good as always
+        return Described(rows.drop("proof"), None, bits)
+    told = Described(rows, clashes, bits)
+    return Described(materialize(told.proved(rows).select("id", "node", "bands")), clashes, bits)
+
+
+def _candidate_sets(buckets: DataFrame, described: Described, docs: DataFrame, text: str) -> DataFrame:
     """``(node, shingles)`` of every node that shares a bucket, from one of its texts."""
     wanted = materialize(buckets.select("node").distinct())
     few = wanted.count() * 8 <= MAX_SENT
-    of_text = F.arrow_udf(_nodes, "bigint").asNondeterministic()
-    texts = (docs.select(of_text(quoted(text).cast("binary")).alias("node"), quoted(text).cast("binary").alias("text"))
+    texts = (described.with_nodes(docs.select(quoted(text).cast("binary").alias("text")), "text", "node").select("node", "text")
              .join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
              .groupBy("node").agg(F.first("text").alias("text")))
     return materialize(texts.mapInArrow(_packed, "node bigint, shingles binary"))
 
 
-def near_roots(described: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+def near_roots(described: Described, docs: DataFrame, text: str = "text") -> DataFrame:
     """``(node, root)`` of every node that is linked to another."""
-    nodes = described.filter("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
+    nodes = described.rows.filter("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
     exploded = nodes.select(F.explode("bands").alias("bucket"), "node")
     buckets = materialize(lookup(exploded, _several(exploded), "bucket", "inner"))
-    sets = _candidate_sets(buckets, docs, text)
+    sets = _candidate_sets(buckets, described, docs, text)
     roots = components(_verified(_first_pairs(buckets), sets))
     open_ = materialize(_open(buckets, roots))
     for tasks_of in (_whole_tasks, _cross_tasks):
@@ -422,18 +477,11 @@ def near_roots(described: DataFrame, docs: DataFrame, text: str = "text") -> Dat
     return roots
 
 
-def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, node, bands)`` of every document, written once."""
-    read = docs.select(quoted(doc_id).cast("bigint").alias("id"), quoted(text).cast("binary").alias("text"))
-    return materialize(read.mapInArrow(_described, "id bigint, node bigint, bands array<bigint>"))
-
-
-def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_classes(described: Described, docs: DataFrame, text: str = "text") -> DataFrame:
     """``(node, class_id, n_docs, keeper)`` of every node: its class is named by the smallest id in it,
     and ``keeper`` is the node that this id stands at."""
-    described = describe(docs, doc_id, text)
     roots = near_roots(described, docs, text)
-    nodes = (described.filter("node IS NOT NULL").groupBy("node")
+    nodes = (described.rows.filter("node IS NOT NULL").groupBy("node")
              .agg(F.min("id").alias("least"), F.count("*").alias("n")))
     rooted = nodes.join(roots, "node", "left").select("node", "least", "n", F.coalesce("root", "node").alias("root"))
     rooted = materialize(rooted)
@@ -444,26 +492,26 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             .select("node", "class_id", "n_docs", F.col("first.node").alias("keeper")))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, class_id, n_docs)`` of every row of ``docs``; alone, a document is its own class."""
-    of_text = F.arrow_udf(_nodes, "bigint").asNondeterministic()
-    rows = docs.select(quoted(doc_id).alias("doc_id"), of_text(quoted(text).cast("binary")).alias("node"))
-    joined = lookup(rows, near_classes(docs, doc_id, text), "node")
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 64) -> DataFrame:
+    """``(doc_id, class_id, n_docs)`` of every row of ``docs``, ids as longs; alone, a document is its own class."""
+    described = describe(docs, doc_id, text, bits)
+    rows = described.rows.select(F.col("id").alias("doc_id"), "node")
+    joined = lookup(rows, near_classes(described, docs, text), "node")
     alone = F.col("node").isNull()
     return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                          F.coalesce("n_docs", F.lit(1)).alias("n_docs"))
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 64) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest id, of its repeated rows any.
 
     Rows of a node are combined map-side, so a third of all rows being copies of one text is
     no hot key. Rows without words are kept.
     """
     node, best = fresh("node"), fresh("best")
-    keepers = near_classes(docs, doc_id, text).filter("node = keeper").select(F.col("node").alias(node))
-    of_text = F.arrow_udf(_nodes, "bigint").asNondeterministic()
-    rows = docs.withColumn(node, of_text(quoted(text).cast("binary")))
+    described = describe(docs, doc_id, text, bits)
+    keepers = near_classes(described, docs, text).filter("node = keeper").select(F.col("node").alias(node))
+    rows = described.with_nodes(docs, text, node)
     whole = F.struct(*(quoted(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
     order = F.struct(quoted(doc_id).isNull().alias("no_id"), quoted(doc_id).alias("id"), quoted(text).alias("text"))
     firsts = rows.filter(F.col(node).isNotNull()).groupBy(node).agg(F.min_by(whole, order).alias(best))

@@ -15,8 +15,8 @@ beam of ``beam`` nodes, and returns ``top`` rows of the shard for each query. Th
 all shards are merged for each query. So work is queries times shards: larger shards (``shard_rows``) mean fewer of
 them, at the price of building, which grows with the square of a shard, and memory.
 
-Vectors that are null, empty, all zero, or hold a null or non-finite component take no part. Vectors
-of different length are in different spaces. A row is no neighbour of itself, but its copies, same id or not,
+Vectors that are null, empty, all zero, or hold a null or non-finite component take no part, nor do those with a
+component beyond ``LARGEST`` in size, whose square leaves double precision. Vectors of different length are in different spaces. A row is no neighbour of itself, but its copies, same id or not,
 are. A null id asks nothing and comes last among equals. Equal distances are ordered by id. Empty
 tables give an empty result. Columns other than id and vector are not read, whatever their names.
 """
@@ -38,6 +38,7 @@ from palate.session import materialize
 TOP = 10
 #: Up to ``SHARDS`` shards hold about ``SHARD_ROWS`` rows each; beyond that they grow to ``MOST_ROWS``.
 SHARD_ROWS, SHARDS, MOST_ROWS = 1 << 13, 64, 1 << 16
+LARGEST = 1e150
 #: Queries of a block.
 BLOCK = 1 << 12
 SPREAD = 16
@@ -305,7 +306,7 @@ def _searched(shards: pa.Table, queries: pa.Table, top: int, beam: int) -> pa.Ta
 def taking_part(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``(row, vec_id, vector, dim)`` of the rows that take part, written once, so a row keeps its number."""
     value = quoted(vector)
-    finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
+    finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) <= LARGEST))
     some = F.exists(value, lambda x: x != 0)
     kept = rows.filter(F.when(value.isNull(), False).otherwise(finite) & some)
     return materialize(kept.select(F.monotonically_increasing_id().alias("row"), quoted(vec_id).cast("bigint").alias("vec_id"),

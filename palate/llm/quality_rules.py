@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palate.llm.common import table, with_fields
+from palate.llm.common import quoted, table, with_fields
 
 WINDOW = 8
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
@@ -130,7 +130,7 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     not pushed below it, which would measure every text twice.
     """
     measures = F.arrow_udf(_measured, f"struct<{', '.join(f'{m}: bigint' for m in MEASURES)}>")
-    measured = with_fields(docs, measures.asNondeterministic()(F.col(text).cast("binary")), MEASURES)
+    measured = with_fields(docs, measures.asNondeterministic()(quoted(text).cast("binary")), MEASURES)
     bits = sum((F.when(F.expr(rule), F.lit(1 << place)).otherwise(F.lit(0)).cast("long")
                 for place, (_, rule) in enumerate(RULES)), F.lit(0).cast("long"))
     return with_fields(measured, F.struct(bits.alias("failed_bits")), ["failed_bits"])

@@ -126,7 +126,7 @@ def mine(query: np.ndarray, symbol: np.ndarray, n_symbols: int, reach: int = REA
 
 def graph_of(queries: list[list[bytes]], numbers: dict[bytes, int], reach: int = REACH) -> Graph:
     """The sharing graph of queries given as lists of words; ``numbers`` numbers the terms."""
-    pairs = [np.unique([numbers[w] for w in words], return_counts=True) for words in queries]
+    pairs = [np.unique(np.array([numbers[w] for w in words], np.int64), return_counts=True) for words in queries]
     sizes = [len(t) for t, _ in pairs]
     query = np.repeat(np.arange(len(queries)), sizes)
     term = np.concatenate([t for t, _ in pairs]) if sum(sizes) else np.empty(0, np.int64)

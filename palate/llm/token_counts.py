@@ -4,11 +4,12 @@ A text that was counted before, in this corpus or an earlier one, is never encod
 Texts are normalised, digested with SHA-256 in the JVM and joined to the stored
 counts; each distinct text without one is encoded once and appended. The cache is
 a folder of Parquet files for each tokenizer version, which is a digest of the
-vocabulary file, the library and its release.
+vocabulary file, the library and its release, cut by the first byte of the digest: a run reads the
+cuts that its own digests fall into, once.
 
 Counts are the library's own for the whole text: no begin, end or special tokens
-added, no truncation. Null counts as empty: 0 bytes, 0 tokens. Repeated texts share
-an entry. An empty table gives an empty result, and leaves the cache as it is.
+added, no truncation, however long. Null counts as empty: 0 bytes, 0 tokens. Repeated texts share
+an entry; ties do not occur. An empty table gives an empty result, and leaves the cache as it is.
 Input columns named like a result column are replaced.
 """
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palate.llm.common import fresh, others, quoted, table
-from palate.session import scratch_path
+from palate.session import exists, materialize, scratch_path
 
 LIMIT = 4096
 SCHEMA = "digest binary, n_tokens bigint"
@@ -61,26 +62,40 @@ def as_is(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def stored_counts(spark: SparkSession, cache: str, version: str) -> DataFrame:
-    """``(digest, n_tokens)``; a digest that two runs appended at once counts once."""
+def _cut(digest: Column) -> Column:
+    return F.substring(F.hex(digest), 1, 2)
+
+
+def stored_counts(spark: SparkSession, cache: str, version: str, cuts: list[str] | None = None) -> DataFrame:
+    """``(digest, n_tokens)`` of all or of some cuts; a digest that two runs appended at once counts once."""
     path = f"{cache}/{version}"
-    spark.createDataFrame([], SCHEMA).write.mode("append").parquet(path)  # so that the folder is there
-    return spark.read.schema(SCHEMA).parquet(path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    if not exists(spark, path):
+        return spark.createDataFrame([], SCHEMA)
+    rows = spark.read.schema(f"{SCHEMA}, cut string").parquet(path)
+    if cuts is not None:
+        rows = rows.filter(F.col("cut").isin(cuts))
+    return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def append_missing(texts: DataFrame, cache: str, tokenizer: str, max_sent: int = MAX_SENT) -> None:
-    """Encode every distinct text of ``(digest, content)`` that the cache lacks.
+def append_missing(texts: DataFrame, cache: str, tokenizer: str, max_sent: int = MAX_SENT) -> DataFrame:
+    """``(digest, n_tokens)`` of every distinct text of ``(digest, content)``; what the cache lacked is encoded and appended.
 
     Only digests are compared with the cache. If few are missing, they are sent to the
     scan, so that texts with a count never move; otherwise the texts are first
     combined by digest on the map side, so copies do not move either.
     """
     spark, version = texts.sparkSession, tokenizer_version(tokenizer)
-    stored = stored_counts(spark, cache, version)
-    if not stored.isEmpty():
-        missing = texts.select("digest").distinct().join(stored, "digest", "left_anti")
-        few = missing.count() * 32 <= max_sent
-        texts = texts.join(F.broadcast(missing) if few else missing, "digest", "left_semi")
+    known = None
+    if exists(spark, f"{cache}/{version}"):
+        own = materialize(texts.select("digest").distinct())
+        cuts = [r[0] for r in own.select(_cut(F.col("digest"))).distinct().collect()]  # 256 at most
+        known = materialize(own.join(stored_counts(spark, cache, version, cuts), "digest", "left"))
+        missing = known.filter(F.col("n_tokens").isNull()).select("digest")
+        known = known.filter(F.col("n_tokens").isNotNull())
+        n_missing = missing.count()
+        if not n_missing:
+            return known
+        texts = texts.join(F.broadcast(missing) if n_missing * 32 <= max_sent else missing, "digest", "left_semi")
     distinct = texts.groupBy("digest").agg(F.first("content").alias("content"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +105,11 @@ def append_missing(texts: DataFrame, cache: str, tokenizer: str, max_sent: int =
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())],
                                              ["digest", "n_tokens"])
 
-    distinct.mapInArrow(encode, SCHEMA).write.mode("append").parquet(f"{cache}/{version}")
+    counted = materialize(distinct.mapInArrow(encode, SCHEMA))
+    if not counted.isEmpty():
+        cut = counted.withColumn("cut", _cut(F.col("digest")))
+        cut.hint("rebalance", "cut").write.mode("append").partitionBy("cut").parquet(f"{cache}/{version}")
+    return counted if known is None else known.unionByName(counted)
 
 
 def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text",
@@ -103,10 +122,9 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
     digest, held, size = fresh("digest"), fresh("count"), fresh("size")
     content = normalise(quoted(text))
     key = F.unhex(F.sha2(content.cast("binary"), 256))
-    append_missing(docs.select(key.alias("digest"), content.alias("content")), cache, tokenizer)
-    counts = stored_counts(docs.sparkSession, cache, tokenizer_version(tokenizer))
-    # Computed anew, the key no longer counts as the aggregate's partitioning. Both sides then
-    # come straight from an exchange, and adaptive execution can split a hot digest.
+    counts = append_missing(docs.select(key.alias("digest"), content.alias("content")), cache, tokenizer)
+    # Computed anew, the key counts as no partitioning. Both sides then come
+    # straight from an exchange, and adaptive execution can split a hot digest.
     counts = counts.select(F.concat("digest", F.unhex(F.lit(""))).alias(digest), F.col("n_tokens").alias(held))
     # The bytes are counted before the join, so that a caller who drops the text does not move it.
     n_bytes = F.octet_length(F.coalesce(quoted(text), F.lit(""))).cast("long")
@@ -117,7 +135,7 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
 
 
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Tokens of every document, through a cache of this run."""
+    """Tokens of every document, through a cache of this run only: a query shall not depend on one before it."""
     import public_tokenizers
 
     docs = table(spark, folder, "documents").select("doc_id", "text")

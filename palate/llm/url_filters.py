@@ -5,18 +5,21 @@ URL starts with the rule's path. Of all rules that fit, the longest text decides
 equally long ones the one with more host labels, and of an allow and a block entry
 with the same text the block. URLs that no rule fits get the default verdict.
 
-Walking down the trie costs one step for each label and segment of the URL, however many
-rules there are. The rules are sent to all executors, so their total size is
+Walking down the trie costs one step for each label and segment of the URL, and where rules end within a
+segment a search by halves among them, however many rules there are. The trie is built once in a Python
+worker. The rules are sent to all executors, so their total size is
 checked; a longer list is joined on the (host suffix, path prefix) pairs of the
 URLs instead, which gives the same verdicts.
 
-A null URL, or one without ``://``, has an empty host and path. Empty tables give
+A null URL, or one without ``://``, has an empty host and path. URLs of any length are read whole. Empty tables give
 empty results, repeated rows equal ones, and an empty rule list the default
 verdict throughout. Input columns named like a result column are replaced.
 """
 
 from __future__ import annotations
 
+import bisect
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,15 +39,39 @@ def split_rule(rule: str) -> tuple[str, str]:
     return host.translate(str.maketrans(UPPER, LOWER)), slash + path
 
 
+class Starts:
+    """Openings of a segment at which rules end, in order, each with the longest other one that opens it.
+
+    The longest that opens a segment is the last one not after it in order, or one of those that open that one.
+    """
+
+    def __init__(self, rules: dict[str, tuple]):
+        self.starts = sorted(rules)
+        self.rules = [rules[s] for s in self.starts]
+        self.within: list[int] = []
+        for place, start in enumerate(self.starts):
+            at = place - 1
+            while at >= 0 and not start.startswith(self.starts[at]):
+                at = self.within[at]
+            self.within.append(at)
+
+    def longest(self, segment: str) -> tuple | None:
+        at = bisect.bisect_right(self.starts, segment) - 1
+        while at >= 0 and not segment.startswith(self.starts[at]):
+            at = self.within[at]
+        return self.rules[at] if at >= 0 else None
+
+
 class Trie:
-    """Nested dicts: a host label, then, below the key ``None``, the path segments.
+    """Nested dicts: a host label, then the path segments.
 
     Segments keep their closing slash, so a rule's last, open segment can only be
-    a prefix of one; those hang at ``starts``. ``rule`` is what ends at the node.
+    a prefix of one; those are kept at ``starts``. ``rule`` is what ends at the node.
     """
 
     def __init__(self, rules: Iterable[tuple[str, str]]):
         self.root: dict = {}
+        open_: list[dict] = []
         for verdict, rule in rules:
             host, path = split_rule(rule)
             node = self.root
@@ -54,10 +81,15 @@ class Trie:
             for segment in whole:
                 node = node.setdefault(("path", segment + "/"), {})
             if rest:
-                node = node.setdefault(("starts",), {}).setdefault(rest, {})
-            here = node.get("rule")
-            if here is None or verdict == BLOCK:
-                node["rule"] = (len(rule), host.count("."), rule, verdict)
+                if "starts" not in node:
+                    open_.append(node)
+                node, place = node.setdefault("starts", {}), rest
+            else:
+                place = "rule"
+            if place not in node or verdict == BLOCK:
+                node[place] = (len(rule), host.count("."), rule, verdict)
+        for node in open_:
+            node["starts"] = Starts(node["starts"])
 
     def find(self, host: str, path: str) -> tuple[str, str] | None:
         """(rule, verdict) of the longest rule that fits."""
@@ -72,15 +104,18 @@ class Trie:
             for place in range(len(segments) + 1):
                 best = max(filter(None, (best, at.get("rule"))), default=None)
                 ahead = segments[place] + "/" if place < len(segments) else rest
-                for start, below in at.get(("starts",), {}).items():
-                    if ahead.startswith(start):
-                        best = max(filter(None, (best, below["rule"])), default=None)
+                if "starts" in at:
+                    best = max(filter(None, (best, at["starts"].longest(ahead))), default=None)
                 at = at.get(("path", ahead)) if place < len(segments) else None
                 if at is None:
                     break
         return best[2:] if best else None
 
 
+#: The trie that a Python worker judges by, by its broadcast's name.
+_BUILT: dict[str, Trie] = {}
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """The part after the first ``://`` up to ``/``, ``?`` or ``#``, and from there up to ``?`` or ``#``."""
     place = F.instr(url, "://")
@@ -91,10 +126,13 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def _by_trie(split: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """``rule`` and ``verdict`` through the trie that every executor gets."""
-    shared = split.sparkSession.sparkContext.broadcast(rules)
+    shared, name = split.sparkSession.sparkContext.broadcast(rules), uuid.uuid4().hex
 
     def judged(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        trie = Trie(shared.value)
+        if name not in _BUILT:
+            _BUILT.clear()
+            _BUILT[name] = Trie(shared.value)
+        trie = _BUILT[name]
         kind = pa.struct([("rule", pa.string()), ("verdict", pa.string())])
         for hosts, paths in batches:
             found = (trie.find(h.as_py(), p.as_py()) for h, p in zip(hosts, paths))
@@ -108,7 +146,9 @@ def _by_join(split: DataFrame, rules: DataFrame) -> DataFrame:
     """The same through a join, for lists too long to send around.
 
     Every distinct (host, path) meets the rules at each of its host suffixes; the
-    path is compared there, and the best is kept by an aggregate that combines map-side.
+    path is compared there, and the best is kept by an aggregate that combines map-side. The
+    aggregate's host is computed anew, so that it comes from an exchange of its own
+    and adaptive execution can split an address that a third of the URLs have, null ones included.
     """
     rules = rules.select("verdict", "rule")
     slash = F.instr("rule", "/")
@@ -126,8 +166,9 @@ def _by_join(split: DataFrame, rules: DataFrame) -> DataFrame:
     best = (pairs.join(keyed, "rule_host").filter(F.col("path").startswith(F.col("rule_path")))
             .groupBy("host", "path").agg(F.max(rank).alias("best")))
     kept = others(split, ("rule", "verdict"))
-    joined = split.join(best.withColumnsRenamed({"host": (h := fresh("host")), "path": (p := fresh("path"))}),
-                        (F.col("host") == F.col(h)) & (F.col("path") == F.col(p)), "left")
+    h, p = fresh("host"), fresh("path")
+    best = best.select(F.concat("host", F.lit("")).alias(h), F.concat("path", F.lit("")).alias(p), "best")
+    joined = split.join(best, (F.col("host") == F.col(h)) & (F.col("path") == F.col(p)), "left")
     return joined.select(*kept, F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
 
 

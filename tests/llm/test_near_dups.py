@@ -159,3 +159,32 @@ def test_query_against_brute_force(spark, folder):
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     got = {r.doc_id: r.class_id for r in nd.op10_near_dups(spark, folder).collect()}
     assert got == expected(rows)
+
+
+@pytest.mark.parametrize("bits", [2, 5])
+def test_hashes_that_clash_do_not_merge_documents(spark, bits):
+    """A few bits of hash for all documents: they are told apart by their proofs, in every step."""
+    draw, rows = random.Random(bits), {}
+    for _ in range(8):
+        base = [f"w{draw.randrange(400)}" for _ in range(60)]
+        for _ in range(4):
+            rows[draw.randrange(10**9)] = " ".join(edited(base, draw, draw.randrange(3)))
+    for d in list(rows)[:6]:
+        rows[draw.randrange(10**9)] = rows[d].upper()
+    rows[-1] = None
+    df = spark.createDataFrame([(d, t, 1, 2) for d, t in rows.items()], "doc_id bigint, text string, node int, Proof int")
+    assert nd.describe(df, bits=bits).clashes.count() > 0
+    assert {r.doc_id: r.class_id for r in nd.near_duplicates(df, bits=bits).collect()} == expected(rows)
+    kept = nd.one_of_each(df, bits=bits)
+    assert kept.columns == df.columns and {(r.node, r.Proof) for r in kept.collect()} == {(1, 2)}
+    assert {r.doc_id for r in kept.collect()} == set(expected(rows).values())
+    assert nd.describe(df).clashes is None
+
+
+def test_texts_are_hashed_twice_for_the_classes(spark, folder, monkeypatch):
+    """Once for the signatures and once for the candidates' shingles; the result reads what was written."""
+    plans = []
+    monkeypatch.setattr(nd, "materialize", lambda df, own=nd.materialize: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), own(df))[1])
+    last = nd.op10_near_dups(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert sum("documents.parquet" in p for p in plans) == 2 and "documents.parquet" not in last

@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
@@ -67,6 +68,31 @@ def test_every_case_has_a_result(spark, folder, tricky, stage):
     assert stage(spark, tricky.limit(0), folder).count() == 0
 
 
+TAKEN = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letter_words", "n_letters", "n_capitals",
+         "failed_bits", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "size", "source_size", "target", "copies", "taken",
+         "node", "proof", "bands", "least", "class_id", "n_docs", "keeper", "weight", "quality", "turn", "id", "key", "cell", "src")
+
+
+@pytest.mark.parametrize("change", [str, str.upper, str.title])
+@pytest.mark.parametrize("stage", [s for _, s in cp.STAGES[:-1]])
+def test_callers_columns_keep_their_values(spark, folder, stage, change):
+    """Columns named like anything a stage makes come through with what was in them."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 60")
+    marked = docs.select("*", *(F.concat(F.lit(f"{name} of "), F.col("doc_id")).alias(change(name)) for name in TAKEN))
+    out = stage(spark, marked, folder)
+    assert out.columns == marked.columns
+    rows = out.collect()
+    assert rows
+    own = {r.doc_id: r for r in marked.collect()}
+    assert all(r == own[r.doc_id] for r in rows)
+
+
+def test_the_last_stage_reads_past_other_columns(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 20")
+    wide = docs.select("*", *(F.lit("x").alias(c) for c in ("id", "tie", "start", "n_tokens", "ids_crc32", "part", "shard")))
+    assert sorted(cp.tokens(spark, wide, folder).collect()) == sorted(cp.tokens(spark, docs, folder).collect())
+
+
 def test_run(spark, folder, stages):
     assert sorted(cp.run(spark, folder).collect()) == sorted(stages["token files"].collect())
     assert len(cp.STAGES) == 5 and os.path.exists(cp.__file__)

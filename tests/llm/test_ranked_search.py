@@ -1,0 +1,99 @@
+import collections
+import math
+
+import brute
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from palate.llm import ranked_search as rs
+
+DOCS = [(i, t) for i, t in enumerate([
+    "the quick brown fox", "The the THE fox; fox!", "lazy dogs and quick foxes", None, "", " \n ", "ünï quick ünï", "the quick brown fox",
+    "brown " * 400 + "fox", "nothing in common", "x" * 50_000 + " quick"])]
+ITEMS = [("a", "the quick brown fox"), ("b", "the quick brown dog"), ("c", "the the quick brown ünï"), ("d", ""), ("e", None),
+         ("f", "unheard of"), ("g", "quick brown fox and the dogs"), ("a", "the quick brown fox")]
+
+
+def ranked(docs, items, top):
+    """The ranking, query by query and document by document."""
+    found = [(d, collections.Counter(w)) for d, t in docs if (w := brute.plain(t))]
+    n, total = len(found), sum(sum(w.values()) for _, w in found)
+    df = collections.Counter(t for _, w in found for t in w)
+    weight = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * f + 1))) for t, f in df.items()}
+    out = []
+    for item, text in items:
+        scores = []
+        for d, words in found:
+            m = 75 + 25 * sum(words.values()) * n // total
+            score = sum(weight[t] * (1_000_000_000 * words[t] // (1000 * words[t] + 12 * m)) for t in brute.plain(text) if t in words)
+            if score > 0:
+                scores.append((-score, d is None, d or 0, d))
+        out += [(item, rank, d, -score) for rank, (score, _, _, d) in enumerate(sorted(scores)[:top], 1)]
+    return collections.Counter(out)
+
+
+def result(spark, docs, items, **options):
+    left = spark.createDataFrame(docs, "doc_id bigint, text string")
+    right = spark.createDataFrame(items, "item_id string, text string")
+    return collections.Counter(map(tuple, rs.search(left, right, **options).collect()))
+
+
+@pytest.mark.parametrize("options", [{}, {"top": 2}, {"mined_chars": 30}, {"mined_chars": 10, "max_chars": 40}])
+def test_against_brute_force(spark, options):
+    assert result(spark, DOCS, ITEMS, **options) == ranked(DOCS, ITEMS, options.get("top", 20))
+
+
+def test_ties_repeated_rows_and_null_ids(spark):
+    docs = [(i % 7, "same words here") for i in range(60)] + [(None, "same words here")] * 3 + [(70, "others")] * 3
+    assert result(spark, docs, [("q", "same"), ("q", "same words"), (None, "here")]) == ranked(
+        docs, [("q", "same"), ("q", "same words"), (None, "here")], 20)
+
+
+def test_empty_tables_and_other_columns(spark):
+    assert not result(spark, [], ITEMS) and not result(spark, DOCS, []) and not result(spark, DOCS, [("x", None)])
+    assert not result(spark, [(1, None), (2, "")], ITEMS)
+    docs = spark.createDataFrame([(1, "fox", 5, 6)], "`the.id` bigint, `the.text` string, SCORE int, `rank` int")
+    items = spark.createDataFrame([(3, "fox hunt", 1)], "item_id int, text string, doc_id int")
+    rows = rs.search(docs, items, doc_id="the.id", text="the.text").collect()
+    assert [(r.item_id, r.rank, r.doc_id) for r in rows] == [(3, 1, 1)] and rows[0].score > 0
+
+
+def test_tricky_documents(spark, tricky):
+    items = spark.createDataFrame([("q", "same text w5x5 xxx im_start")], "item_id string, text string")
+    docs = [(r.doc_id, r.text) for r in tricky.collect()]
+    got = rs.search(tricky, items)
+    assert collections.Counter(map(tuple, got.collect())) == ranked(docs, [("q", "same text w5x5 xxx im_start")], 20)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 12), max_size=12), max_size=10), st.integers(1, 8))
+def test_the_graph_sums_what_each_query_asks(queries, reach):
+    """Every query's parts expand to its terms with their counts, and nodes stand under two queries at least."""
+    words = [[str(t).encode() for t in q] for q in queries]
+    graph = rs.graph_of(words, {str(t).encode(): t for t in range(13)}, reach)
+    values = np.arange(1, 14, dtype=np.int64)[:, None] ** 3
+    want = [sum((t + 1) ** 3 for t in q) for q in queries]
+    assert rs.accumulate(graph, values)[:, 0].tolist() == want
+    n = len(graph.terms)
+    below = lambda node: {node} | (below(graph.left[node - n]) | below(graph.right[node - n]) if node >= n else set())
+    holders = collections.Counter(x for q in range(len(queries)) for x in set().union(
+        *map(below, graph.parts[graph.starts[q]:graph.starts[q + 1]].tolist())))
+    assert all(holders[n + i] >= 2 for i in range(len(graph.left)))
+
+
+def test_shared_sets_are_summed_once():
+    """Forty queries with twenty terms in common add up those terms once."""
+    shared = [f"s{i}".encode() for i in range(20)]
+    queries = [shared + [f"own{i}".encode()] for i in range(40)]
+    words = sorted({w for q in queries for w in q})
+    graph = rs.graph_of(queries, {w: i for i, w in enumerate(words)})
+    assert len(graph.left) == 19 and len(graph.parts) == 80
+
+
+def test_documents_are_not_shuffled(spark, folder):
+    """Both scans send a bounded number of rows for each task, never documents."""
+    text = rs.op11_ranked_search(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("MapInArrow"):]
+    assert "Exchange" not in below.split("Scan parquet")[0]
