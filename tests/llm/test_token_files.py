@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -90,3 +91,22 @@ def test_every_case_has_a_result(spark, tricky):
 def test_query(spark, folder):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     checked(tf.op7_token_files(spark, folder).collect(), docs)
+
+
+def test_words_are_encoded_apart_only_where_the_settings_say_so(tmp_path):
+    """Other vocabularies, also one that differs in a single setting, get whole texts and the library's ids."""
+    told = json.loads(VOCABULARY.to_str())
+    changed = [{"normalizer": {"type": "Sequence", "normalizers": told["normalizer"]["normalizers"][:2]}},
+               {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+                   {**told["pre_tokenizer"]["pretokenizers"][0], "pattern": {"Regex": "[\\p{L}]+(?: [\\p{L}]+)?|[^\\s\\p{L}]+"}},
+                   told["pre_tokenizer"]["pretokenizers"][1]]}},
+               {"added_tokens": [{**told["added_tokens"][0], "normalized": True}, told["added_tokens"][1]]}]
+    assert ENCODER.split
+    texts = ["Some words here, and MORE words", "x  y\n<|endoftext|> z", ""]
+    for k, change in enumerate(changed):
+        (tmp_path / f"{k}.json").write_text(json.dumps({**told, **change}))
+        other = tf.Encoder(str(tmp_path / f"{k}.json"))
+        assert not other.split
+        ids, counts = other.encode([t.encode() for t in texts])
+        want = [other.vocabulary.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
