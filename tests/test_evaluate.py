@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from palate.functions.buckets import split_name
 from palate.operators import als, evaluate, split
+from palate.sources import tables
 
 NAN = float("nan")
 SCORED = "userId int, movieId int, rating float, prediction float"
@@ -53,6 +54,40 @@ def test_damped_errors_equal_row_by_row_errors(ratings):
         assert math.isclose(row.rmse, math.sqrt(sum(gaps) / len(gaps)), rel_tol=1e-9)
 
 
+def test_errors_from_moments_equal_errors_row_by_row(ratings):
+    part = split_name()
+    got = evaluate.item_mean_rmse(ratings, part == "train", part == "test").first()
+    train, _, test = split.hash_split(ratings)
+    want = evaluate.rmse(evaluate.predict_item_mean(train, test)).first()
+    assert got.n_scored == want.n_scored and math.isclose(got.rmse, want.rmse, rel_tol=1e-12)
+
+
+def test_moments_with_nulls_unknown_items_and_a_large_offset(frame):
+    """Around 1e6 the squares of the ratings would cancel; the moments do not."""
+    far = 1_000_000.0
+    rows = frame([(0, 1, far), (0, 1, far + 1), (1, 1, far + 2), (1, 2, 3.0), (0, None, 5.0), (1, None, 6.0), (0, 3, None), (1, 3, 1.0),
+                  (1, 1, None)], "userId int, movieId int, rating double")
+    grid = evaluate.damped_mean_errors(rows, F.col("userId") == 0, F.col("userId") == 1, [0.0, 1.0]).collect()
+    mu = (2 * far + 1 + 5.0) / 3
+    assert [r.n_scored for r in grid] == [1, 1]
+    assert grid[0].rmse == 1.5
+    assert math.isclose(grid[1].rmse, abs(far + 2 - (2 * far + 1 + mu) / 3), rel_tol=1e-12)
+
+
+def test_the_rows_are_read_once_for_the_whole_grid(spark, folder, monkeypatch, tmp_path):
+    """One aggregate over the view, then only its written result."""
+    (tmp_path / "copy").symlink_to(folder)  # a path of its own, which no other test has cached
+    folder = str(tmp_path / "copy")
+    plans, write = [], evaluate.materialize
+    monkeypatch.setattr(evaluate, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    part = split_name()
+    grid = evaluate.damped_mean_errors(tables.ratings(spark, folder), part == "train", part == "validation", [0.0, 1.0, 5.0])
+    assert len(plans) == 1 and plans[0].count("lineitem.parquet") == 1
+    assert "parquet" not in grid._jdf.queryExecution().executedPlan().toString()
+    once = evaluate.item_mean_rmse(tables.ratings(spark, folder), part == "train", part == "test")
+    assert once._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+
+
 @pytest.mark.parametrize("errors, winner", [
     ([0.9, 0.7, 0.7], 1), ([NAN, 1.2, NAN], 1), ([None, NAN, 3.0], 2)])
 def test_arg_min(frame, errors, winner):

@@ -49,9 +49,14 @@ def test_user_filter_and_columns_reach_the_scan(stored):
     assert "timestamp" not in text
 
 
-def test_summary_reads_one_column_per_distinct_count(stored):
-    schemas_read = re.findall(r"ReadSchema: (\S+)", plan(profile.dataset_summary(*stored)))
-    assert sorted(schemas_read) == ["struct<>", "struct<movieId:int>", "struct<userId:int>"]
+def test_summary_reads_either_table_once_and_ids_only(spark, stored, folder, tmp_path):
+    """Bitmaps move, not ids: one scan of the ratings, and nothing but blocks behind its one exchange by block."""
+    text = plan(profile.dataset_summary(*stored))
+    assert sorted(re.findall(r"ReadSchema: (\S+)", text)) == ["struct<>", "struct<userId:int,movieId:int>"]
+    (tmp_path / "copy").symlink_to(folder)  # a path of its own, which no other test has cached
+    folder = str(tmp_path / "copy")
+    view = plan(profile.dataset_summary(tables.ratings(spark, folder), tables.items(spark, folder)))
+    assert view.count("lineitem.parquet") == 1
 
 
 def test_genre_pattern_becomes_a_pushed_contains(stored):

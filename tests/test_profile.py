@@ -25,6 +25,16 @@ def test_summary_of_nothing(frame, small_items):
     assert row.asDict() == {"n_ratings": 0, "n_users": 0, "n_rated_items": 0, "n_items": 0}
 
 
+def test_distinct_counts_are_exact_for_any_integers(spark):
+    """Around block borders, negative, zero, wide, all null, and one value on most rows."""
+    edges = [0, 1, -1, 32767, 32768, 32769, -32768, -32769, 65536, 2**31 - 1, -2**31, 2**62, -2**62, None, None, 7]
+    rows = [(v, (i % 3) if i % 5 else None, None) for i, v in enumerate(edges)] + [(7, 1, None)] * 200
+    df = spark.createDataFrame(rows, "a bigint, b int, c smallint")
+    row = profile.distinct_counts(df.repartition(5), "a", "b", "c").first()
+    assert row.asDict() == {"n_rows": len(rows), "n_a": len(set(edges)), "n_b": len({r[1] for r in rows}), "n_c": 1}
+    assert df.select("a").distinct().count() == row.n_a
+
+
 def test_stats(frame):
     row = profile.rating_stats(frame(ROWS)).first()
     values = [r[2] for r in ROWS]
