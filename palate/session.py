@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: What the innermost ``scratch`` scope owns; threads started by a search inherit none and own nothing.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
 
 def local_session(app: str, cpus: int | str = "*", conf: dict[str, str] | None = None) -> SparkSession:
     """A session for tests and the bench; on a cluster the submitter supplies one."""
@@ -39,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if configured and is_machine_local(configured) and not context.master.startswith("local"):
+    if configured and not context.master.startswith("local") and is_machine_local(spark, configured):
         if spark.conf.get("spark.palate.localFolderIsShared", "false").lower() != "true":
             raise RuntimeError(f"spark.checkpoint.dir names a local folder, {configured}")
     if configured:
@@ -55,23 +62,83 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def is_machine_local(path: str) -> bool:
-    """Whether a path says ``file:``; one without a scheme goes to the default file system."""
-    return path.startswith("file:")
+def is_machine_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path says ``file:``, or says no scheme where the default file system is a local one."""
+    scheme = urlsplit(path).scheme or urlsplit(spark._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///").scheme
+    return scheme == "file"
+
+
+def _on_disk(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _on_disk(spark, path)
+    return files.exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = _on_disk(spark, path)
+    files.delete(where, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none where there is no folder."""
+    files, where = _on_disk(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
+def application_dir(spark: SparkSession) -> str:
+    """Where this application's written intermediates are."""
+    return f"{shared_dir(spark)}/palate/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession, checkpoints: bool = True) -> None:
+    """Delete this application's written intermediates and checkpoints; call it when all results are read.
+
+    Spark keeps the checkpoints of an application in a folder of its own, and deletes them by itself only for
+    frames that the driver has forgotten, or never. With ``checkpoints=False`` they stay.
+    """
+    delete(spark, application_dir(spark))
+    made = spark.sparkContext.getCheckpointDir()
+    if checkpoints and made:
+        delete(spark, made)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written in between, at the end of a ``with`` block: scratch paths and ``materialize``d frames.
+
+    Results that read from those must be written or collected before the block ends. A block within
+    another owns what is written in it.
+    """
+    owned: list[str] = []
+    token = _SCOPE.set(owned)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in owned:
+            delete(spark, path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what ``scratch_path`` named in this application; call it when all results are read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/palate/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _own(path: str) -> str:
+    owned = _SCOPE.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, so no run overwrites another's files."""
-    return f"{shared_dir(spark)}/palate/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return _own(f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the written rows."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    written = df.checkpoint(eager=True)
+    if _SCOPE.get() is not None:
+        _own(written._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get())
+    return written

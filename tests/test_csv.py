@@ -44,13 +44,40 @@ def test_audit_accounts_for_every_line(spark, edge_csv):
     assert row.asDict() == {"n_lines": 7, "n_malformed": 3, "n_null_id": 1, "n_kept": 3}
 
 
-def test_schema_is_the_declared_one(spark, edge_csv):
-    assert csv_files.load_csv(spark, edge_csv, schemas.ITEMS).schema == schemas.ITEMS
+def test_one_read_keeps_rejects_and_counts(spark, edge_csv, tmp_path):
+    done = csv_files.convert_audited(spark, edge_csv, schemas.ITEMS, str(tmp_path / "items"), str(tmp_path / "rejects"))
+    assert done.counts == {"n_lines": 7, "n_malformed": 3, "n_null_id": 1, "n_kept": 3}
+    assert sorted(map(tuple, done.rows.collect()), key=str) == sorted(
+        map(tuple, csv_files.load_csv(spark, edge_csv, schemas.ITEMS).collect()), key=str)
+    rejected = {(r[csv_files.CORRUPT], r.title, r[csv_files.REASON]) for r in done.rejected.collect()}
+    assert {(line, reason) for line, _, reason in rejected if line} == {
+        ("xx,Bad,Comedy", "malformed"), ("3,Short", "malformed"), ("4,T,G,EXTRA", "malformed")}
+    assert (None, "Null id", "null id") in rejected and len(rejected) == 4
+    kept = csv_files.convert_audited(spark, edge_csv, schemas.ITEMS, str(tmp_path / "all"), str(tmp_path / "none"), ids=())
+    assert kept.counts["n_kept"] == 4 == kept.rows.count() and kept.counts["n_null_id"] == 0
+
+
+def test_the_lines_are_parsed_by_one_scan(spark, edge_csv, tmp_path, monkeypatch):
+    """All but one read of a conversion is of Parquet."""
+    scans, load = [], csv_files._reader
+    monkeypatch.setattr(csv_files, "_reader", lambda *a: scans.append(a) or load(*a))
+    started, kind = [], type(spark.range(0))
+    write = kind.write.fget
+    monkeypatch.setattr(kind, "write", property(
+        lambda df: started.append(df._jdf.queryExecution().executedPlan().toString()) or write(df)))
+    csv_files.convert_csv(spark, edge_csv, schemas.ITEMS, str(tmp_path / "out"))
+    assert len(scans) == 1 and [("FileScan csv" in p, "FileScan parquet" in p) for p in started] == [(True, False), (False, True), (False, True)]
+
+
+def test_converting_nothing(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("movieId,title,genres\n")
+    done = csv_files.convert_audited(spark, str(tmp_path / "empty.csv"), schemas.ITEMS, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert done.counts == {"n_lines": 0, "n_malformed": 0, "n_null_id": 0, "n_kept": 0}
+    assert done.rows.count() == done.rejected.count() == 0 and done.rows.schema == schemas.ITEMS
 
 
-def test_credentials_in_the_path_are_refused(spark):
-    with pytest.raises(ValueError, match="credentials"):
-        csv_files.load_csv(spark, "s3a://key:secret@bucket/ratings.csv", schemas.RATINGS)
+def test_schema_is_the_declared_one(spark, edge_csv):
+    assert csv_files.load_csv(spark, edge_csv, schemas.ITEMS).schema == schemas.ITEMS
 
 
 def test_parquet_copy_splits_a_hot_user(spark, tmp_path):

@@ -1,0 +1,51 @@
+import pytest
+
+from palate.operators import als
+from palate.session import scratch_path
+from palate.sources import csv_files, models, paths, schemas
+
+REFUSED = ["s3a://key:secret@bucket/f", "s3a://k:se/cret@b/f", "s3a://k:se%2Fcret@b/f", "s3://:secret@b/f", "wasbs://u:p@c.host/f",
+           "hdfs://user:pw@nn:8020/f", "s3a://key:12/34@b/f", "gs://bucket:x/f", "ftp://u:p@host/f", "hdfs://nn:secret/x@y",
+           "https://acct.host/c/f?sv=1&sig=abc", "s3a://b/f?X-Amz-Signature=1", "S3A://K:S@b/f", "s3a://k:@b/f"]
+ALLOWED = ["/plain/folder", "relative/x@y:z", "s3a://bucket/a@b/c:d", "hdfs://nn:8020/data/user@x/f", "hdfs:///data", "file:///tmp/x",
+           "abfss://container@account.host/f", "viewfs://store/in/x", "hdfs://[::1]:8020/f", "s3a://bucket/f?", "file:/tmp/x", "s3a://key@bucket/f"]
+
+
+@pytest.mark.parametrize("path", REFUSED)
+def test_paths_that_carry_credentials(path):
+    assert paths.carries_credentials(path)
+
+
+@pytest.mark.parametrize("path", ALLOWED)
+def test_paths_that_do_not(path):
+    assert not paths.carries_credentials(path) and paths.checked(path) == path
+
+
+@pytest.mark.parametrize("path", ["s3a://key:secret@bucket/x", "s3a://k:se/cret@b/f"])
+def test_every_source_and_sink_refuses_them(spark, ratings, path, tmp_path):
+    calls = [lambda: csv_files.load_csv(spark, path, schemas.RATINGS), lambda: csv_files.audit_csv(spark, path, schemas.RATINGS, "userId"),
+             lambda: csv_files.convert_csv(spark, path, schemas.RATINGS, str(tmp_path / "x")),
+             lambda: csv_files.convert_csv(spark, str(tmp_path), schemas.RATINGS, path),
+             lambda: csv_files.convert_audited(spark, str(tmp_path), schemas.RATINGS, str(tmp_path / "x"), path),
+             lambda: models.load_model(path), lambda: models.save_model(None, path), lambda: models.save_restricted(None, path, None),
+             lambda: als.grid_search(ratings, ratings, (1,), (0.1,), ledger=path, max_iter=1)]
+    for call in calls:
+        with pytest.raises(ValueError, match="credentials") as refusal:
+            call()
+        assert "cret" not in str(refusal.value)
+
+
+def test_files_and_models_of_another_file_system(spark, ratings, tmp_path):
+    """A second scheme, which only Hadoop's file systems can open, bound to a local folder."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./there", tmp_path.as_uri())
+    root = "viewfs://store/there"
+    ratings.limit(500).write.option("header", True).csv(f"{root}/csv")
+    done = csv_files.convert_audited(spark, f"{root}/csv", schemas.RATINGS, f"{root}/parquet", f"{root}/rejects")
+    assert done.counts["n_kept"] == 500 == done.rows.count()
+    search = als.grid_search(done.rows, done.rows, (1, 2), (0.1,), ledger=f"{root}/ledger", max_iter=1)
+    assert search.paths[[r.grid_pos for r in search.metrics.collect() if r.is_best][0]].startswith(root)
+    models.save_model(search.model, f"{root}/model")
+    models.save_restricted(search.model, f"{root}/few", search.model.itemFactors.limit(3))
+    assert models.load_model(f"{root}/model").rank == search.rank and models.load_model(f"{root}/few").itemFactors.count() == 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["csv", "few", "ledger", "model", "parquet", "rejects"]
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
@@ -5,11 +8,13 @@ import pytest
 from palate import session
 
 
-def fake(configured, current, master):
+def fake(configured, current, master, default="hdfs://nn/"):
+    hadoop = SimpleNamespace(hadoopConfiguration=lambda: SimpleNamespace(get=lambda key: default))
     state = {"dir": current}
     context = SimpleNamespace(master=master, getCheckpointDir=lambda: state["dir"],
                               setCheckpointDir=lambda d: state.update(dir=d))
-    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: configured)), state
+    return SimpleNamespace(sparkContext=context, _jsc=hadoop,
+                           conf=SimpleNamespace(get=lambda key, default: configured)), state
 
 
 def test_the_named_folder_is_used():
@@ -40,9 +45,68 @@ def test_a_machine_local_folder_is_refused_on_a_cluster():
     assert session.shared_dir(spark) == "file:///tmp/ck"
 
 
+def test_a_folder_without_scheme_is_on_the_default_file_system():
+    spark, _ = fake("/ck", None, "yarn", default="file:///")
+    with pytest.raises(RuntimeError, match="local folder"):
+        session.shared_dir(spark)
+    spark, _ = fake("/ck", None, "yarn")
+    assert session.shared_dir(spark) == "/ck"
+
+
 def test_scratch_can_be_cleared(spark):
     path = session.scratch_path(spark, "x")
     spark.range(3).write.parquet(path)
-    session.clear_scratch(spark)
+    session.clear_scratch(spark, checkpoints=False)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_a_scope_deletes_what_was_written_in_it(spark):
+    outside, kept = session.scratch_path(spark, "outside"), session.materialize(spark.range(4))
+    spark.range(3).write.parquet(outside)
+    with session.scratch(spark):
+        inside = session.scratch_path(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        frame = session.materialize(spark.range(5))
+        file = frame._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+        with session.scratch(spark):
+            inner = session.scratch_path(spark, "inner")
+            spark.range(2).write.parquet(inner)
+        assert not session.exists(spark, inner) and session.exists(spark, inside) and session.exists(spark, file)
+        assert frame.count() == 5
+    assert not session.exists(spark, inside) and not session.exists(spark, file)
+    assert session.exists(spark, outside) and kept.count() == 4
+    session.delete(spark, outside)
+
+
+def test_a_scope_cleans_up_after_a_failure(spark):
+    with pytest.raises(KeyError), session.scratch(spark):
+        path = session.scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        raise KeyError
+    assert not session.exists(spark, path)
+
+
+SCRIPT = """
+import sys
+from palate.operators import als, split
+from palate.plans.queries import QUERIES
+from palate.session import clear_scratch, local_session, shared_dir
+spark = local_session("cleared", 2, {"spark.driver.memory": "2g", "spark.checkpoint.dir": sys.argv[1]})
+for name in ("grid_argmin", "als_topn_user", "csv_convert_audit", "topn_per_user"):
+    QUERIES[name](spark, sys.argv[2]).count()
+import os
+files = lambda: [f for _, _, names in os.walk(sys.argv[1].removeprefix("file://")) for f in names]
+print("BEFORE", len(files()))
+clear_scratch(spark)
+print("AFTER", len(files()))
+print("STILL", QUERIES["grid_argmin"](spark, sys.argv[2]).count())
+"""
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_nothing_is_left_in_a_configured_folder(folder, tmp_path, scheme):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", SCRIPT, f"{scheme}{tmp_path}", folder], capture_output=True, text=True, cwd=root).stdout
+    told = dict(line.split() for line in out.splitlines() if line.split()[:1] in (["BEFORE"], ["AFTER"], ["STILL"]))
+    assert int(told["BEFORE"]) > 10 and told["AFTER"] == "0" and told["STILL"] == "1"
