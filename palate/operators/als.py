@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -13,8 +14,9 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.operators.evaluate import rmse
-from palate.session import scratch_path, shared_dir
-from palate.sources.models import load_model, save_model
+from palate.session import delete, exists, names_in, scratch_path, shared_dir
+from palate.sources.models import load_model, save_model, save_restricted
+from palate.sources.paths import checked
 
 # Fixed values of the published search.
 SEED = 12345
@@ -111,58 +113,141 @@ def release(model: ALSModel) -> None:
                 todo += [parents.apply(i).rdd() for i in range(parents.size())]
 
 
+def restricted(model: ALSModel, item_ids: DataFrame) -> ALSModel:
+    """A durable copy of ``model`` that knows only the items in ``item_ids``, a frame with the column ``id``.
+
+    With it the built-in recommender serves lists within a genre or over a floor.
+    """
+    path = scratch_path(item_ids.sparkSession, "model")
+    save_restricted(model, path, item_ids)
+    return load_model(path)
+
+
 @dataclass(frozen=True)
 class Search:
-    """Outcome of a grid search; ``metrics`` has one row per candidate."""
+    """Outcome of a grid search; ``metrics`` has one row per candidate, ``paths`` the models that were kept, by position."""
 
     model: ALSModel
     rank: int
     reg_param: float
     rmse: float
     metrics: DataFrame
+    paths: dict[int, str]
 
 
 METRICS = "grid_pos int, reg_param double, rank int, n_scored long, rmse double, is_best boolean"
+FINISHED = "reg_param double, rank int, n_scored long, rmse double, model string"
 
 
-def grid_search(train: DataFrame, validation: DataFrame, ranks: Iterable[int] = RANKS,
-                reg_params: Iterable[float] = REG_PARAMS, parallelism: int = 1, **options) -> Search:
-    """Fit every candidate on ``train`` and keep the one with the least validation RMSE.
+def search_identity(train: DataFrame, validation: DataFrame, options: dict) -> str:
+    """A digest of the rows a search reads and of its options, whatever the rows' order or layout."""
+    columns = ("userId", "movieId", "rating")
+    told = [df.agg(F.count("*"), F.bit_xor(F.xxhash64(*columns)), F.sum(F.pmod(F.xxhash64(*columns), F.lit(1 << 20)))).first()
+            for df in (train, validation)]
+    return hashlib.sha256(repr((tuple(map(tuple, told)), SEED, sorted(options.items()))).encode()).hexdigest()[:24]
+
+
+class Ledger:
+    """Finished candidates of searches in shared storage: a row each, and their models.
 
-    Candidates are numbered with the regularisation as the outer loop. Only one
-    error per candidate reaches the driver; ``parallelism`` candidates run at a
-    time, which fills the cluster while one of them is in a small stage. Of the
-    models only the best so far is kept in memory.
+    Everything of a candidate has paths of its own, so candidates are written side by side; its row
+    comes last. What has no row is not finished and is fitted again.
     """
-    candidates = [(reg, rank) for reg in reg_params for rank in ranks]
-    best: tuple[float, int, ALSModel] | None = None
-
-    def attempt(candidate: tuple[float, int]) -> tuple[int, float, ALSModel]:
-        reg, rank = candidate
-        model = fit(train, rank, reg, durable=False, **options)
-        n_scored, error = rmse(model.transform(validation)).first()
-        return n_scored, math.nan if error is None else error, model
-
-    rows = []
-    with persisted(train, validation), ThreadPoolExecutor(parallelism) as pool:
-        outcomes = pool.map(inheritable_thread_target(train.sparkSession)(attempt), candidates)
-        for position, ((reg, rank), (n_scored, error, model)) in enumerate(zip(candidates, outcomes)):
-            rows.append((position, float(reg), rank, n_scored, error))
-            # NaN compares false, and an equal error does not displace an earlier one.
-            if error < (best[0] if best else math.inf):
-                loser, best = best and best[2], (error, position, model)
-            else:
-                loser = model
-            if loser:
-                release(loser)
-    if best is None:
-        raise ValueError("no candidate scored any validation row with a finite error")
-    error, chosen, model = best
-    marked = [(*row, row[0] == chosen) for row in rows]
-    metrics = train.sparkSession.createDataFrame(marked, METRICS)
-    durable = make_durable(model, train.sparkSession)
-    release(model)
-    return Search(durable, candidates[chosen][1], candidates[chosen][0], error, metrics)
+
+    def __init__(self, spark: SparkSession, path: str, identity: str):
+        self.spark, self.path = spark, f"{checked(path)}/{identity}"
+
+    def _name(self, reg: float, rank: int) -> str:
+        return f"rank-{rank}-reg-{float(reg)!r}"
+
+    def model_path(self, reg: float, rank: int) -> str:
+        return f"{self.path}/models/{self._name(reg, rank)}"
+
+    def finished(self) -> dict[tuple[float, int], tuple[int, float]]:
+        """``(n_scored, error)`` by candidate."""
+        whole = [f"{self.path}/rows/{n}" for n in names_in(self.spark, f"{self.path}/rows")
+                 if exists(self.spark, f"{self.path}/rows/{n}/_SUCCESS")]
+        if not whole:
+            return {}
+        rows = self.spark.read.schema(FINISHED).parquet(*whole).collect()  # a row for each candidate
+        return {(r["reg_param"], r["rank"]): (r["n_scored"], r["rmse"]) for r in rows}
+
+    def add(self, reg: float, rank: int, n_scored: int, error: float) -> None:
+        row = (float(reg), rank, n_scored, error, self.model_path(reg, rank))
+        frame = self.spark.createDataFrame([row], FINISHED).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.path}/rows/{self._name(reg, rank)}")
+
+    def drop_model(self, reg: float, rank: int) -> None:
+        delete(self.spark, self.model_path(reg, rank))
+
+
+def grid_search(train: DataFrame, validation: DataFrame, ranks: Iterable[int] = RANKS,
+                reg_params: Iterable[float] = REG_PARAMS, parallelism: int = 1, ledger: str | None = None,
+                keep_models: bool = False, **options) -> Search:
+    """Fit every candidate on ``train`` and choose the one with the least validation RMSE.
+
+    Candidates are numbered with the regularisation as the outer loop, and the earliest of equals is chosen.
+    ``parallelism`` of them run at a time, which fills the cluster while one is in a small stage. A
+    candidate's model is written and leaves the executors before its thread takes another, so no more
+    than ``parallelism`` models are alive, whichever finishes first; only errors reach the driver.
+
+    ``ledger`` names a folder in shared storage. A search that finds candidates there that were
+    finished on the same rows with the same options, by a run that was lost, a smaller grid or another
+    driver, fits the others only. Models of all but the best are deleted, unless ``keep_models``.
+    """
+    spark = train.sparkSession
+    candidates = [(float(reg), rank) for reg in reg_params for rank in ranks]
+    with persisted(train, validation):
+        identity = search_identity(train, validation, options) if ledger else "search"
+        book = Ledger(spark, ledger or scratch_path(spark, "ledger"), identity)
+        done = book.finished()
+        if keep_models:
+            done = {c: v for c, v in done.items() if exists(spark, book.model_path(*c))}
+
+        def attempt(candidate: tuple[float, int]) -> tuple[int, float]:
+            reg, rank = candidate
+            model = fit(train, rank, reg, durable=False, **options)
+            try:
+                n_scored, error = rmse(model.transform(validation)).first()
+                save_model(model, book.model_path(reg, rank))
+            finally:
+                release(model)
+            return n_scored, math.nan if error is None else error
+
+        # A NaN compares false, so it is never the best; an equal error does not displace an earlier one.
+        place = {c: p for p, c in reversed(list(enumerate(candidates)))}
+        best = min(((e, place[c]) for c, (_, e) in done.items() if c in place and e < math.inf), default=None)
+        with ThreadPoolExecutor(parallelism) as pool:
+            running = {pool.submit(inheritable_thread_target(spark)(attempt), c): c for c in place if c not in done}
+            failure = None
+            for future in as_completed(running):
+                if future.cancelled():
+                    continue
+                if future.exception():  # what is still running is recorded, what is waiting is not begun
+                    failure = failure or future.exception()
+                    for other in running:
+                        other.cancel()
+                    continue
+                candidate = running[future]
+                n_scored, error = done[candidate] = future.result()
+                book.add(*candidate, n_scored, error)
+                mine, loser = (error, place[candidate]), candidate
+                if error < math.inf and (best is None or mine < best):
+                    loser, best = best and candidates[best[1]], mine
+                if loser and not keep_models:
+                    book.drop_model(*loser)
+            if failure:
+                raise failure
+        if best is None:
+            raise ValueError("no candidate scored any validation row with a finite error")
+        error, chosen = best
+        reg, rank = candidates[chosen]
+        if not exists(spark, book.model_path(reg, rank)):  # a search before this one had a better one of its own
+            attempt((reg, rank))
+    marked = [(p, *c, *done[c], p == chosen) for p, c in enumerate(candidates)]
+    metrics = spark.createDataFrame([(p, reg, rank, n, e, b) for p, reg, rank, n, e, b in marked], METRICS)
+    kept = {p: book.model_path(*c) for p, c in enumerate(candidates) if keep_models or p == chosen}
+    return Search(load_model(kept[chosen]), rank, reg, error, metrics, kept)
 
 
 def refit(train: DataFrame, validation: DataFrame, rank: int, reg_param: float,

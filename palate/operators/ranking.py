@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from palate.functions import tiles
 from palate.functions.vectors import dot
 from palate.operators.evaluate import is_scored
+from palate.session import materialize
 
 TILE_USERS = 65536
 TILE_ITEMS = 65536
@@ -81,15 +82,15 @@ def top_n_per_user(user_factors: DataFrame, item_factors: DataFrame, seen: DataF
     (a tile) with a matrix product, blanks the tile's seen pairs and emits at
     most ``n`` rows per user. Pairs are never stored or shuffled: what moves is
     one copy of each user per item block, one copy of each item per user block,
-    the seen pairs once, and ``n`` rows per user and item block at the end.
+    the seen pairs once (they are written, two ids each), and ``n`` rows per user and item block at the end.
     A tile holds at most about ``tile_users`` users, ``tile_items`` items and
     ``tile_seen`` seen pairs, and a user or item with a huge history is spread over
     all its tiles. To serve some users or recommend from some items only,
     restrict ``user_factors`` / ``item_factors`` (and ``seen`` likewise) beforehand.
     """
     parallelism = user_factors.sparkSession.sparkContext.defaultParallelism
-    pairs = (seen.select("userId", "movieId").distinct()
-             .filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull()))
+    # Counted and then read by the tiles; what ``seen`` is made of is computed once.
+    pairs = materialize(seen.select("userId", "movieId").filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull()).distinct())
     n_users, n_items, n_seen = user_factors.count(), item_factors.count(), pairs.count()
     item_blocks = max(1, math.ceil(n_items / tile_items))
     # Small inputs are still cut finely enough to occupy every core, as long as the
@@ -119,3 +120,42 @@ def top_n_per_user(user_factors: DataFrame, item_factors: DataFrame, seen: DataF
     best = left.cogroup(right).applyInArrow(lambda users, items: tiles.best_in_tile(users, items, n),
                                             "userId int, movieId int, prediction float")
     return rank_per_user(best, n).select("userId", "rank", "movieId", "prediction")
+
+
+def history_buckets(seen: DataFrame) -> DataFrame:
+    """``(userId, n_seen, bucket)``: users by the length of their history, a bucket for each doubling."""
+    per_user = seen.filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull()).groupBy("userId").agg(F.count("*").alias("n_seen"))
+    return per_user.withColumn("bucket", F.ceil(F.log2("n_seen")).cast("int"))
+
+
+def overfetched(model: ALSModel, seen: DataFrame, n: int = 25) -> DataFrame:
+    """``(userId, movieId, prediction)``: each user's best items, seen ones among them, enough for ``n`` unseen.
+
+    The built-in recommender does not leave out seen items, so it is asked for more than ``n``: for as
+    many more as the longest history has. One heavy user would make that too many for everyone, so
+    users are bucketed by the length of their history and every bucket asks by its own longest, which is less than
+    twice anyone's own. A bucket is a doubling, so there are as many as a history's length has bits, and the rows of all
+    are at most ``n`` for each user and twice the seen pairs, written once. Users without a history form a bucket of their own.
+    """
+    lengths = materialize(history_buckets(seen))
+    users = model.userFactors.select(F.col("id").alias("userId")).join(lengths, "userId", "left")
+    users = materialize(users.select("userId", F.coalesce("n_seen", F.lit(0)).alias("n_seen"), F.coalesce("bucket", F.lit(-1)).alias("bucket")))
+    longest = users.groupBy("bucket").agg(F.max("n_seen").alias("longest")).collect()  # a row for each doubling
+    parts = None
+    for row in sorted(longest):
+        asked = users.filter(F.col("bucket") == row["bucket"]).select("userId")
+        found = (model.recommendForUserSubset(asked, n + row["longest"]).select("userId", F.explode("recommendations").alias("r"))
+                 .select("userId", "r.movieId", F.col("r.rating").alias("prediction")))
+        parts = found if parts is None else parts.unionByName(found)
+    if parts is None:
+        return model.userFactors.limit(0).select(F.col("id").alias("userId"), F.col("id").alias("movieId"), F.lit(0.0).cast("float").alias("prediction"))
+    return materialize(parts)
+
+
+def top_n_by_overfetch(model: ALSModel, seen: DataFrame, n: int = 25) -> DataFrame:
+    """The lists of ``top_n_per_user`` from the built-in recommender: fetch enough, drop the seen, rank again.
+
+    For all items only; a filter on the items could leave too few of those fetched.
+    """
+    unseen = overfetched(model, seen, n).join(seen.select("userId", "movieId"), ["userId", "movieId"], "left_anti")
+    return rank_per_user(unseen.filter(is_scored()), n).select("userId", "rank", "movieId", "prediction")

@@ -2,6 +2,7 @@ import math
 import os
 import subprocess
 import sys
+import threading
 
 import numpy as np
 import pytest
@@ -161,8 +162,124 @@ def test_the_model_does_not_depend_on_the_number_of_cores(folder):
     assert factors[0] == factors[1]
 
 
+def stored(spark):
+    """Ids of the stored RDDs; others may be cleaned at any time, so only new ones say something."""
+    return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+
 def test_losers_of_a_search_leave_the_executors(spark, planted_parts):
-    stored = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
-    before = stored()
+    before = stored(spark)
     als.grid_search(*planted_parts, ranks=(1, 2), reg_params=(0.1, 1.0), max_iter=1)
-    assert stored() == before
+    assert not stored(spark) - before
+
+
+class Fits:
+    """Counts fits and the models alive at a time, and breaks off after ``limit`` fits."""
+
+    def __init__(self, monkeypatch, limit=1000):
+        self.done, self.alive, self.most, self.limit, self.lock = [], 0, 0, limit, threading.Lock()
+        fit, release = als.fit, als.release
+
+        def counted(train, rank, reg, **options):
+            with self.lock:
+                if len(self.done) >= self.limit:
+                    raise RuntimeError("the driver is lost")
+                self.done.append((reg, rank))
+                self.alive += 1
+                self.most = max(self.most, self.alive)
+            return fit(train, rank, reg, **options)
+
+        def released(model):
+            release(model)
+            with self.lock:
+                self.alive -= 1
+
+        monkeypatch.setattr(als, "fit", counted)
+        monkeypatch.setattr(als, "release", released)
+
+
+GRID = {"ranks": (1, 2), "reg_params": (0.01, 0.1, 1.0), "max_iter": 2}
+
+
+def values(search):
+    return [tuple(r) for r in search.metrics.orderBy("grid_pos").collect()]
+
+
+@pytest.mark.parametrize("parallelism", [1, 3])
+def test_a_search_stopped_halfway_resumes_with_the_rest(spark, planted_parts, tmp_path, monkeypatch, parallelism):
+    whole = values(als.grid_search(*planted_parts, **GRID))
+    ledger = str(tmp_path / "ledger")
+    with monkeypatch.context() as patch:
+        first = Fits(patch, limit=3)
+        with pytest.raises(RuntimeError, match="lost"):
+            als.grid_search(*planted_parts, **GRID, ledger=ledger, parallelism=parallelism)
+        assert len(first.done) == 3
+    with monkeypatch.context() as patch:
+        second = Fits(patch)
+        search = als.grid_search(*planted_parts, **GRID, ledger=ledger, parallelism=parallelism)
+        assert sorted(first.done + second.done) == sorted((g, k) for g in GRID["reg_params"] for k in GRID["ranks"])
+    got = values(search)
+    assert [r[:4] + r[5:] for r in got] == [r[:4] + r[5:] for r in whole]
+    assert all(math.isclose(a[4], b[4], rel_tol=1e-6) for a, b in zip(got, whole))
+    again = evaluate.rmse(search.model.transform(planted_parts[1])).first().rmse
+    assert math.isclose(again, search.rmse, rel_tol=1e-6)
+    with monkeypatch.context() as patch:
+        third = Fits(patch)
+        assert values(als.grid_search(*planted_parts, **GRID, ledger=ledger)) == got and not third.done
+
+
+def test_a_ledger_serves_the_same_rows_and_options_only(spark, planted_parts, tmp_path, monkeypatch):
+    train, held = planted_parts
+    ledger, fits = str(tmp_path / "ledger"), Fits(monkeypatch)
+    als.grid_search(train, held, (1,), (0.1,), ledger=ledger, max_iter=1)
+    als.grid_search(train.repartition(3), held, (1,), (0.1,), ledger=ledger, max_iter=1)
+    assert len(fits.done) == 1
+    als.grid_search(train.filter("userId <> 3"), held, (1,), (0.1,), ledger=ledger, max_iter=1)
+    als.grid_search(train, held, (1,), (0.1,), ledger=ledger, max_iter=2)
+    assert len(fits.done) == 3
+    larger = als.grid_search(train, held, (1, 2), (0.1, 0.2), ledger=ledger, max_iter=1)
+    assert len(fits.done) == 6 and larger.metrics.count() == 4
+
+
+def test_models_of_all_candidates_can_be_kept(spark, planted_parts, tmp_path, monkeypatch):
+    train, held = planted_parts
+    ledger = str(tmp_path / "ledger")
+    few = als.grid_search(train, held, (1, 2), (0.1,), ledger=ledger, max_iter=1)
+    assert len(few.paths) == 1
+    fits = Fits(monkeypatch)
+    every = als.grid_search(train, held, (1, 2), (0.1,), ledger=ledger, max_iter=1, keep_models=True)
+    assert sorted(every.paths) == [0, 1] and len(fits.done) == 1  # the one whose model had been deleted
+    for position, path in every.paths.items():
+        error = evaluate.rmse(models.load_model(path).transform(held)).first().rmse
+        listed = every.metrics.filter(F.col("grid_pos") == position).first().rmse
+        assert math.isclose(error, listed, rel_tol=1e-6)
+
+
+def test_no_more_models_are_alive_than_run_at_a_time(planted_parts, monkeypatch):
+    """Behind a slow first candidate the others come and go."""
+    fits = Fits(monkeypatch)
+    save, late = als.save_model, threading.Event()
+
+    def slow(model, path):
+        if "rank-1-reg-0.01" in path:
+            late.wait(60)
+        elif len(fits.done) == 6:
+            late.set()
+        save(model, path)
+
+    monkeypatch.setattr(als, "save_model", slow)
+    search = als.grid_search(*planted_parts, **GRID, parallelism=2)
+    assert late.is_set() and fits.most == 2 and fits.alive == 0
+    assert search.metrics.count() == 6
+
+
+def test_errors_of_many_candidates_in_one_pass(planted_parts, spark):
+    train, held = planted_parts
+    fitted = [als.fit(train, rank, 0.1, max_iter=1) for rank in (1, 3)]
+    sides = [fitted[0].__getattribute__(s).withColumn("candidate", F.lit(0)).unionByName(
+        fitted[1].__getattribute__(s).withColumn("candidate", F.lit(1))) for s in ("userFactors", "itemFactors")]
+    extra = held.unionByName(spark.createDataFrame([(99999, 1, 3.0), (1, 99999, 3.0)], held.schema))
+    got = {r.candidate: r for r in evaluate.candidate_errors(extra, *sides).collect()}
+    for c, model in enumerate(fitted):
+        want = evaluate.rmse(model.transform(extra)).first()
+        assert got[c].n_scored == want.n_scored and math.isclose(got[c].rmse, want.rmse, rel_tol=1e-5)

@@ -129,3 +129,47 @@ def test_a_dense_history_is_cut_into_more_tiles(spark):
 
     (few, n_few), (many, n_many) = lists(10**9), lists(60)
     assert few == many and n_many > n_few
+
+
+def test_overfetched_lists_equal_the_tiled_ones(spark, ratings):
+    model = als.fit(ratings, rank=4, max_iter=3)
+    tiled = ranking.top_n_per_user(model.userFactors, model.itemFactors, ratings, 7)
+    fetched = ranking.top_n_by_overfetch(model, ratings, 7)
+    assert collected(fetched).keys() == collected(tiled).keys()
+    both = tiled.join(fetched.withColumnsRenamed({"prediction": "other", "movieId": "item"}), ["userId", "rank"], "full")
+    assert both.filter("abs(prediction - other) > 1e-4 OR prediction IS NULL OR other IS NULL").count() == 0
+
+
+def test_one_heavy_user_does_not_make_others_fetch_more(spark):
+    """A user who has rated nearly everything, light ones, and one without any history."""
+    rows = [(0, i, 3.0) for i in range(190)] + [(u, (u * 7 + k) % 200, 4.0) for u in range(1, 41) for k in range(3 + u % 5)]
+    rows += [(99, 199, 1.0)]
+    history = spark.createDataFrame(rows, "userId int, movieId int, rating float")
+    model = als.fit(history, rank=2, max_iter=1)
+    seen = history.filter("userId <> 99")
+    fetched = {r.userId: r["count"] for r in ranking.overfetched(model, seen, 5).groupBy("userId").count().collect()}
+    own = {r.userId: r["count"] for r in seen.groupBy("userId").count().collect()}
+    assert fetched.keys() == {*own, 99} and fetched[99] == 5
+    assert all(5 + own[u] <= fetched[u] <= 5 + 2 * own[u] for u in own if u) and fetched[0] >= 5 + 190 - 5
+    lists = collected(ranking.top_n_by_overfetch(model, seen, 5))
+    assert all(len(lists[u]) == 5 for u in fetched) and not {(u, i) for u, own in lists.items() for i in own} & {r[:2] for r in rows[:-1]}
+
+
+def test_overfetch_without_users_or_history(spark, ratings):
+    model = als.fit(ratings, rank=2, max_iter=1)
+    nobody = ranking.overfetched(model, ratings.limit(0), 3)
+    assert nobody.count() == 3 * model.userFactors.count()
+    none = ranking.history_buckets(ratings.limit(0))
+    assert none.columns == ["userId", "n_seen", "bucket"] and none.count() == 0
+
+
+def test_a_restricted_model_lists_its_items_only(spark, ratings):
+    model = als.fit(ratings, rank=3, max_iter=2)
+    some = model.itemFactors.filter("id % 3 = 0").select("id")
+    part = als.restricted(model, some)
+    assert {r.id for r in part.itemFactors.collect()} == {r.id for r in some.collect()}
+    assert part.userFactors.count() == model.userFactors.count() and part.rank == model.rank
+    tiled = collected(ranking.top_n_per_user(part.userFactors, part.itemFactors, ratings, 4))
+    fetched = collected(ranking.top_n_by_overfetch(part, ratings, 4))
+    assert {u: len(x) for u, x in tiled.items()} == {u: len(x) for u, x in fetched.items()}
+    assert all(i % 3 == 0 for own in fetched.values() for i in own)
