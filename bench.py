@@ -20,7 +20,7 @@ HEADLINE = [
     "ratings_scan", "dataset_summary", "rating_stats", "rating_histogram", "item_rating_counts",
     "low_count_items", "user_watched_top20", "user_unwatched", "all_users_unwatched_counts",
     "popular_unwatched", "genre_filter", "hash_split_counts", "item_mean_rmse", "grid_argmin",
-    "factor_scores", "topn_per_user", "csv_ratings_scan", "als_test_rmse",
+    "factor_scores", "topn_per_user", "csv_ratings_scan", "csv_convert_audit", "als_test_rmse",
     "als_topn_user_popular_genre", "als_topn_all_users", "als_save_load_roundtrip",
     "topn_one_user_popular_genre", "als_fit_residuals", "als_final_rmse", "als_cold_start_audit",
     "als_topn_user_checks",

@@ -85,11 +85,24 @@ def _one_list(source: str, where: str) -> str:
       WINDOW w AS (ORDER BY p DESC, "movieId") QUALIFY ROW_NUMBER() OVER w <= {TOP}"""
 
 
+def _grid(mark: str) -> str:
+    """All candidates in order, with the number of warm validation rows, and ``mark`` true for each."""
+    candidates = ", ".join(f"({i * len(RANKS) + j}, {reg}, {k})" for i, reg in enumerate(REG_PARAMS) for j, k in enumerate(RANKS))
+    return f"""
+        SELECT CAST(pos AS INTEGER) AS grid_pos, CAST(reg AS DOUBLE) AS reg_param, CAST(k AS INTEGER) AS rank,
+               (SELECT COUNT(*) FROM parts t WHERE split = 'validation'
+                AND EXISTS (SELECT 1 FROM parts u WHERE u.split = 'train' AND u."userId" = t."userId")
+                AND EXISTS (SELECT 1 FROM parts i WHERE i.split = 'train' AND i."movieId" = t."movieId")) AS n_scored,
+               TRUE AS {mark}
+        FROM (VALUES {candidates}) AS g(pos, reg, k)"""
+
+
 IN_GENRE = f"genres LIKE '%{GENRE}%'"
 
 ORACLES = {
     "ratings_scan": _with(RATINGS, select="SELECT * FROM ratings"),
     "csv_ratings_scan": _with(RATINGS, select="SELECT * FROM ratings"),
+    "csv_ratings_scan_by_class": _with(RATINGS, select="SELECT * FROM ratings"),
     "csv_to_parquet_ratings": _with(RATINGS, select="SELECT * FROM ratings"),
     "movies_scan": _with(MOVIES, select="SELECT * FROM movies"),
     "csv_malformed_audit": _with(MOVIES, select="""
@@ -99,6 +112,18 @@ ORACLES = {
                COUNT(*) FILTER (genres NOT LIKE 'ECONOMY%' AND genres NOT LIKE 'SMALL%'
                                 AND genres NOT LIKE 'PROMO%') AS n_kept
         FROM movies"""),
+    "csv_convert_audit": _with(MOVIES, """
+        kinds AS (SELECT genres LIKE 'ECONOMY%' OR genres LIKE 'SMALL%' AS bad, genres LIKE 'PROMO%' AS no_id FROM movies)""", """
+        counts AS (SELECT COUNT(*) AS n_lines, COUNT(*) FILTER (bad) AS n_malformed, COUNT(*) FILTER (no_id) AS n_null_id,
+                          COUNT(*) FILTER (NOT bad AND NOT no_id) AS n_kept FROM kinds)""", select="""
+        SELECT *, n_kept AS n_written, n_malformed AS n_malformed_lines, n_malformed AS n_line_texts,
+               n_null_id AS n_null_id_lines FROM counts"""),
+    "csv_rejected_lines": _with(MOVIES, select="""
+        SELECT CASE WHEN genres LIKE 'ECONOMY%' THEN concat('x', "movieId", ',', title, ',', genres)
+                    WHEN genres LIKE 'SMALL%' THEN concat("movieId", ',', title)
+                    ELSE concat(',', title, ',', genres) END AS line,
+               CASE WHEN genres LIKE 'PROMO%' THEN 'null id' ELSE 'malformed' END AS reason
+        FROM movies WHERE genres LIKE 'ECONOMY%' OR genres LIKE 'SMALL%' OR genres LIKE 'PROMO%'"""),
     "csv_wellformed_items": _with(MOVIES, select="""
         SELECT * FROM movies WHERE genres NOT LIKE 'ECONOMY%' AND genres NOT LIKE 'SMALL%'
           AND genres NOT LIKE 'PROMO%'"""),
@@ -163,6 +188,11 @@ ORACLES = {
         FROM parts t JOIN (SELECT "movieId", AVG(rating) AS guess FROM parts WHERE split = 'train'
                            GROUP BY "movieId") k USING ("movieId")
         WHERE t.split = 'test'"""),
+    "item_mean_predictions": _with(RATINGS, SPLIT, select="""
+        SELECT "userId", "movieId", ROUND(k.guess, 6) AS prediction
+        FROM parts t LEFT JOIN (SELECT "movieId", AVG(rating) AS guess FROM parts WHERE split = 'train'
+                                GROUP BY "movieId") k USING ("movieId")
+        WHERE t.split = 'test'"""),
     "grid_metrics": _with(RATINGS, SPLIT, GRID, select="SELECT grid_pos, damping, n_scored, ROUND(error, 6) AS rmse FROM errors"),
     "grid_argmin": _with(RATINGS, SPLIT, GRID, select="""
         SELECT grid_pos, damping, n_scored, ROUND(error, 6) AS rmse FROM errors ORDER BY error, grid_pos LIMIT 1"""),
@@ -202,14 +232,7 @@ ORACLES = {
         SELECT warm_user, warm_item, COUNT(*) AS n_rows,
                COUNT(*) FILTER (NOT (warm_user AND warm_item)) AS n_nan, CAST(0 AS BIGINT) AS n_null
         FROM marked GROUP BY warm_user, warm_item"""),
-    "als_grid_shape": _with(RATINGS, SPLIT, select=f"""
-        SELECT CAST(pos AS INTEGER) AS grid_pos, CAST(reg AS DOUBLE) AS reg_param, CAST(k AS INTEGER) AS rank,
-               (SELECT COUNT(*) FROM parts t WHERE split = 'validation'
-                AND EXISTS (SELECT 1 FROM parts u WHERE u.split = 'train' AND u."userId" = t."userId")
-                AND EXISTS (SELECT 1 FROM parts i WHERE i.split = 'train' AND i."movieId" = t."movieId")) AS n_scored,
-               TRUE AS mark_is_right
-        FROM (VALUES {", ".join(f"({i * len(RANKS) + j}, {reg}, {k})" for i, reg in enumerate(REG_PARAMS)
-                                for j, k in enumerate(RANKS))}) AS g(pos, reg, k)"""),
+    **{name: _with(RATINGS, SPLIT, select=_grid(mark)) for name, mark in (("als_grid_shape", "mark_is_right"), ("als_grid_checks", "agrees"))},
     "als_fit_residuals": _with(RATINGS, select="""
         SELECT COUNT(DISTINCT "userId") AS n_users, CAST(0 AS BIGINT) AS n_over FROM ratings"""),
     "als_rmse_checks": _with(RATINGS, SPLIT, select=" UNION ALL ".join(f"""
@@ -241,6 +264,21 @@ ORACLES = {
         SELECT "userId", LEAST({TOP}, (SELECT COUNT(*) FROM allowed) - COUNT(a."movieId")) AS n_recs
         FROM ratings LEFT JOIN allowed a USING ("movieId") GROUP BY "userId"
         HAVING (SELECT COUNT(*) FROM allowed) > COUNT(a."movieId")"""),
+    "als_topn_overfetch_checks": _with(RATINGS, f"""
+        lists AS (
+          SELECT LEAST({TOP}, (SELECT COUNT(DISTINCT "movieId") FROM ratings) - COUNT(*)) AS n
+          FROM ratings GROUP BY "userId")""", select="""
+        SELECT CAST(SUM(n) AS BIGINT) AS n_entries, CAST(0 AS BIGINT) AS n_in_one_only, CAST(0 AS BIGINT) AS n_other_score FROM lists"""),
+    "als_topn_all_users_popular_genre_checks": _with(RATINGS, MOVIES, COUNTS, f"""
+        allowed AS (
+          SELECT "movieId" FROM movies JOIN counts USING ("movieId") WHERE {IN_GENRE} AND "count" >= {FLOOR})""", f"""
+        lists AS (
+          SELECT LEAST({TOP}, (SELECT COUNT(*) FROM allowed) - COUNT(a."movieId")) AS n
+          FROM ratings LEFT JOIN allowed a USING ("movieId") GROUP BY "userId")""", select="""
+        SELECT COUNT(*) FILTER (n > 0) AS n_lists, COALESCE(CAST(SUM(n) AS BIGINT), 0) AS n_entries, CAST(0 AS BIGINT) AS n_seen,
+               CAST(0 AS BIGINT) AS n_not_allowed, CAST(0 AS BIGINT) AS n_other_score, CAST(0 AS BIGINT) AS n_out_of_order,
+               CAST(0 AS BIGINT) AS n_better_left_out
+        FROM lists"""),
     "als_factor_counts": _with(RATINGS, select=f"""
         SELECT 'user' AS side, COUNT(DISTINCT "userId") AS n_ids, CAST({RANK} AS INTEGER) AS min_rank,
                CAST({RANK} AS INTEGER) AS max_rank FROM ratings

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from palate.functions.buckets import BUCKETS, id_bucket, split_name
 from palate.operators import als, candidates, evaluate, ids, profile, ranking, split
-from palate.session import materialize, scratch_path
+from palate.session import application_dir, materialize, scratch_path
 from palate.sources import csv_files, models, schemas, tables
 
 USER = 42
@@ -19,6 +20,8 @@ GENRE = "ECONOMY"
 TOP = 25
 RANK = 4
 REG_PARAM = 0.1
+# Fixed value: the class behind the short name "csv".
+CSV_CLASS = "org.apache.spark.sql.execution.datasources.csv.CSVFileFormat"
 DAMPINGS = [0.0, 1.0, 5.0, 25.0, 125.0]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +53,14 @@ def csv_ratings_scan(spark, folder):
     return csv_files.load_csv(spark, path, schemas.RATINGS)
 
 
+@query
+def csv_ratings_scan_by_class(spark, folder):
+    """The same with the data source named by its class."""
+    path = scratch_path(spark, "ratings-csv")
+    tables.ratings(spark, folder).write.option("header", True).csv(path)
+    return csv_files.load_csv(spark, path, schemas.RATINGS, source_format=CSV_CLASS)
+
+
 @query
 def csv_to_parquet_ratings(spark, folder):
     """The same, stored once as Parquet clustered by user and item."""
@@ -76,6 +87,28 @@ def csv_malformed_audit(spark, folder):
     return csv_files.audit_csv(spark, _flawed_items_csv(spark, folder), schemas.ITEMS, "movieId")
 
 
+@query
+def csv_convert_audit(spark, folder):
+    """One conversion: what it counted as it ran, and how many rows and rejected lines it wrote."""
+    target, rejects = scratch_path(spark, "items-parquet"), scratch_path(spark, "items-rejects")
+    done = csv_files.convert_audited(spark, _flawed_items_csv(spark, folder), schemas.ITEMS, target, rejects)
+    written = done.rows.agg(F.count("*").alias("n_written"))
+    by_reason = done.rejected.agg(F.count_if(F.col(csv_files.REASON) == csv_files.MALFORMED).alias("n_malformed_lines"),
+                                  F.count(csv_files.CORRUPT).alias("n_line_texts"),
+                                  F.count_if(F.col(csv_files.REASON) == csv_files.NULL_ID).alias("n_null_id_lines"))
+    counts = [F.lit(n).cast("long").alias(name) for name, n in done.counts.items()]
+    return written.select(*counts, "n_written", *(by_reason.select(c).scalar().alias(c) for c in by_reason.columns))
+
+
+@query
+def csv_rejected_lines(spark, folder):
+    """The lines that a conversion left out, as they stood in the file, with the reason."""
+    target, rejects = scratch_path(spark, "items-parquet"), scratch_path(spark, "items-rejects")
+    done = csv_files.convert_audited(spark, _flawed_items_csv(spark, folder), schemas.ITEMS, target, rejects)
+    line = F.coalesce(csv_files.CORRUPT, F.concat(F.lit(","), "title", F.lit(","), "genres"))
+    return done.rejected.select(line.alias("line"), F.col(csv_files.REASON).alias("reason"))
+
+
 @query
 def csv_wellformed_items(spark, folder):
     return csv_files.load_csv(spark, _flawed_items_csv(spark, folder), schemas.ITEMS)
@@ -246,11 +279,19 @@ def hash_split_counts(spark, folder):
 
 @query
 def item_mean_rmse(spark, folder):
-    train, _, test = split.hash_split(tables.ratings(spark, folder))
-    result = evaluate.rmse(evaluate.predict_item_mean(train, test))
+    part = split_name()
+    result = evaluate.item_mean_rmse(tables.ratings(spark, folder), part == "train", part == "test")
     return result.select("n_scored", F.round("rmse", 6).alias("rmse"))
 
 
+@query
+def item_mean_predictions(spark, folder):
+    """Every test row with its item's training mean, null where the item has none."""
+    train, _, test = split.hash_split(_ratings(spark, folder))
+    guess = F.nanvl(F.col("prediction"), F.lit(None).cast("double"))
+    return evaluate.predict_item_mean(train, test).select("userId", "movieId", F.round(guess, 6).alias("prediction"))
+
+
 def _damping_grid(spark, folder) -> DataFrame:
     part = split_name()
     return evaluate.damped_mean_errors(tables.ratings(spark, folder), part == "train", part == "validation", DAMPINGS)
@@ -424,26 +465,43 @@ def als_cold_start_audit(spark, folder):
     return evaluate.cold_start_audit(scored, train)
 
 
-def _search(spark, folder, parallelism: int = 4) -> als.Search:
+def _search(spark, folder, parallelism: int = 4) -> tuple[als.Search, DataFrame]:
+    """The whole search and the rows it was judged by. All queries of an application write to one ledger,
+    which knows the rows and options a candidate was fitted on: the first of them fits, the others resume."""
     train, validation, _ = split.hash_split(_ratings(spark, folder))
-    return als.grid_search(train, validation, parallelism=parallelism)
+    ledger = f"{application_dir(spark)}/search-ledger"
+    return als.grid_search(train, validation, parallelism=parallelism, ledger=ledger, keep_models=True), validation
 
 
 @query
 def als_grid_search(spark, folder):
     """All candidates: 7 ranks by 6 regularisations."""
-    return _search(spark, folder).metrics
+    return _search(spark, folder)[0].metrics
 
 
 @query
 def als_grid_shape(spark, folder):
     """The candidates in search order, and that exactly the arg-min one is marked."""
-    metrics = _search(spark, folder).metrics
+    metrics = _search(spark, folder)[0].metrics
     least = evaluate.arg_min(metrics).select("grid_pos").scalar()
     return metrics.select("grid_pos", "reg_param", "rank", "n_scored",
                           ((F.col("grid_pos") == least) == F.col("is_best")).alias("mark_is_right"))
 
 
+@query
+def als_grid_checks(spark, folder):
+    """Every candidate's error against one computed anew from its written factors, without the model."""
+    search, validation = _search(spark, folder)
+    sides = []
+    for side in ("userFactors", "itemFactors"):
+        frames = [spark.read.parquet(f"{path}/{side}").withColumn("candidate", F.lit(p)) for p, path in search.paths.items()]
+        sides.append(functools.reduce(DataFrame.unionByName, frames))
+    own = evaluate.candidate_errors(validation, *sides).withColumnsRenamed({"rmse": "own", "n_scored": "n_own"})
+    agrees = (F.col("n_scored") == F.col("n_own")) & (F.abs(F.col("rmse") - F.col("own")) < 1e-5)
+    return search.metrics.join(own, F.col("grid_pos") == F.col("candidate"), "left").select(
+        "grid_pos", "reg_param", "rank", "n_scored", F.coalesce(agrees, F.lit(False)).alias("agrees"))
+
+
 def _one_user(spark, folder, popular: bool, genre: str | None) -> DataFrame:
     pool = _popular_pool(spark, folder) if popular else _pool(spark, folder)
     if genre:
@@ -547,12 +605,9 @@ def als_topn_all_users_checks(spark, folder):
                     F.count_if(~evaluate.is_scored()).alias("n_unscored"),
                     F.count_if(F.col("before") < F.col("prediction")).alias("n_out_of_order"),
                     F.count_if(F.col("rank") != F.col("place")).alias("n_gaps")))
-    # The built-in recommender looks past a user's seen items: with TOP and as many more as
-    # anyone has seen, whatever is better than the last entry and unseen must be in the list.
-    most = ratings.groupBy("userId").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    known = materialize(model.recommendForAllUsers(TOP + most)
-                        .select("userId", F.explode("recommendations").alias("r"))
-                        .select("userId", "r.movieId", F.col("r.rating").alias("judged")))
+    # The built-in recommender looks past a user's seen items: with TOP and as many more as a user
+    # has seen, whatever is better than the last entry and unseen must be in the list.
+    known = ranking.overfetched(model, ratings, TOP).withColumnRenamed("prediction", "judged")
     last = lists.groupBy("userId").agg(F.min("prediction").alias("last"), F.count("*").alias("n"))
     missed = (known.join(seen, ["userId", "movieId"], "left_anti")
               .join(lists.select("userId", "movieId"), ["userId", "movieId"], "left_anti")
@@ -560,6 +615,20 @@ def als_topn_all_users_checks(spark, folder):
     return entries.select("*", missed.agg(F.count("*")).scalar().alias("n_better_left_out"))
 
 
+@query
+def als_topn_overfetch_checks(spark, folder):
+    """All users' lists made by over-fetching from the built-in recommender, against those made of tiles."""
+    ratings = _ratings(spark, folder)
+    model = _model(ratings)
+    tiled = ranking.top_n_per_user(model.userFactors, model.itemFactors, ratings, TOP)
+    fetched = ranking.top_n_by_overfetch(model, ratings, TOP).withColumnsRenamed({"movieId": "item", "prediction": "judged"})
+    both = tiled.join(fetched, ["userId", "rank"], "full")
+    # Either product is rounded in its own way, so near equals may change places.
+    near = F.abs(F.col("prediction") - F.col("judged")) < 1e-4
+    return both.agg(F.count("*").alias("n_entries"), F.count_if(F.col("movieId").isNull() | F.col("item").isNull()).alias("n_in_one_only"),
+                    F.count_if(~near).alias("n_other_score"))
+
+
 def _all_users_popular_genre(spark, folder) -> DataFrame:
     ratings, items = _ratings(spark, folder), tables.items(spark, folder)
     model = _model(ratings)
@@ -580,6 +649,37 @@ def als_topn_all_users_popular_genre_counts(spark, folder):
     return lists.groupBy("userId").agg(F.count("*").alias("n_recs"))
 
 
+@query
+def als_topn_all_users_popular_genre_checks(spark, folder):
+    """All entries of the floor-and-genre lists judged by the model and by the tables, one row.
+
+    Every allowed unseen item of a user is scored by the model itself, so ``n_better_left_out`` and
+    ``n_other_score`` look at values, not at lengths.
+    """
+    ratings, items = _ratings(spark, folder), tables.items(spark, folder)
+    model = _model(ratings)
+    allowed = materialize(candidates.without_items(items.filter(candidates.genre_like(GENRE)),
+                                                   profile.low_count_items(profile.item_rating_counts(ratings), FLOOR)).select("movieId"))
+    seen = ratings.select("userId", "movieId", F.lit(1).alias("seen"))
+    chosen = als.restricted(model, allowed.select(F.col("movieId").alias("id")))
+    lists = materialize(ranking.top_n_per_user(chosen.userFactors, chosen.itemFactors, ratings, TOP))
+    by_rank = Window.partitionBy("userId").orderBy("rank")
+    marks = (lists.join(seen, ["userId", "movieId"], "left")
+             .join(allowed.withColumn("allowed", F.lit(1)), "movieId", "left"))
+    judged = model.transform(marks.withColumnRenamed("prediction", "listed"))
+    entries = judged.withColumn("before", F.lag("prediction").over(by_rank)).agg(
+        F.count_if(F.col("rank") == 1).alias("n_lists"), F.count("*").alias("n_entries"), F.count("seen").alias("n_seen"),
+        F.count_if(F.col("allowed").isNull()).alias("n_not_allowed"),
+        F.count_if(~(F.abs(F.col("prediction") - F.col("listed")) < 1e-5)).alias("n_other_score"),
+        F.count_if(F.col("before") < F.col("prediction") - 1e-5).alias("n_out_of_order"))
+    # Whatever the built-in recommender finds unseen for a user among the same items must be listed if it beats the last entry.
+    last = lists.groupBy("userId").agg(F.min("prediction").alias("last"), F.count("*").alias("n"))
+    known = ranking.overfetched(chosen, ratings.join(allowed, "movieId", "left_semi"), TOP)
+    missed = (known.join(seen, ["userId", "movieId"], "left_anti").join(lists.select("userId", "movieId"), ["userId", "movieId"], "left_anti").join(last, "userId", "left")
+              .filter(F.col("n").isNull() | (F.col("n") < TOP) | (F.col("prediction") > F.col("last") + 1e-5)))
+    return entries.select("*", missed.agg(F.count("*")).scalar().alias("n_better_left_out"))
+
+
 @query
 def als_factor_counts(spark, folder):
     """Every rated user and item has factors of the requested rank."""

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from palate.operators import als, candidates, evaluate, profile, ranking, split
 from palate.session import clear_scratch, materialize
 from palate.sources import csv_files, models, schemas
+from palate.sources.paths import checked
 
 # Fixed values of the published analysis.
 FLOOR = 50
@@ -33,10 +34,13 @@ def profiles(ratings: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
 
 
 def tune(ratings: DataFrame, ranks: Sequence[int] = als.RANKS, reg_params: Sequence[float] = als.REG_PARAMS,
-         parallelism: int = 1, **options) -> tuple[als.Search, DataFrame, DataFrame]:
-    """Search on a 60/20/20 random split; returns the search, its test error and the test rows."""
+         parallelism: int = 1, ledger: str | None = None, **options) -> tuple[als.Search, DataFrame, DataFrame]:
+    """Search on a 60/20/20 random split; returns the search, its test error and the test rows.
+
+    With a ``ledger`` a search that was lost goes on where it stopped, as long as the split falls out alike.
+    """
     train, validation, test = split.random_split(ratings)
-    search = als.grid_search(train, validation, ranks, reg_params, parallelism, **options)
+    search = als.grid_search(train, validation, ranks, reg_params, parallelism, ledger, **options)
     return search, evaluate.rmse(search.model.transform(test)), test
 
 
@@ -76,16 +80,22 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
-    small = csv_files.convert_csv(spark, args.ratings, schemas.RATINGS, f"{args.work}/ratings")
-    items = csv_files.convert_csv(spark, args.items, schemas.ITEMS, f"{args.work}/items")
-    full = small if not args.full_ratings else csv_files.convert_csv(
-        spark, args.full_ratings, schemas.RATINGS, f"{args.work}/full-ratings")
+    for path in (args.model, args.work, args.all_users):
+        checked(path or "")
+
+    def converted(source: str, schema, name: str) -> DataFrame:
+        done = csv_files.convert_audited(spark, source, schema, f"{args.work}/{name}", f"{args.work}/{name}-rejected")
+        print(f"{name}: {done.counts}")
+        return done.rows
+
+    small, items = converted(args.ratings, schemas.RATINGS, "ratings"), converted(args.items, schemas.ITEMS, "items")
+    full = converted(args.full_ratings, schemas.RATINGS, "full-ratings") if args.full_ratings else small
 
     for df, keys in ((small, ("userId", "movieId")), (items, ("movieId",))):
         df.printSchema()
         profile.head(df, 5, *keys).show(truncate=False)
     show = {f"small {k}": v for k, v in profiles(small, items).items()}
-    search, test_error, test = tune(small, args.ranks, args.reg_params, args.parallelism)
+    search, test_error, test = tune(small, args.ranks, args.reg_params, args.parallelism, f"{args.work}/search")
     show |= {"search": search.metrics, "test error": test_error}
     if args.full_ratings:
         show |= {f"full {k}": v for k, v in profiles(full, items).items()}
