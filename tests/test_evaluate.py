@@ -82,10 +82,10 @@ def test_the_rows_are_read_once_for_the_whole_grid(spark, folder, monkeypatch, t
     monkeypatch.setattr(evaluate, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
     part = split_name()
     grid = evaluate.damped_mean_errors(tables.ratings(spark, folder), part == "train", part == "validation", [0.0, 1.0, 5.0])
-    assert len(plans) == 1 and plans[0].count("lineitem.parquet") == 1
-    assert "parquet" not in grid._jdf.queryExecution().executedPlan().toString()
+    assert len(plans) == 1 and plans[0].count("FileScan parquet [l_") == 1
+    assert "FileScan" not in grid._jdf.queryExecution().executedPlan().toString()
     once = evaluate.item_mean_rmse(tables.ratings(spark, folder), part == "train", part == "test")
-    assert once._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+    assert once._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [l_") == 1
 
 
 @pytest.mark.parametrize("errors, winner", [

@@ -56,7 +56,7 @@ def test_summary_reads_either_table_once_and_ids_only(spark, stored, folder, tmp
     (tmp_path / "copy").symlink_to(folder)  # a path of its own, which no other test has cached
     folder = str(tmp_path / "copy")
     view = plan(profile.dataset_summary(tables.ratings(spark, folder), tables.items(spark, folder)))
-    assert view.count("lineitem.parquet") == 1
+    assert view.count("FileScan parquet [l_") == 1
 
 
 def test_genre_pattern_becomes_a_pushed_contains(stored):
