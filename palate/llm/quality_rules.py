@@ -6,7 +6,7 @@ by side, so a changed policy, or the question what a rule alone costs, never rea
 the texts again: both are bitwise work on one integer per document.
 
 Null and empty texts have no words: all measurements are 0 and ``few_words`` fails.
-Ties do not occur; repeated rows are judged alike; an empty table gives an empty
+Texts of any length are measured whole. Ties do not occur; repeated rows are judged alike; an empty table gives an empty
 ledger. Input columns named like a ledger column are replaced by it.
 """
 

@@ -317,6 +317,8 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     layout = Layout.of(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keyed = docs.select(F.pmod(F.xxhash64(quoted(doc_id), quoted(text)), F.lit(layout.groups)).alias("grp"),
                         quoted(doc_id).cast("bigint").alias("id"), quoted(text).cast("binary").alias("text"))
+    # Twice as many partitions as groups, so hardly a task gets more than a few; it takes one after the other.
+    keyed = keyed.repartition(2 * layout.groups, "grp")
     sketches = keyed.groupBy("grp").applyInArrow(lambda rows: sketch_rows(rows, layout), "segment bigint, grp bigint, entries binary")
     masks = sketches.groupBy("segment").applyInArrow(
         lambda rows: merge_sketches(rows, layout), "segment bigint, grp bigint, repeated binary")

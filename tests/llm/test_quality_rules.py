@@ -57,3 +57,9 @@ def test_labelled_documents(spark, folder):
     rows = judged.join(labels, "doc_id").filter("n_words >= 20").withColumn("kept", qr.accepted(qr.PROSE)).collect()
     good, bad = [r.kept for r in rows if r.quality], [r.kept for r in rows if not r.quality]
     assert sum(good) >= 0.95 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_names_with_dots_and_result_names(spark):
+    docs = spark.createDataFrame([(1, "one two two", "x", 5)], "doc_id int, `the.text` string, N_WORDS string, failed_bits int")
+    row = qr.ledger(docs, "the.text").first()
+    assert (row["the.text"], row.n_words) == ("one two two", 3) and row.failed_bits & qr.BIT["few_words"]
