@@ -1,14 +1,15 @@
 """Benchmark passages found in documents by one scan with an Aho-Corasick automaton.
 
-Both sides are folded to plain words, and the words of the benchmark are numbered. The automaton is
-over word numbers. A window of ``window`` words holds a whole block of half as many that starts at a multiple of that in
-its item, so the blocks, and items shorter than a window, are its patterns: one node for each word of the benchmark, not ten.
+Both sides are folded to plain words, and every word of the benchmark is written as two characters, each of them one of about as many
+as the root of the number of words: a state's ways on are searched one by one, and so there are few. The automaton reads a
+document as such a string, in the pieces that words unknown to the benchmark leave of it. A window of ``window`` words holds a whole block of half as many that starts at a multiple of that in
+its item, so the blocks, and items shorter than a window, are its patterns: two nodes for each word of the benchmark.
 A document is read once, whatever the number of patterns; where a block stands, the
 item's words around it are compared with the document's, and a run of a window or more is a match. Matches are reported as word
 places and as code point offsets in the original text.
 
 The benchmark is sent to all executors, so its size is checked first, after equal rows have been dropped: an automaton
-takes some 20 bytes for each character of text, about 650 MB at ``max_chars``. A larger benchmark is dealt to several
+takes some 28 bytes for each character of text, about 700 MB at ``max_chars``. A larger benchmark is dealt to several
 automata, and the documents are scanned by one after the other from a written table. Nothing is left out.
 
 Null and empty texts have no words and no hits, texts of any length are scanned whole; an item without words has no
@@ -21,8 +22,9 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -35,70 +37,89 @@ from palate.session import materialize
 
 WINDOW = 10
 #: Characters of benchmark text for one automaton.
-MAX_CHARS = 32 << 20
+MAX_CHARS = 24 << 20
 SPANS = "array<struct<item_id: string, first_word: bigint, last_word: bigint, start: bigint, end: bigint>>"
 RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
 
 
+#: Stands for all words that the benchmark does not have; no item holds it.
+UNKNOWN = "\x01\x01"
+#: Characters of a word, and where the second ones begin; no first one is among them, so no match begins between two.
+WIDTH, SECOND = 2, 1 << 19
+
+
 @dataclass
 class Matcher:
-    """Items as word numbers, and the automaton of their blocks; a block carries where it stands.
-
-    Words that the benchmark does not have are 0, which no item holds.
-    """
+    """Items as strings, and the automaton of their blocks; a block carries where it stands. ``least`` is the shortest block."""
 
     window: int
-    numbers: dict[bytes, int]
+    symbols: dict[bytes, str]
     ids: list[str | None]
-    items: list[tuple[int, ...]]
+    items: list[str]
     automaton: ahocorasick.Automaton
+    least: int
+
+
+def symbols_of(words: Iterable[bytes]) -> dict[bytes, str]:
+    """Two characters for each of the distinct words."""
+    distinct = list(dict.fromkeys(words))
+    base = math.isqrt(len(distinct)) + 1
+    return {w: chr(2 + k // base) + chr(SECOND + k % base) for k, w in enumerate(distinct)}
 
 
 def build(rows: list[tuple[str | None, bytes]], window: int) -> Matcher:
-    numbers: dict[bytes, int] = {}
-    ids, items = [], []
-    for item, text in dict.fromkeys(rows):
-        words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in plain_words(text))
-        if words:
-            ids.append(item)
-            items.append(words)
+    kept = [(item, words) for item, text in dict.fromkeys(rows) if (words := plain_words(text))]
+    symbols = symbols_of(w for _, words in kept for w in words)
+    items = ["".join([symbols[w] for w in words]) for _, words in kept]
     block = (window + 1) // 2
-    found: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-    for k, words in enumerate(items):
-        if len(words) < window:
-            found.setdefault(words, []).append((k, 0))
+    found: dict[str, list[tuple[int, int]]] = {}
+    for k, item in enumerate(items):
+        if len(item) < window * WIDTH:
+            found.setdefault(item, []).append((k, 0))
         else:
-            for at in range(0, len(words) - block + 1, block):
-                found.setdefault(words[at:at + block], []).append((k, at))
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            for at in range(0, len(item) - block * WIDTH + 1, block * WIDTH):
+                found.setdefault(item[at:at + block * WIDTH], []).append((k, at))
+    automaton = ahocorasick.Automaton()
     for key, places in found.items():
         automaton.add_word(key, (len(key), places))
     automaton.make_automaton()
-    return Matcher(window, numbers, ids, items, automaton)
+    return Matcher(window, symbols, [i for i, _ in kept], items, automaton, min(map(len, found), default=0))
+
+
+def blocks_in(matcher: Matcher, text: str) -> Iterator[tuple[int, tuple[int, list]]]:
+    """Where blocks end. An unknown word takes the automaton back to its start, so the pieces between are read by themselves."""
+    at = 0
+    for piece in text.split(UNKNOWN):
+        if len(piece) >= matcher.least:
+            for last, block in matcher.automaton.iter(piece):
+                yield at + last, block
+        at += len(piece) + WIDTH
 
 
-def runs(matcher: Matcher, words: tuple[int, ...]) -> Iterator[tuple[int, int, int]]:
+def runs(matcher: Matcher, text: str) -> Iterator[tuple[int, int, int]]:
     """(item, first word, last word) of the runs that an item and the document have in common, as long as they go.
 
     A run that was followed from one of its blocks is not followed again from the next.
     """
     ends: dict[tuple[int, int], int] = {}
-    n = len(words)
-    for last, (size, places) in matcher.automaton.iter(words):
+    n = len(text)
+    for last, (size, places) in blocks_in(matcher, text):
         first = last - size + 1
         for k, at in places:
             item = matcher.items[k]
-            if len(item) < matcher.window:
-                yield k, first, last
+            if len(item) < matcher.window * WIDTH:
+                yield k, first // WIDTH, last // WIDTH
                 continue
-            if ends.get((k, first - at), -1) >= last:
+            gap = first - at
+            if ends.get((k, gap), -1) >= last:
                 continue
             a, z = first, last
-            while a > 0 and a - first + at > 0 and words[a - 1] == item[a - 1 - first + at]:
+            while a > 0 and a > gap and text[a - 1] == item[a - 1 - gap]:
                 a -= 1
-            while z + 1 < n and z + 1 - first + at < len(item) and words[z + 1] == item[z + 1 - first + at]:
+            while z + 1 < n and z + 1 - gap < len(item) and text[z + 1] == item[z + 1 - gap]:
                 z += 1
-            ends[k, first - at] = z
+            ends[k, gap] = z
+            a, z = -(-a // WIDTH), (z + 1) // WIDTH - 1  # whole words
             if z - a + 1 >= matcher.window:
                 yield k, a, z
 
@@ -108,9 +129,9 @@ def scan(matcher: Matcher, text: bytes | None) -> tuple[int, list[dict]]:
     words = plain_words(text)
     if not words or not len(matcher.automaton):
         return len(words), []
-    get = matcher.numbers.get
+    text_of = "".join(map(matcher.symbols.get, words, repeat(UNKNOWN)))
     joined: dict[str | None, list[list[int]]] = {}
-    for k, first, last in sorted(runs(matcher, tuple([get(w, 0) for w in words])), key=lambda r: r[1:]):
+    for k, first, last in sorted(runs(matcher, text_of), key=lambda r: r[1:]):
         own = joined.setdefault(matcher.ids[k], [])
         if own and first <= own[-1][1] + 1:
             own[-1][1] = max(own[-1][1], last)

@@ -61,6 +61,14 @@ def test_blocks_find_every_window(items, words, window):
         assert all(b[0] > a[1] + 1 for a, b in zip(own, own[1:]))
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 300_000])
+def test_symbols_are_told_apart_and_few_lead_on_from_the_start(n):
+    symbols = list(dc.symbols_of(str(k).encode() for k in range(n)).values())
+    firsts, seconds = {s[0] for s in symbols}, {s[1] for s in symbols}
+    assert len(set(symbols)) == n and not firsts & seconds and dc.UNKNOWN[0] not in firsts | seconds
+    assert max(len(firsts), len(seconds)) <= n**0.5 + 1
+
+
 def test_a_long_copy_is_followed_once():
     """A text of 20,000 words that is an item itself: each of its 4,000 blocks stands, the run is walked once."""
     text = " ".join(f"w{i}" for i in range(20_000)).encode()
