@@ -106,6 +106,7 @@ def fit_residuals(ratings: DataFrame, user_factors: DataFrame, item_factors: Dat
     A fit ends with the users' half step, in which the factors ``u`` of a user with ``n``
     ratings ``r`` solve ``sum((u.v - r) * v) + reg_param * n * u = 0`` over the factors ``v``
     of the rated items. The largest component of the left side is 0 but for rounding.
+    A model without users has no equations, so there are no rows.
     """
     users = user_factors.select(F.col("id").alias("userId"), F.col("features").alias("_u"))
     items = item_factors.select(F.col("id").alias("movieId"), F.col("features").alias("_v"))
@@ -115,7 +116,7 @@ def fit_residuals(ratings: DataFrame, user_factors: DataFrame, item_factors: Dat
     at = lambda c, i: F.col(c)[i].cast("double")
     parts = range(rank["k"] if rank else 0)
     sums = (rows.withColumn("_gap", gap).groupBy("userId")
-            .agg(*(F.sum(F.col("_gap") * at("_v", i) + reg_param * at("_u", i)).alias(f"_{i}") for i in parts)))
+            .agg(F.count("*").alias("_n"), *(F.sum(F.col("_gap") * at("_v", i) + reg_param * at("_u", i)).alias(f"_{i}") for i in parts)))
     return sums.select("userId", F.greatest(F.lit(0.0), F.lit(0.0), *(F.abs(f"_{i}") for i in parts)).alias("residual"))
 
 
