@@ -1,5 +1,6 @@
 import math
 import os
+import re
 import subprocess
 import sys
 import threading
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from palate import session
 from palate.functions.vectors import dot
 from palate.operators import als, candidates, evaluate, ranking
 from palate.sources import models
@@ -173,6 +175,37 @@ def test_losers_of_a_search_leave_the_executors(spark, planted_parts):
     assert not stored(spark) - before
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files on this machine's disk; others may be cleaned at any time, so only new ones say something."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return set(re.findall(r"shuffle_\d+_\d+_\d+[.]data", files.mkString(" ")))
+
+
+def test_a_durable_fit_leaves_no_shuffle_files(spark, planted_parts):
+    before = shuffle_files(spark)
+    model = als.fit(planted_parts[0], rank=2, max_iter=2)
+    assert not shuffle_files(spark) - before
+    assert model.userFactors.count() and model.itemFactors.count()
+
+
+def test_a_fit_leaves_the_shuffle_files_of_an_rdd_that_the_rows_were_made_of(spark):
+    before = shuffle_files(spark)
+    pairs = spark.sparkContext.parallelize([(i % 7, i % 5, float(i % 3)) for i in range(99)], 2).keyBy(lambda r: r[:2]).reduceByKey(max)
+    rows = spark.createDataFrame(pairs.values(), "userId int, movieId int, rating float")
+    pairs.count()
+    own = shuffle_files(spark) - before
+    als.fit(rows, rank=1, max_iter=1)
+    assert own and own <= shuffle_files(spark)
+
+
+def test_settled_rows_leave_no_shuffle_files(spark, frame):
+    rows = frame([(u % 9, u % 4, 1.0) for u in range(99)]).distinct().repartition(3, "userId")
+    before = shuffle_files(spark)
+    written = session.settle(rows)
+    assert not shuffle_files(spark) - before
+    assert written.count() == rows.count() == 36
+
+
 class Fits:
     """Counts fits and the models alive at a time, and breaks off after ``limit`` fits."""
 
